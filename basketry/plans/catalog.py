@@ -27,11 +27,17 @@ QUERY_SETTINGS = classifier.GbtSettings(max_rounds=20, max_depth=4, patience=5)
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    """Decimals as doubles, for comparing results across engines."""
-    return df.select([
-        F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
-        for f in df.schema
-    ])
+    """Decimals as doubles and 16-bit numbers as 32-bit ones, for comparing
+    results across engines."""
+
+    def plain(f: T.StructField) -> Column:
+        if isinstance(f.dataType, T.DecimalType):
+            return F.col(f.name).cast("double").alias(f.name)
+        if isinstance(f.dataType, T.ShortType):
+            return F.col(f.name).cast("int").alias(f.name)
+        return F.col(f.name)
+
+    return df.select([plain(f) for f in df.schema])
 
 
 def stand_in_points() -> Column:
@@ -100,7 +106,7 @@ def _serving(spark: SparkSession, sf_dir: str) -> tuple[star.StarTables, Serving
 
 
 def base_orders(spark, sf_dir):
-    return _plain(_orders(spark, sf_dir))
+    return _orders(spark, sf_dir)
 
 
 def base_order_products(spark, sf_dir):
@@ -115,7 +121,7 @@ def product_catalog(spark, sf_dir):
 def csv_orders(spark, sf_dir):
     path = scratch_path(spark, "orders-csv")
     write_csv(_orders(spark, sf_dir), path)
-    return _plain(load_base_tables(spark, {"orders": path}, wide_keys=True)["orders"])
+    return load_base_tables(spark, {"orders": path}, wide_keys=True)["orders"]
 
 
 def csv_order_products(spark, sf_dir):
@@ -173,7 +179,7 @@ def deletable_products(spark, sf_dir):
 
 
 def cleaned(spark, sf_dir):
-    return _plain(_cleaned(spark, sf_dir))
+    return _cleaned(spark, sf_dir)
 
 
 def cleaned_columns(spark, sf_dir):
@@ -193,7 +199,7 @@ def weekend_share(spark, sf_dir):
 
 
 def cleaned_sample(spark, sf_dir):
-    return _plain(sample_rows(_cleaned(spark, sf_dir)))
+    return sample_rows(_cleaned(spark, sf_dir))
 
 
 # --- feature layers ---------------------------------------------------------
@@ -268,7 +274,7 @@ def published_layers(spark, sf_dir):
 
 
 def train_order_context(spark, sf_dir):
-    return _plain(labels.train_order_context(_cleaned(spark, sf_dir)))
+    return labels.train_order_context(_cleaned(spark, sf_dir))
 
 
 def train_items(spark, sf_dir):
@@ -283,7 +289,7 @@ def candidate_pairs(spark, sf_dir):
 
 
 def training_matrix(spark, sf_dir):
-    return _plain(_matrix(spark, sf_dir))
+    return _matrix(spark, sf_dir)
 
 
 def model_frame(spark, sf_dir):
@@ -291,7 +297,7 @@ def model_frame(spark, sf_dir):
 
 
 def matrix_sample(spark, sf_dir):
-    return _plain(_matrix(spark, sf_dir).limit(10))
+    return _matrix(spark, sf_dir).limit(10)
 
 
 def label_distribution(spark, sf_dir):
@@ -431,7 +437,7 @@ def stream_recommend(spark, sf_dir):
     return spark.read.parquet(sink).drop("batch")
 
 
-QUERIES: dict[str, Query] = {
+_RAW: dict[str, Query] = {
     "base_orders": base_orders,
     "base_order_products": base_order_products,
     "product_catalog": product_catalog,
@@ -491,3 +497,10 @@ QUERIES: dict[str, Query] = {
     "cross_user_summary": cross_user_summary,
     "stream_recommend": stream_recommend,
 }
+
+
+def _published(query: Query) -> Query:
+    return lambda spark, sf_dir: _plain(query(spark, sf_dir))
+
+
+QUERIES: dict[str, Query] = {name: _published(query) for name, query in _RAW.items()}

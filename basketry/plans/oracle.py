@@ -45,9 +45,9 @@ CTES["placed"] = """
 CTES["base_orders"] = """
     SELECT order_id, user_id,
            CASE WHEN from_end > 1 THEN 'prior' WHEN user_id % 5 = 0 THEN 'test' ELSE 'train' END AS eval_set,
-           CAST(place AS SMALLINT) AS order_number,
-           CAST((dayofweek(day) + 1) % 7 AS SMALLINT) AS order_dow,
-           CAST(order_id % 24 AS SMALLINT) AS order_hour_of_day,
+           CAST(place AS INTEGER) AS order_number,
+           CAST((dayofweek(day) + 1) % 7 AS INTEGER) AS order_dow,
+           CAST(order_id % 24 AS INTEGER) AS order_hour_of_day,
            CAST(day - day_before AS DOUBLE) AS days_since_prior_order
     FROM placed"""
 CTES["merged_lines"] = """
@@ -56,10 +56,10 @@ CTES["merged_lines"] = """
     GROUP BY l_orderkey, product_id"""
 CTES["base_items"] = """
     SELECT m.order_id, m.product_id,
-           CAST(row_number() OVER (PARTITION BY m.order_id ORDER BY m.line, m.product_id) AS SMALLINT)
+           CAST(row_number() OVER (PARTITION BY m.order_id ORDER BY m.line, m.product_id) AS INTEGER)
                AS add_to_cart_order,
            CAST(CASE WHEN o.order_number > min(o.order_number) OVER (PARTITION BY o.user_id, m.product_id)
-                     THEN 1 ELSE 0 END AS SMALLINT) AS reordered
+                     THEN 1 ELSE 0 END AS INTEGER) AS reordered
     FROM merged_lines m JOIN base_orders o ON o.order_id = m.order_id"""
 CTES["cleaned"] = """
     SELECT order_id, user_id, eval_set, order_number, order_hour_of_day,
