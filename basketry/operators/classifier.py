@@ -70,7 +70,9 @@ def _booster(settings: GbtSettings, rounds: int) -> GBTClassifier:
         minInstancesPerNode=settings.min_rows_per_node,
         maxBins=settings.max_bins,
         seed=settings.seed,
-        cacheNodeIds=True,
+        # Trees are shallow: walking them again costs less than a cached table
+        # of node ids.  Boosting state is checkpointed every ten rounds.
+        cacheNodeIds=False,
         checkpointInterval=10,
         **settings.extra,
     )

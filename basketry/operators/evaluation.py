@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.schema import AUC_LOWEST_TIER, AUC_TIERS, CLASS_THRESHOLD, TARGET
+from basketry.session import stage
 
 SCORE_RANGES = 512
 
@@ -117,10 +118,11 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     range, those in its own range from a window inside it, so no task sorts all
     scores.  Counts stay whole numbers up to the last division.
     """
-    per_score = scored.groupBy("reorder_prob").agg(
+    counts = scored.groupBy("reorder_prob").agg(
         F.count_if(F.col(TARGET) == 1).cast("decimal(38,0)").alias("pos"),
         F.count_if(F.col(TARGET) == 0).cast("decimal(38,0)").alias("neg"),
     )
+    per_score = stage(counts, "scores")
     ranged = _score_range(per_score)
     up_to_here = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = ranged.groupBy("_range").agg(F.sum("neg").alias("_neg")).select(

@@ -45,7 +45,7 @@ def context_features(
 ) -> DataFrame:
     """One row per context and product the user bought before.
 
-    Pairs are cut down to the asking users before anything multiplies.  A user
+    Pairs meet the asking users before anything multiplies.  A user
     with many contexts is spread over slices: their pairs are repeated per
     slice, everyone else's stay single, and the join key is (user, slice).
     """
@@ -89,9 +89,10 @@ def request_features(
 def _back_to_requests(requests: DataFrame, answers: DataFrame) -> DataFrame:
     """Give each request the rows of its context; null gaps match null gaps."""
     left, right = requests.alias("q"), answers.alias("a")
-    same = F.lit(True)
-    for c in CONTEXT:
-        same = same & F.col(f"q.{c}").eqNullSafe(F.col(f"a.{c}"))
+    *plain, gap = CONTEXT
+    same = F.col(f"q.{gap}").eqNullSafe(F.col(f"a.{gap}"))
+    for c in plain:
+        same = same & (F.col(f"q.{c}") == F.col(f"a.{c}"))
     kept = [F.col(f"a.{c}") for c in answers.columns if c not in CONTEXT]
     return left.join(right, same).select("q.*", *kept)
 
@@ -122,10 +123,12 @@ def recommend(
 ) -> DataFrame:
     """The best products of every request, in one job for all requests.
 
-    Scores below the cut-off are dropped, the rest ranked by probability and
-    product id.  The rank filter also carries the longest list any request wants
-    as a constant, so Spark keeps only that many rows per context while it
-    ranks.  Names join the ranked rows, and lists go back to requests last.
+    Products are ranked by probability and product id.  The rank filter also
+    carries the longest list any request wants as a constant, so Spark keeps
+    only that many rows per context while it ranks.  Scores below the cut-off
+    have the last ranks, so they are dropped after it: a filter before it would
+    be pushed under the score and evaluate the model twice.  Names join the
+    ranked rows, and lists go back to requests last.
     """
     longest = requests.agg(F.max("top_n")).first()[0] or 0
     rows = context_features(request_contexts(requests), pairs, users, products)
@@ -138,12 +141,12 @@ def recommend(
     scored = scorer(rows.select(*CONTEXT, "_slice", "top_n", "product_id", *shown, *features))
     place = Window.partitionBy("user_id", "_slice", *CONTEXT[1:]).orderBy(F.desc("reorder_prob"), "product_id")
     ranked = (
-        scored.filter(F.col("reorder_prob") >= min_probability)
-        .select(
+        scored.select(
             *CONTEXT, "_slice", "top_n", "product_id", "reorder_prob", "total_buys", "order_streak", "product_rate"
         )
         .withColumn("rank", F.row_number().over(place))
         .filter((F.col("rank") <= longest) & (F.col("rank") <= F.col("top_n")))
+        .filter(F.col("reorder_prob") >= min_probability)
         .drop("_slice", "top_n")
     )
     named = ranked.join(catalog.select("product_id", "product_name"), "product_id", "left").withColumn(
@@ -157,10 +160,14 @@ def recommend(
     )
 
 
-def candidate_counts(pairs: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
-    """Scorable products per user, before any cut-off."""
+def candidate_counts(
+    requests: DataFrame, pairs: DataFrame, users: DataFrame, products: DataFrame
+) -> DataFrame:
+    """Scorable products per asking user, before any cut-off."""
+    asking = requests.select("user_id").distinct()
     return (
         pairs.select("user_id", "product_id")
+        .join(asking, "user_id", "left_semi")
         .join(products.select("product_id"), "product_id", "left_semi")
         .groupBy("user_id")
         .agg(F.count("*").alias("candidates_scored"))

@@ -96,10 +96,13 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stand_in_scorer(100)(test).select("user_id", "product_id", TARGET, "reorder_prob")
 
 
+def _catalog(t: star.StarTables) -> DataFrame:
+    return stage(recommend.product_catalog(t.products, t.aisles, t.departments), "catalog")
+
+
 def _serving(spark: SparkSession, sf_dir: str) -> tuple[star.StarTables, Serving]:
     t, layers = _layers(spark, sf_dir)
-    catalog = recommend.product_catalog(t.products, t.aisles, t.departments)
-    return t, Serving(layers, catalog, stand_in_scorer(1000))
+    return t, Serving(layers, _catalog(t), stand_in_scorer(1000))
 
 
 # --- loading and declared constraints ---------------------------------------
@@ -354,7 +357,7 @@ def classification_report(spark, sf_dir):
 
 
 def roc_auc(spark, sf_dir):
-    return evaluation.roc_auc(stage(_scored(spark, sf_dir), "scored"))
+    return evaluation.roc_auc(_scored(spark, sf_dir))
 
 
 def score_cumulative_share(spark, sf_dir):
@@ -389,8 +392,7 @@ def gbt_importance(spark, sf_dir):
 
 def gbt_recommend(spark, sf_dir):
     t, layers, result = _trained(spark, sf_dir)
-    catalog = recommend.product_catalog(t.products, t.aisles, t.departments)
-    return Serving(layers, catalog, model_scorer(result.model)).recommend(t.requests)
+    return Serving(layers, _catalog(t), model_scorer(result.model)).recommend(t.requests)
 
 
 # --- serving ----------------------------------------------------------------

@@ -30,11 +30,13 @@ def build_layers(orders: DataFrame, order_products: DataFrame) -> Layers:
     """All layers from one pass over the line items.
 
     The join of items with orders and the only window run once, for the pair
-    layer; it is written, and the user and product layers are sums over its rows.
+    layer; the user and product layers are sums over its rows.  Each layer is
+    written: several joins read it, and from its file size Spark knows before
+    the join whether it may be broadcast, instead of after a shuffle of the pairs.
     """
     pairs = stage(pair_layer(orders, order_products), "pairs")
     users = f.user_features(cleaned_orders(orders), f.user_item_counts_of_pairs(pairs))
-    return Layers(pairs, users, f.product_features_of_pairs(pairs))
+    return Layers(pairs, stage(users, "users"), stage(f.product_features_of_pairs(pairs), "products"))
 
 
 def build_matrix(orders: DataFrame, order_products: DataFrame, layers: Layers | None = None) -> DataFrame:

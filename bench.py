@@ -76,7 +76,9 @@ def main() -> None:
     timed("confusion_matrix", lambda: consume(evaluation.confusion_matrix(scored)))
     auc = timed("roc_auc", lambda: evaluation.roc_auc(scored).first().auc)
 
-    catalog = product_catalog(t.products, t.aisles, t.departments)
+    catalog = timed(
+        "catalog", lambda: stage(product_catalog(t.products, t.aisles, t.departments), "catalog")
+    )
     timed("request_features", lambda: consume(request_features(t.requests, pairs, users, products)))
     by_rule = Serving(layers, catalog, stand_in_scorer(1000))
     by_model = Serving(layers, catalog, model_scorer(model))
