@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.calendar import day_kind, day_name, dow_flags, is_weekend
-from basketry.operators.features import user_product_features
+from basketry.operators.features import joined_layers, user_product_features
 from basketry.operators.labels import derived_ratios
 from basketry.schema import FEATURES, MIN_PROBABILITY, RECOMMENDATION
 
@@ -16,6 +16,7 @@ from basketry.schema import FEATURES, MIN_PROBABILITY, RECOMMENDATION
 Scorer = Callable[[DataFrame], DataFrame]
 
 CONTEXT = ["user_id", "current_hour", "current_dow", "days_since_last_order"]
+STORED = [c for c in FEATURES if not c.startswith("train_")]
 # Contexts of one user that are scored in one group; a busier user is spread.
 CONTEXTS_PER_SLICE = 256
 
@@ -26,18 +27,22 @@ def request_contexts(requests: DataFrame) -> DataFrame:
     return requests.groupBy(*CONTEXT).agg(F.max("top_n").alias("top_n"))
 
 
-def user_candidates(pairs: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
-    """Stored features of each pair, with the ratios taken at read time."""
-    return user_product_features(pairs).join(products, "product_id").join(users, "user_id")
+def stored_features(
+    asking: DataFrame, pairs: DataFrame, users: DataFrame, products: DataFrame
+) -> DataFrame:
+    """Stored features of the asking users' pairs, with the ratios taken at read
+    time.  Pairs of other users are dropped before any feature joins them."""
+    ids = asking.select("user_id").distinct()
+    mine = joined_layers(pairs.join(ids, "user_id", "left_semi"), users, products)
+    return mine.withColumns(derived_ratios()).select("user_id", "product_id", *STORED)
 
 
 def lookup_user(pairs: DataFrame, users: DataFrame, products: DataFrame, user_id: int) -> DataFrame:
-    """Features of one user, most bought first.  The filter reaches the scans."""
-    mine = user_candidates(
-        pairs.filter(F.col("user_id") == user_id), users.filter(F.col("user_id") == user_id), products
-    ).withColumns(derived_ratios())
-    offline = [c for c in FEATURES if not c.startswith("train_")]
-    return mine.select("product_id", *offline).orderBy(F.desc("user_product_total_buys"), "product_id")
+    """Features of one user, most bought first.  The filter reaches the scans,
+    and on layers sorted by user skips all other row groups."""
+    own = F.col("user_id") == user_id
+    mine = joined_layers(pairs.filter(own), users.filter(own), products).withColumns(derived_ratios())
+    return mine.select("product_id", *STORED).orderBy(F.desc("user_product_total_buys"), "product_id")
 
 
 def context_features(

@@ -12,7 +12,7 @@ from basketry.operators import classifier, evaluation, features, labels, quality
 from basketry.operators.cleaning import cleaned_orders, sample_rows
 from basketry.plans.feature_build import Layers, build_layers, build_matrix, pair_layer, publish_layers
 from basketry.plans.serving import Serving, model_scorer
-from basketry.plans.training import train
+from basketry.plans.training import VALIDATION_SHARE, train
 from basketry.schema import FEATURES, SEED, TARGET, TEST_SHARE
 from basketry.session import scratch_path, stage
 from basketry.sources import star
@@ -348,6 +348,17 @@ def train_class_weight(spark, sf_dir):
     return classifier.class_balance(_split(spark, sf_dir).filter("split = 'train'"))
 
 
+def user_split(spark, sf_dir):
+    """The side of every user with candidates, as training assigns it."""
+    matrix = labels.with_split(_matrix(spark, sf_dir), TEST_SHARE, VALIDATION_SHARE, SEED)
+    return matrix.select("user_id", "split").distinct()
+
+
+def predictions(spark, sf_dir):
+    scored = _scored(spark, sf_dir)
+    return scored.withColumn("predicted", evaluation.predicted_class(F.col("reorder_prob")))
+
+
 def confusion_matrix(spark, sf_dir):
     return evaluation.confusion_matrix(_scored(spark, sf_dir))
 
@@ -398,6 +409,15 @@ def gbt_recommend(spark, sf_dir):
 # --- serving ----------------------------------------------------------------
 
 
+def serving_requests(spark, sf_dir):
+    return star.requests(star.read_table(spark, sf_dir, "events"))
+
+
+def stored_features(spark, sf_dir):
+    t, layers = _layers(spark, sf_dir)
+    return recommend.stored_features(t.requests, layers.pairs, layers.users, layers.products)
+
+
 def request_labels(spark, sf_dir):
     return recommend.request_labels(star.requests(star.read_table(spark, sf_dir, "events")))
 
@@ -485,6 +505,8 @@ _RAW: dict[str, Query] = {
     "split_shared_users": split_shared_users,
     "class_balance": class_balance,
     "train_class_weight": train_class_weight,
+    "user_split": user_split,
+    "predictions": predictions,
     "confusion_matrix": confusion_matrix,
     "classification_report": classification_report,
     "roc_auc": roc_auc,
@@ -492,6 +514,8 @@ _RAW: dict[str, Query] = {
     "gbt_evaluation": gbt_evaluation,
     "gbt_importance": gbt_importance,
     "gbt_recommend": gbt_recommend,
+    "serving_requests": serving_requests,
+    "stored_features": stored_features,
     "request_labels": request_labels,
     "request_features": request_features,
     "recommend_topn": recommend_topn,

@@ -437,6 +437,10 @@ _BODIES: dict[str, str] = {
         INTERSECT (SELECT user_id FROM sides WHERE split = 'test'))""",
     "class_balance": f"{_BALANCE} FROM matrix",
     "train_class_weight": f"{_BALANCE} FROM sides WHERE split = 'train'",
+    "user_split": f"""SELECT DISTINCT user_id, CASE WHEN bucket < 200 THEN 'test'
+        WHEN bucket < 300 THEN 'validation' ELSE 'train' END AS split
+        FROM (SELECT user_id, {_bucket("user_id")} AS bucket FROM matrix)""",
+    "predictions": "SELECT *, CAST(reorder_prob >= 0.5 AS INTEGER) AS predicted FROM scored",
     "confusion_matrix": "SELECT * FROM outcome",
     "roc_auc": """SELECT auc, CASE WHEN auc >= 0.85 THEN 'EXCELLENT' WHEN auc >= 0.8 THEN 'GOOD'
                          WHEN auc >= 0.75 THEN 'FAIR' ELSE 'NEEDS REVIEW' END AS tier
@@ -456,6 +460,13 @@ _BODIES: dict[str, str] = {
                   f"SELECT '{c}' AS feature, count(*) FILTER (is_reordered_target = 1 AND {c} > 0) AS n FROM matrix"
                   for c in FEATURES
               ])}))""",
+    "serving_requests": "SELECT *, 10 AS top_n FROM requests",
+    "stored_features": f"""SELECT p.* EXCLUDE (user_product_run_length, last_order_number, hits),
+        {_ratio("p.user_product_last_buy_number", "p.user_product_total_buys", 4)} AS user_product_recency_ratio,
+        u.* EXCLUDE (user_id), {_ratio("u.user_total_items_bought", "u.user_total_orders", 4)} AS user_avg_basket_size,
+        r.* EXCLUDE (product_id)
+        FROM pairs p JOIN users u ON u.user_id = p.user_id JOIN product_rates r ON r.product_id = p.product_id
+        WHERE p.user_id IN (SELECT user_id FROM requests)""",
     "request_labels": """SELECT request_id,
         ['Saturday', 'Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday'][current_dow + 1] AS day_name,
         CASE WHEN current_dow < 2 THEN 'Weekend' ELSE 'Weekday' END AS day_kind,
