@@ -12,7 +12,8 @@ from basketry.operators import classifier, evaluation, features, labels, quality
 from basketry.operators.cleaning import cleaned_orders, sample_rows
 from basketry.plans.feature_build import Layers, build_layers, build_matrix, pair_layer, publish_layers
 from basketry.plans.serving import Serving, model_scorer
-from basketry.plans.training import VALIDATION_SHARE, train
+from basketry.plans.training import VALIDATION_SHARE
+from basketry.plans.workspace import Workspace, open_workspace
 from basketry.schema import FEATURES, SEED, TARGET, TEST_SHARE
 from basketry.session import scratch_path, stage
 from basketry.sources import star
@@ -22,9 +23,6 @@ from basketry.streaming.scoring import answer_stream, request_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Rounds for the registered model queries; the library's default is 500.
-QUERY_SETTINGS = classifier.GbtSettings(max_rounds=20, max_depth=4, patience=5)
-
 
 def _plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and 16-bit numbers as 32-bit ones, for comparing
@@ -57,8 +55,7 @@ def stand_in_scorer(scale: int) -> recommend.Scorer:
     return lambda rows: rows.withColumn("reorder_prob", points / F.lit(float(scale)))
 
 
-def _star(spark: SparkSession, sf_dir: str) -> star.StarTables:
-    return star.StarTables(spark, sf_dir)
+_star = open_workspace
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,14 +72,13 @@ def _prior_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.prior_items(t.order_products, cleaned_orders(t.orders))
 
 
-def _layers(spark: SparkSession, sf_dir: str) -> tuple[star.StarTables, Layers]:
+def _layers(spark: SparkSession, sf_dir: str) -> tuple[Workspace, Layers]:
     t = _star(spark, sf_dir)
-    return t, build_layers(t.orders, t.order_products)
+    return t, t.layers
 
 
 def _matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = _star(spark, sf_dir)
-    return build_matrix(t.orders, t.order_products)
+    return _star(spark, sf_dir).matrix
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,13 +92,9 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stand_in_scorer(100)(test).select("user_id", "product_id", TARGET, "reorder_prob")
 
 
-def _catalog(t: star.StarTables) -> DataFrame:
-    return stage(recommend.product_catalog(t.products, t.aisles, t.departments), "catalog")
-
-
-def _serving(spark: SparkSession, sf_dir: str) -> tuple[star.StarTables, Serving]:
+def _serving(spark: SparkSession, sf_dir: str) -> tuple[Workspace, Serving]:
     t, layers = _layers(spark, sf_dir)
-    return t, Serving(layers, _catalog(t), stand_in_scorer(1000))
+    return t, Serving(layers, t.catalog, stand_in_scorer(1000))
 
 
 # --- loading and declared constraints ---------------------------------------
@@ -292,7 +284,8 @@ def candidate_pairs(spark, sf_dir):
 
 
 def training_matrix(spark, sf_dir):
-    return _matrix(spark, sf_dir)
+    t, layers = _layers(spark, sf_dir)
+    return build_matrix(t.orders, t.order_products, layers)
 
 
 def model_frame(spark, sf_dir):
@@ -386,24 +379,19 @@ def score_cumulative_share(spark, sf_dir):
     return classifier.importance_report(gains)
 
 
-def _trained(spark, sf_dir):
-    t, layers = _layers(spark, sf_dir)
-    return t, layers, train(build_matrix(t.orders, t.order_products, layers), QUERY_SETTINGS)
-
-
 def gbt_evaluation(spark, sf_dir):
-    _, _, result = _trained(spark, sf_dir)
+    result = _star(spark, sf_dir).trained
     auc = result.auc.first()
     return result.report.withColumns({"auc": F.lit(auc.auc), "tier": F.lit(auc.tier)})
 
 
 def gbt_importance(spark, sf_dir):
-    return _trained(spark, sf_dir)[2].importance
+    return _star(spark, sf_dir).trained.importance
 
 
 def gbt_recommend(spark, sf_dir):
-    t, layers, result = _trained(spark, sf_dir)
-    return Serving(layers, _catalog(t), model_scorer(result.model)).recommend(t.requests)
+    t, layers = _layers(spark, sf_dir)
+    return Serving(layers, t.catalog, model_scorer(t.trained.model)).recommend(t.requests)
 
 
 # --- serving ----------------------------------------------------------------

@@ -39,9 +39,20 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """Where this application keeps its intermediates."""
+    return f"{shared_folder(spark)}/basketry/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path under the shared folder."""
-    return f"{shared_folder(spark)}/basketry/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediates; call it after the last action."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -70,9 +70,10 @@ class FeatureStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/{folder}")
-        row = self.spark.createDataFrame([(layer, version, folder)], MANIFEST)
-        row.coalesce(1).write.mode("append").json(self._manifest_path)
-        return self.read(layer, version)
+        entry = {"layer": F.lit(layer), "version": F.lit(version), "folder": F.lit(folder)}
+        row = self.spark.range(1, numPartitions=1).select(*[v.alias(k) for k, v in entry.items()])
+        row.write.mode("append").json(self._manifest_path)
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{folder}")
 
     def read(self, layer: str, version: int | None = None) -> DataFrame:
         known = self.versions(layer)

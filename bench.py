@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame
 from basketry.operators import classifier, evaluation, features, labels
 from basketry.operators.cleaning import cleaned_orders
 from basketry.operators.recommend import product_catalog, request_features
-from basketry.plans.catalog import QUERY_SETTINGS, stand_in_scorer
+from basketry.plans.catalog import stand_in_scorer
 from basketry.plans.feature_build import Layers, build_matrix, pair_layer
 from basketry.plans.serving import Serving, model_scorer
+from basketry.plans.workspace import MODEL_SETTINGS
 from basketry.schema import SEED, TARGET, TEST_SHARE
-from basketry.session import local_session, stage
+from basketry.session import drop_scratch, local_session, stage
 from basketry.sources.star import StarTables
 
 
@@ -68,7 +69,7 @@ def main() -> None:
     train, test = matrix.filter("split = 'train'"), matrix.filter("split = 'test'")
     weight = timed("class_balance", lambda: classifier.class_balance(train).first().scale_pos_weight)
     model = timed(
-        "gbt_fit", lambda: classifier.fit(classifier.with_class_weight(train, weight), None, QUERY_SETTINGS)
+        "gbt_fit", lambda: classifier.fit(classifier.with_class_weight(train, weight), None, MODEL_SETTINGS)
     )
     scored = timed(
         "gbt_score", lambda: stage(classifier.score(model, test).select(TARGET, "reorder_prob"), "scored")
@@ -97,6 +98,7 @@ def main() -> None:
         "auc": round(auc, 6),
         "line_items": t.order_products.count(),
     }))
+    drop_scratch(spark)
     spark.stop()
 
 

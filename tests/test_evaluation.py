@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from builders import make_requests  # noqa: F401
 
 from basketry.operators import classifier, evaluation
 from basketry.schema import TARGET

@@ -1,7 +1,7 @@
 from decimal import Decimal
 
 from conftest import rows
-from builders import make_items, make_orders, small_world
+from builders import make_orders, small_world
 from pyspark.sql import functions as F
 
 from basketry.functions.calendar import day_kind, day_name

@@ -1,5 +1,10 @@
+import os
+import shutil
+import subprocess
+import sys
 from decimal import Decimal
 
+import duckdb
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -7,6 +12,7 @@ from pyspark.sql import functions as F
 from basketry import schema
 from basketry.operators.features import prior_items
 from basketry.operators.cleaning import cleaned_orders
+from basketry.plans.workspace import INPUTS, open_workspace
 from basketry.session import shared_folder, stage
 from basketry.sources.csv_tables import load_base_tables, load_csv, write_csv
 from basketry.sources.store import FeatureStore, analyze_table, column_catalogue, save_table
@@ -19,6 +25,7 @@ def put(folder, name, text):
     return str(path)
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 HEADER = "order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order\n"
 
 
@@ -124,3 +131,35 @@ def test_stage_uses_the_shared_folder(spark):
     staged = stage(spark.range(5), "numbers")
     assert shared_folder(spark) in staged.inputFiles()[0]
     assert rows(staged) == [(i,) for i in range(5)]
+
+
+def test_scratch_can_be_dropped(tmp_path):
+    """In a process of its own, so that other tests keep their tables."""
+    code = (
+        "from basketry.session import *\n"
+        "import os\n"
+        "spark = local_session('1')\n"
+        "spark.sparkContext.setLogLevel('ERROR')\n"
+        "stage(spark.range(3), 'n')\n"
+        "folder = scratch_folder(spark).removeprefix('file:')\n"
+        "assert os.path.isdir(folder)\n"
+        "drop_scratch(spark)\n"
+        "assert not os.path.exists(folder)\n"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=120, cwd=ROOT)
+
+
+def test_a_workspace_is_rebuilt_when_a_file_changes(spark, tmp_path):
+    source = "/root/testdata/sf0.001"
+    for name in INPUTS:
+        shutil.copy(f"{source}/{name}.parquet", tmp_path / f"{name}.parquet")
+    first = open_workspace(spark, str(tmp_path))
+    assert open_workspace(spark, str(tmp_path)) is first
+    half = duckdb.connect()
+    target = tmp_path / "orders.parquet"
+    half.execute(
+        f"COPY (FROM read_parquet('{source}/orders.parquet') WHERE o_custkey > 75) TO '{target}' (FORMAT parquet)"
+    )
+    second = open_workspace(spark, str(tmp_path))
+    assert second is not first
+    assert second.orders.filter("user_id <= 75").isEmpty() and not second.orders.isEmpty()
