@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,20 @@ MANIFEST = T.StructType([
 ])
 
 
+@dataclass
+class Draft:
+    """A version that is written but not yet current."""
+
+    layer: str
+    version: int
+    folder: str
+    store: FeatureStore
+    schema: T.StructType
+
+    def read(self) -> DataFrame:
+        return self.store.spark.read.schema(self.schema).parquet(f"{self.store.root}/{self.folder}")
+
+
 class FeatureStore:
     """Layers under one root folder.
 
@@ -48,14 +63,14 @@ class FeatureStore:
     def current_version(self, layer: str) -> int:
         return self.versions(layer).agg(F.max("version")).first()[0] or 0
 
-    def publish(
+    def write_version(
         self,
         layer: str,
         df: DataFrame,
         cluster_by: list[str] | None = None,
         partition_by: list[str] | None = None,
-    ) -> DataFrame:
-        """Write ``df`` as the next version and return it read back.
+    ) -> Draft:
+        """Write the files of the next version; readers do not see it yet.
 
         ``cluster_by`` range-partitions and sorts the files by these columns, so
         a filter on them skips row groups; ranges follow the data, so a hot key
@@ -70,10 +85,18 @@ class FeatureStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/{folder}")
-        entry = {"layer": F.lit(layer), "version": F.lit(version), "folder": F.lit(folder)}
-        row = self.spark.range(1, numPartitions=1).select(*[v.alias(k) for k, v in entry.items()])
+        return Draft(layer, version, folder, self, df.schema)
+
+    def commit(self, draft: Draft) -> DataFrame:
+        """Make a written version the current one."""
+        entry = {"layer": draft.layer, "version": draft.version, "folder": draft.folder}
+        row = self.spark.range(1, numPartitions=1).select(*[F.lit(v).alias(k) for k, v in entry.items()])
         row.write.mode("append").json(self._manifest_path)
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{folder}")
+        return draft.read()
+
+    def publish(self, layer: str, df: DataFrame, **layout) -> DataFrame:
+        """Write ``df`` as the next version, switch to it and read it back."""
+        return self.commit(self.write_version(layer, df, **layout))
 
     def read(self, layer: str, version: int | None = None) -> DataFrame:
         known = self.versions(layer)
