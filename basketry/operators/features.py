@@ -13,6 +13,9 @@ from basketry.functions.numeric import round_ratio
 from basketry.operators.sequence import number_rows, position_slice
 
 PAIR = ["user_id", "product_id"]
+# Folders a published user-keyed layer is spread over; also the most values a
+# batch of requests can send to the driver to name the folders it needs.
+USER_BUCKETS = 256
 PAIR_FEATURES = [
     "user_product_total_buys",
     "user_product_reorder_rate",
@@ -22,6 +25,12 @@ PAIR_FEATURES = [
 ]
 
 
+def with_user_bucket(df: DataFrame) -> DataFrame:
+    """Add the folder of a user; the same for a 32-bit and a 64-bit id."""
+    bucket = F.pmod(F.xxhash64(F.col("user_id").cast("bigint")), F.lit(USER_BUCKETS))
+    return df.withColumn("user_bucket", bucket.cast("int"))
+
+
 def prior_items(order_products: DataFrame, cleaned: DataFrame) -> DataFrame:
     """Line items of prior orders with their user and order number."""
     prior = cleaned.filter(F.col("eval_set") == "prior").select("order_id", "user_id", "order_number")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.calendar import day_kind, day_name, dow_flags, is_weekend
-from basketry.operators.features import joined_layers, user_product_features
+from basketry.operators.features import joined_layers, user_product_features, with_user_bucket
 from basketry.operators.labels import derived_ratios
 from basketry.schema import FEATURES, MIN_PROBABILITY, RECOMMENDATION
 
@@ -27,19 +27,37 @@ def request_contexts(requests: DataFrame) -> DataFrame:
     return requests.groupBy(*CONTEXT).agg(F.max("top_n").alias("top_n"))
 
 
+def _asked_folders(asking: DataFrame, *layers: DataFrame) -> list[DataFrame]:
+    """Published layers cut down to the folders of the asking users, by names
+    known when the plan is made; other layers as they are.  At most
+    ``USER_BUCKETS`` small numbers reach the driver."""
+    if not any("user_bucket" in layer.columns for layer in layers):
+        return list(layers)
+    found = with_user_bucket(asking.select("user_id")).select("user_bucket").distinct().collect()
+    wanted = sorted(r.user_bucket for r in found if r.user_bucket is not None)
+    return [
+        layer.filter(F.col("user_bucket").isin(wanted)).drop("user_bucket")
+        if "user_bucket" in layer.columns
+        else layer
+        for layer in layers
+    ]
+
+
 def stored_features(
     asking: DataFrame, pairs: DataFrame, users: DataFrame, products: DataFrame
 ) -> DataFrame:
     """Stored features of the asking users' pairs, with the ratios taken at read
     time.  Pairs of other users are dropped before any feature joins them."""
+    pairs, users = _asked_folders(asking, pairs, users)
     ids = asking.select("user_id").distinct()
     mine = joined_layers(pairs.join(ids, "user_id", "left_semi"), users, products)
     return mine.withColumns(derived_ratios()).select("user_id", "product_id", *STORED)
 
 
 def lookup_user(pairs: DataFrame, users: DataFrame, products: DataFrame, user_id: int) -> DataFrame:
-    """Features of one user, most bought first.  The filter reaches the scans,
-    and on layers sorted by user skips all other row groups."""
+    """Features of one user, most bought first.  The filter reaches the scans;
+    on published layers one folder is opened and other row groups are skipped."""
+    pairs, users = _asked_folders(pairs.sparkSession.range(1).select(F.lit(user_id).alias("user_id")), pairs, users)
     own = F.col("user_id") == user_id
     mine = joined_layers(pairs.filter(own), users.filter(own), products).withColumns(derived_ratios())
     return mine.select("product_id", *STORED).orderBy(F.desc("user_product_total_buys"), "product_id")
@@ -54,6 +72,7 @@ def context_features(
     with many contexts is spread over slices: their pairs are repeated per
     slice, everyone else's stay single, and the join key is (user, slice).
     """
+    pairs, users = _asked_folders(contexts, pairs, users)
     asking = contexts.groupBy("user_id").agg(
         F.ceil(F.count("*") / CONTEXTS_PER_SLICE).cast("int").alias("_slices")
     )
@@ -169,6 +188,7 @@ def candidate_counts(
     requests: DataFrame, pairs: DataFrame, users: DataFrame, products: DataFrame
 ) -> DataFrame:
     """Scorable products per asking user, before any cut-off."""
+    pairs, users = _asked_folders(requests, pairs, users)
     asking = requests.select("user_id").distinct()
     return (
         pairs.select("user_id", "product_id")

@@ -47,12 +47,20 @@ def build_matrix(orders: DataFrame, order_products: DataFrame, layers: Layers |
 
 
 def publish_layers(store: FeatureStore, orders: DataFrame, order_products: DataFrame) -> Layers:
-    """Build and publish every layer, laid out by user for serving."""
-    pairs = store.publish("user_product_features", pair_layer(orders, order_products), cluster_by=f.PAIR)
+    """Build and publish every layer.  The layers keyed by user are spread over
+    folders by a hash of the user and sorted inside, so a small batch of
+    requests opens only the folders of its users."""
+    by_user = {"partition_by": ["user_bucket"]}
+    pairs = store.publish(
+        "user_product_features",
+        f.with_user_bucket(pair_layer(orders, order_products)),
+        cluster_by=["user_bucket", *f.PAIR],
+        **by_user,
+    )
     users = f.user_features(cleaned_orders(orders), f.user_item_counts_of_pairs(pairs))
     return Layers(
         pairs,
-        store.publish("user_features", users, cluster_by=["user_id"]),
+        store.publish("user_features", f.with_user_bucket(users), cluster_by=["user_bucket", "user_id"], **by_user),
         store.publish("product_features", f.product_features_of_pairs(pairs), cluster_by=["product_id"]),
     )
 

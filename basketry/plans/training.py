@@ -44,7 +44,7 @@ def train(
     frame = with_split(
         model_frame(sample_users(matrix, one_user_in)), test_share, validation_share, SEED
     )
-    frame = stage(frame, "matrix")
+    frame = stage(frame, "matrix", partition_by=["split"])
     part = {name: frame.filter(F.col("split") == name) for name in ("train", "validation", "test")}
     weight = c.class_balance(part["train"]).first()["scale_pos_weight"] or 1.0
     train_rows = c.with_class_weight(part["train"], weight)

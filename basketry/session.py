@@ -55,7 +55,7 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
     For a relation used by several branches: it is computed once, its lineage
@@ -63,5 +63,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     its real size when they choose between a broadcast and a shuffle.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

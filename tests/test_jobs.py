@@ -1,14 +1,23 @@
 """The phases one after the other, from CSV files to ranked lists."""
 
+import re
+
 import pytest
 from conftest import rows
 from builders import make_requests
 
 from basketry import jobs, schema
+from basketry.operators import recommend
 from basketry.operators.classifier import GbtSettings
+from basketry.plans.feature_build import build_layers, published_layers
+from basketry.plans.serving import Serving
 from basketry.sources.store import FeatureStore
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def write_files(folder, spoil=False):
     users, products = range(1, 61), range(1, 13)
     orders = ["order_id,user_id,eval_set,order_number,order_dow,order_hour_of_day,days_since_prior_order"]
@@ -56,6 +65,19 @@ def test_from_files_to_lists(spark, tmp_path):
     settings = GbtSettings(max_rounds=3, max_depth=2, min_rows_per_node=1)
     assert jobs.fit(store, model, settings).auc.first().auc > 0.5
     requests = make_requests(spark, [(1, 1, 10, 0, 7.0, 3), (2, 5, 19, 4, None, 10), (3, 999, 1, 1, None, 10)])
+    served = jobs.open_serving(store, model)
+    text = plan(served.recommend(requests))
+    assert len([x for x in text.splitlines() if "PartitionFilters: [user_bucket" in x]) == 2
+    staged = Serving(
+        build_layers(store.read("orders"), store.read("order_products")), served.catalog, served.scorer
+    )
+    assert rows(served.recommend(requests)) == rows(staged.recommend(requests))
+    assert rows(served.summarize(requests)) == rows(staged.summarize(requests))
+    layers = published_layers(store)
+    one = recommend.lookup_user(layers.pairs, layers.users, layers.products, 5)
+    assert rows(one) == rows(recommend.lookup_user(staged.layers.pairs, staged.layers.users, staged.layers.products, 5))
+    # The plan shows each scan before and after execution.
+    assert len(set(re.findall(r"PartitionFilters: \[[^\]]*user_bucket", plan(one)))) == 2
     jobs.serve(store, model, requests, out)
     lists = spark.read.parquet(f"{out}/recommendations")
     assert lists.schema.names == schema.RECOMMENDATION.names
