@@ -22,6 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from basketry.operators import quality  # noqa: E402
 from basketry.operators.classifier import GbtSettings  # noqa: E402
+from basketry.operators.features import USER_FOLDERS  # noqa: E402
 from basketry.operators.recommend import product_catalog  # noqa: E402
 from basketry.plans.feature_build import build_matrix, publish_layers, published_layers  # noqa: E402
 from basketry.plans.serving import Serving, serving_from_model  # noqa: E402
@@ -77,10 +78,10 @@ def base_tables(store: FeatureStore) -> dict[str, DataFrame]:
     return {t: store.read(t) for t in BASE_TABLES}
 
 
-def build(store: FeatureStore) -> DataFrame:
+def build(store: FeatureStore, user_folders: int = USER_FOLDERS) -> DataFrame:
     """Publish the layers and the training matrix."""
     tables = base_tables(store)
-    layers = publish_layers(store, tables["orders"], tables["order_products"])
+    layers = publish_layers(store, tables["orders"], tables["order_products"], user_folders)
     matrix = build_matrix(tables["orders"], tables["order_products"], layers)
     return store.publish("training_matrix", matrix)
 
@@ -108,6 +109,7 @@ def arguments() -> argparse.ArgumentParser:
     parser.add_argument("--store", required=True)
     parser.add_argument("--csv")
     parser.add_argument("--wide-keys", action="store_true")
+    parser.add_argument("--user-folders", type=int, default=USER_FOLDERS)
     parser.add_argument("--model")
     parser.add_argument("--rounds", type=int, default=GbtSettings.max_rounds)
     parser.add_argument("--one-user-in", type=int)
@@ -123,7 +125,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "load":
         load(store, args.csv, args.wide_keys).show(truncate=False)
     elif args.command == "build":
-        build(store)
+        build(store, args.user_folders)
     elif args.command == "train":
         result = fit(store, args.model, GbtSettings(max_rounds=args.rounds, seed=SEED), args.one_user_in)
         for table in (result.split, result.confusion, result.report, result.auc, result.importance):

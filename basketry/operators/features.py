@@ -13,9 +13,8 @@ from basketry.functions.numeric import round_ratio
 from basketry.operators.sequence import number_rows, position_slice
 
 PAIR = ["user_id", "product_id"]
-# Folders a published user-keyed layer is spread over; also the most values a
-# batch of requests can send to the driver to name the folders it needs.
-USER_BUCKETS = 256
+# Folders a published user-keyed layer is spread over, unless told otherwise.
+USER_FOLDERS = 256
 PAIR_FEATURES = [
     "user_product_total_buys",
     "user_product_reorder_rate",
@@ -25,10 +24,17 @@ PAIR_FEATURES = [
 ]
 
 
-def with_user_bucket(df: DataFrame) -> DataFrame:
+def folder_column(folders: int) -> str:
+    """The name says how many folders there are, so a reader can compute a
+    user's folder from the layer alone."""
+    return f"user_mod_{folders}"
+
+
+def with_user_folder(df: DataFrame, column: str) -> DataFrame:
     """Add the folder of a user; the same for a 32-bit and a 64-bit id."""
-    bucket = F.pmod(F.xxhash64(F.col("user_id").cast("bigint")), F.lit(USER_BUCKETS))
-    return df.withColumn("user_bucket", bucket.cast("int"))
+    folders = int(column.rsplit("_", 1)[1])
+    folder = F.pmod(F.xxhash64(F.col("user_id").cast("bigint")), F.lit(folders))
+    return df.withColumn(column, folder.cast("int"))
 
 
 def prior_items(order_products: DataFrame, cleaned: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.calendar import day_kind, day_name, dow_flags, is_weekend
-from basketry.operators.features import joined_layers, user_product_features, with_user_bucket
+from basketry.operators.features import joined_layers, user_product_features, with_user_folder
 from basketry.operators.labels import derived_ratios
 from basketry.schema import FEATURES, MIN_PROBABILITY, RECOMMENDATION
 
@@ -28,19 +28,17 @@ def request_contexts(requests: DataFrame) -> DataFrame:
 
 
 def _asked_folders(asking: DataFrame, *layers: DataFrame) -> list[DataFrame]:
-    """Published layers cut down to the folders of the asking users, by names
-    known when the plan is made; other layers as they are.  At most
-    ``USER_BUCKETS`` small numbers reach the driver."""
-    if not any("user_bucket" in layer.columns for layer in layers):
-        return list(layers)
-    found = with_user_bucket(asking.select("user_id")).select("user_bucket").distinct().collect()
-    wanted = sorted(r.user_bucket for r in found if r.user_bucket is not None)
-    return [
-        layer.filter(F.col("user_bucket").isin(wanted)).drop("user_bucket")
-        if "user_bucket" in layer.columns
-        else layer
-        for layer in layers
-    ]
+    """Published layers cut down to the folders of the asking users, named when
+    the plan is made; other layers as they are.  One small number per folder,
+    at most, reaches the driver."""
+    cut = []
+    for layer in layers:
+        column = next((c for c in layer.columns if c.startswith("user_mod_")), None)
+        if column:
+            found = with_user_folder(asking.select("user_id"), column).select(column).distinct().collect()
+            layer = layer.filter(F.col(column).isin(sorted(r[0] for r in found if r[0] is not None))).drop(column)
+        cut.append(layer)
+    return cut
 
 
 def stored_features(

@@ -255,7 +255,7 @@ def published_layers(spark, sf_dir):
     """The product layer read from a store after a publish and a refresh."""
     t = _star(spark, sf_dir)
     store = FeatureStore(spark, scratch_path(spark, "store"))
-    layers = publish_layers(store, t.orders, t.order_products)
+    layers = publish_layers(store, t.orders, t.order_products, user_folders=16)
     store.refresh(
         "product_features",
         lambda: features.product_features_of_pairs(layers.pairs),

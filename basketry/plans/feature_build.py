@@ -46,23 +46,30 @@ def build_matrix(orders: DataFrame, order_products: DataFrame, layers: Layers |
     )
 
 
-def publish_layers(store: FeatureStore, orders: DataFrame, order_products: DataFrame) -> Layers:
+def publish_layers(
+    store: FeatureStore, orders: DataFrame, order_products: DataFrame, user_folders: int = f.USER_FOLDERS
+) -> Layers:
     """Build and publish every layer.  The layers keyed by user are spread over
     folders by a hash of the user and sorted inside, so a small batch of
     requests opens only the folders of its users."""
-    by_user = {"partition_by": ["user_bucket"]}
+    folder = f.folder_column(user_folders)
     pairs = store.publish(
         "user_product_features",
-        f.with_user_bucket(pair_layer(orders, order_products)),
-        cluster_by=["user_bucket", *f.PAIR],
-        **by_user,
+        f.with_user_folder(pair_layer(orders, order_products), folder),
+        cluster_by=[folder, *f.PAIR],
+        partition_by=[folder],
     )
     users = f.user_features(cleaned_orders(orders), f.user_item_counts_of_pairs(pairs))
-    return Layers(
-        pairs,
-        store.publish("user_features", f.with_user_bucket(users), cluster_by=["user_bucket", "user_id"], **by_user),
-        store.publish("product_features", f.product_features_of_pairs(pairs), cluster_by=["product_id"]),
+    users = store.publish(
+        "user_features",
+        f.with_user_folder(users, folder),
+        cluster_by=[folder, "user_id"],
+        partition_by=[folder],
+    )
+    products = store.publish(
+        "product_features", f.product_features_of_pairs(pairs), cluster_by=["product_id"]
     )
+    return Layers(pairs, users, products)
 
 
 def published_layers(store: FeatureStore) -> Layers:

@@ -59,7 +59,7 @@ def test_from_files_to_lists(spark, tmp_path):
     counts = {r.table_name: r.row_count for r in jobs.load(store, str(source)).collect()}
     assert counts["orders"] == 300 and counts["products"] == 12
     assert dict(store.read("orders").dtypes)["order_number"] == "smallint"
-    matrix = jobs.build(store)
+    matrix = jobs.build(store, user_folders=8)
     assert matrix.columns == [*schema.IDENTIFIERS, schema.TARGET, *schema.FEATURES]
     assert matrix.filter("user_id % 5 = 0").isEmpty() and matrix.count() > 100
     settings = GbtSettings(max_rounds=3, max_depth=2, min_rows_per_node=1)
@@ -67,7 +67,7 @@ def test_from_files_to_lists(spark, tmp_path):
     requests = make_requests(spark, [(1, 1, 10, 0, 7.0, 3), (2, 5, 19, 4, None, 10), (3, 999, 1, 1, None, 10)])
     served = jobs.open_serving(store, model)
     text = plan(served.recommend(requests))
-    assert len([x for x in text.splitlines() if "PartitionFilters: [user_bucket" in x]) == 2
+    assert len([x for x in text.splitlines() if "PartitionFilters: [user_mod_8" in x]) == 2
     staged = Serving(
         build_layers(store.read("orders"), store.read("order_products")), served.catalog, served.scorer
     )
@@ -77,7 +77,7 @@ def test_from_files_to_lists(spark, tmp_path):
     one = recommend.lookup_user(layers.pairs, layers.users, layers.products, 5)
     assert rows(one) == rows(recommend.lookup_user(staged.layers.pairs, staged.layers.users, staged.layers.products, 5))
     # The plan shows each scan before and after execution.
-    assert len(set(re.findall(r"PartitionFilters: \[[^\]]*user_bucket", plan(one)))) == 2
+    assert len(set(re.findall(r"PartitionFilters: \[[^\]]*user_mod_8", plan(one)))) == 2
     jobs.serve(store, model, requests, out)
     lists = spark.read.parquet(f"{out}/recommendations")
     assert lists.schema.names == schema.RECOMMENDATION.names
