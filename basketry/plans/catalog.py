@@ -17,7 +17,7 @@ from basketry.plans.workspace import Workspace, open_workspace
 from basketry.schema import FEATURES, SEED, TARGET, TEST_SHARE
 from basketry.session import scratch_path, stage
 from basketry.sources import star
-from basketry.sources.csv_tables import load_base_tables, write_csv
+from basketry.sources.csv_tables import load_base_tables, load_csv, write_csv
 from basketry.sources.store import FeatureStore, column_catalogue
 from basketry.streaming.scoring import answer_stream, request_stream
 
@@ -114,9 +114,10 @@ def product_catalog(spark, sf_dir):
 
 
 def csv_orders(spark, sf_dir):
-    path = scratch_path(spark, "orders-csv")
-    write_csv(_orders(spark, sf_dir), path)
-    return load_base_tables(spark, {"orders": path}, wide_keys=True)["orders"]
+    """Orders written as CSV and loaded back with their types."""
+    orders, path = _orders(spark, sf_dir), scratch_path(spark, "orders-csv")
+    write_csv(orders, path)
+    return load_csv(spark, orders.schema, path)
 
 
 def csv_order_products(spark, sf_dir):
