@@ -2,6 +2,7 @@
 
     spark-submit basketry/jobs.py load   --store S --csv FOLDER
     spark-submit basketry/jobs.py build  --store S
+    spark-submit basketry/jobs.py check  --store S
     spark-submit basketry/jobs.py train  --store S --model M
     spark-submit basketry/jobs.py serve  --store S --model M --requests R --out O
     spark-submit basketry/jobs.py stream --store S --model M --requests R --out O
@@ -20,14 +21,15 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from basketry.operators import quality  # noqa: E402
+from basketry.operators import quality, retention  # noqa: E402
+from basketry.operators.cleaning import cleaned_orders  # noqa: E402
 from basketry.operators.classifier import GbtSettings  # noqa: E402
-from basketry.operators.features import USER_FOLDERS  # noqa: E402
+from basketry.operators.features import USER_FOLDERS, prior_items, purchase_history  # noqa: E402
 from basketry.operators.recommend import product_catalog  # noqa: E402
 from basketry.plans.feature_build import build_matrix, publish_layers, published_layers  # noqa: E402
 from basketry.plans.serving import Serving, serving_from_model  # noqa: E402
 from basketry.plans.training import TrainingResult, train  # noqa: E402
-from basketry.schema import BASE_TABLES, REQUEST, SEED  # noqa: E402
+from basketry.schema import BASE_TABLES, REQUEST, SEED, TARGET  # noqa: E402
 from basketry.session import drop_scratch  # noqa: E402
 from basketry.sources.csv_tables import load_base_tables  # noqa: E402
 from basketry.sources.store import FeatureStore  # noqa: E402
@@ -74,6 +76,48 @@ def load(store: FeatureStore, folder: str, wide_keys: bool = False) -> DataFrame
     return quality.row_counts(base_tables(store))
 
 
+def purge(store: FeatureStore, ids: DataFrame) -> None:
+    """Delete orders with their line items: both tables are rewritten, and
+    neither becomes current before both are written."""
+    tables = base_tables(store)
+    orders, items = retention.purge_orders(tables["orders"], tables["order_products"], ids)
+    drafts = [
+        store.write_version("orders", orders, partition_by=["eval_set"]),
+        store.write_version("order_products", items),
+    ]
+    for draft in drafts:
+        store.commit(draft)
+
+
+def delete_products(store: FeatureStore, ids: DataFrame) -> None:
+    """Delete products; refused as a whole when one of them was ever sold."""
+    tables = base_tables(store)
+    listed = ids.select("product_id").distinct()
+    sold = listed.exceptAll(retention.deletable_products(listed, tables["order_products"])).count()
+    if sold:
+        raise ValueError(f"{sold} of the products have orders")
+    store.publish("products", tables["products"].join(listed, "product_id", "left_anti"))
+
+
+def checks(store: FeatureStore) -> list[DataFrame]:
+    """Reports on the published tables, layers and matrix."""
+    tables, layers, matrix = base_tables(store), published_layers(store), store.read("training_matrix")
+    clean = cleaned_orders(tables["orders"])
+    history = purchase_history(prior_items(tables["order_products"], clean))
+    return [
+        quality.row_counts(tables),
+        violations(tables),
+        quality.null_gap_count(clean),
+        quality.wrong_flag_count(clean),
+        quality.share_by(clean, "is_weekend", "order_count"),
+        quality.feature_key_violations(history, layers.pairs),
+        quality.share_by(matrix, TARGET, "row_count"),
+        quality.matrix_null_audit(matrix),
+        quality.pair_uniqueness(matrix),
+        quality.range_audit(matrix),
+    ]
+
+
 def base_tables(store: FeatureStore) -> dict[str, DataFrame]:
     return {t: store.read(t) for t in BASE_TABLES}
 
@@ -105,7 +149,7 @@ def serve(store: FeatureStore, model_path: str, requests: DataFrame, out: str) -
 
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
-    parser.add_argument("command", choices=["load", "build", "train", "serve", "stream"])
+    parser.add_argument("command", choices=["load", "build", "check", "train", "serve", "stream"])
     parser.add_argument("--store", required=True)
     parser.add_argument("--csv")
     parser.add_argument("--wide-keys", action="store_true")
@@ -126,6 +170,9 @@ def main(argv: list[str] | None = None) -> None:
         load(store, args.csv, args.wide_keys).show(truncate=False)
     elif args.command == "build":
         build(store, args.user_folders)
+    elif args.command == "check":
+        for report in checks(store):
+            report.show(50, truncate=False)
     elif args.command == "train":
         result = fit(store, args.model, GbtSettings(max_rounds=args.rounds, seed=SEED), args.one_user_in)
         for table in (result.split, result.confusion, result.report, result.auc, result.importance):

@@ -1,11 +1,12 @@
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 from conftest import rows
 from builders import make_orders, small_world
 from pyspark.sql import functions as F
 
 from basketry.functions.calendar import day_kind, day_name
-from basketry.functions.numeric import percent_of, round_ratio
+from basketry.functions.numeric import bucket_1000, percent_of, round_ratio
 from basketry.operators import features as f
 from basketry.operators.cleaning import cleaned_orders, sample_rows
 from basketry.plans.feature_build import build_layers
@@ -102,3 +103,28 @@ def test_unknown_day_has_no_name(spark):
     df = spark.createDataFrame([(0,), (6,), (9,), (None,)], "d int")
     got = [tuple(r) for r in df.select(day_name(F.col("d")), day_kind(F.col("d"))).collect()]
     assert got == [("Saturday", "Weekend"), ("Friday", "Weekday"), ("?", "Weekday"), ("?", "Weekday")]
+
+
+def test_round_ratio_equals_decimal_rounding(spark):
+    rng = random.Random(5)
+    cases = [(rng.randint(-(10**9), 10**9), rng.randint(1, 10**6)) for _ in range(500)]
+    cases += [(a, b) for a in range(-20, 21) for b in (1, 2, 8, 40, 3200)]
+    df = spark.createDataFrame(cases, "a long, b long")
+    for digits in (0, 2, 4, 6):
+        got = df.select("a", "b", round_ratio(F.col("a"), F.col("b"), digits).alias("q")).collect()
+        for a, b, q in got:
+            exact = (Decimal(a) / Decimal(b)).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)
+            assert q == float(exact), (a, b, digits)
+
+
+def test_hash_buckets_equal_plain_arithmetic(spark):
+    def by_hand(key, seed):
+        state = (key % 2147483648 * 1103515245 + 12345) % 2147483648
+        state = ((state + seed) % 2147483648 * 1103515245 + 12345) % 2147483648
+        return state // 65536 % 1000
+
+    keys = [0, 1, 2, 999, 2**31 - 1, 2**31, 2**40 + 7, 10**12]
+    df = spark.createDataFrame([(k,) for k in keys], "k long")
+    for seed in (0, 42, 2**31 - 1):
+        got = [r[0] for r in df.select(bucket_1000(F.col("k"), seed)).collect()]
+        assert got == [by_hand(k, seed) for k in keys]

@@ -98,3 +98,34 @@ def test_a_broken_constraint_stops_the_load(spark, tmp_path):
         jobs.load(store, str(bad))
     assert store.current_version("order_products") == 1
     assert rows(store.read("order_products")) == before
+
+
+def test_purge_delete_and_check(spark, tmp_path):
+    source = tmp_path / "csv"
+    source.mkdir()
+    write_files(source)
+    with open(source / "products.csv", "a") as f:
+        f.write('77,"never sold",1,1\n')
+    store = FeatureStore(spark, str(tmp_path / "store"))
+    jobs.load(store, str(source))
+    jobs.build(store, user_folders=2)
+    reports = jobs.checks(store)
+    assert reports[1].isEmpty()
+    assert reports[2].first()[0] == 0 and reports[3].first()[0] == 0
+    assert {r.violations for r in reports[5].collect()} == {0}
+    unique = reports[8].first()
+    assert unique.total_rows == unique.unique_user_product_pairs
+
+    with pytest.raises(ValueError, match="1 of the products"):
+        jobs.delete_products(store, spark.createDataFrame([(4,), (77,)], "product_id int"))
+    jobs.delete_products(store, spark.createDataFrame([(77,)], "product_id int"))
+    assert store.read("products").filter("product_id = 77").isEmpty()
+
+    gone = store.read("orders").filter("user_id = 4").select("order_id")
+    ids = [r.order_id for r in gone.collect()]
+    jobs.purge(store, gone)
+    assert store.read("orders").filter("user_id = 4").isEmpty()
+    left = store.read("order_products")
+    assert left.filter(left.order_id.isin(ids)).isEmpty() and not left.isEmpty()
+    assert jobs.violations(jobs.base_tables(store)).isEmpty()
+    assert len(store.read("orders", 1).filter("user_id = 4").collect()) == 5

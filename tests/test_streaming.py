@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from builders import make_catalog, make_requests, small_world
 from pyspark.sql import functions as F
@@ -51,3 +52,28 @@ def test_a_repeated_batch_leaves_no_duplicates(spark, tmp_path):
         )
         query.awaitTermination()
     assert rows(spark.read.parquet(sink).drop("batch")) == rows(served.recommend(requests))
+
+
+def test_a_failing_batch_is_answered_after_a_restart(spark, tmp_path):
+    layers = build_layers(*small_world(spark))
+    failures = {"left": 1}
+
+    def scorer(df):
+        if failures["left"]:
+            failures["left"] -= 1
+            raise RuntimeError("lost")
+        return df.withColumn("reorder_prob", F.col("user_product_total_buys") / 10)
+
+    served = Serving(layers, make_catalog(spark, {10: "milk"}), scorer)
+    requests = make_requests(spark, [(i, 1 + i % 3, 1, 1, None, 5) for i in range(12)])
+    incoming, sink, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    requests.repartition(2).write.parquet(incoming)
+
+    def run():
+        stream = request_stream(spark, incoming, files_per_trigger=1)
+        answer_stream(stream, served, sink, mark, available_now=True).awaitTermination()
+
+    with pytest.raises(Exception, match="lost"):
+        run()
+    run()
+    assert rows(spark.read.parquet(sink).drop("batch")) == rows(served.recommend(requests))
