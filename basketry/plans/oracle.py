@@ -450,8 +450,8 @@ _BODIES: dict[str, str] = {
                     FROM (SELECT reorder_prob, sum(is_reordered_target) AS pos,
                                  sum(1 - is_reordered_target) AS neg
                           FROM scored GROUP BY reorder_prob)))""",
-    "score_cumulative_share": f"""SELECT CAST(rank AS INTEGER) AS rank, feature, gain, gain * 100.0::DOUBLE / total AS gain_pct,
-        running * 100.0::DOUBLE / total AS gain_pct_cum, running * 100.0::DOUBLE / total <= 80 AS in_top_80
+    "score_cumulative_share": f"""SELECT CAST(rank AS INTEGER) AS rank, feature, gain,
+        gain * 100.0::DOUBLE / total AS gain_pct, running * 100.0::DOUBLE / total AS gain_pct_cum, running * 100.0::DOUBLE / total <= 80 AS in_top_80
         FROM (SELECT feature, CAST(n AS DOUBLE) AS gain,
                      row_number() OVER (ORDER BY n DESC, feature) AS rank,
                      CAST(sum(n) OVER (ORDER BY n DESC, feature) AS DOUBLE) AS running,

@@ -15,7 +15,7 @@ from basketry.operators.classifier import GbtSettings
 from basketry.operators.recommend import product_catalog
 from basketry.plans.feature_build import Layers, build_layers, build_matrix
 from basketry.plans.training import TrainingResult, train
-from basketry.session import stage
+from basketry.session import scratch_exists, stage
 from basketry.sources.star import StarTables
 
 # Rounds for the registered model queries; the library's default is 500.
@@ -59,10 +59,12 @@ _open: dict[tuple[str, str], tuple[tuple, Workspace]] = {}
 
 
 def open_workspace(spark: SparkSession, sf_dir: str) -> Workspace:
-    """The workspace of a directory; a new one when a file in it has changed or
-    the application is another one."""
+    """The workspace of a directory; a new one when a file in it has changed,
+    its intermediates were dropped, or the application is another one."""
     key = (spark.sparkContext.applicationId, sf_dir)
     state = files_state(spark, [f"{sf_dir}/{name}.parquet" for name in INPUTS])
-    if key not in _open or _open[key][0] != state:
-        _open[key] = (state, Workspace(spark, sf_dir))
-    return _open[key][1]
+    known, workspace = _open.get(key, (None, None))
+    if known != state or ("orders" in vars(workspace) and not scratch_exists(spark)):
+        workspace = Workspace(spark, sf_dir)
+        _open[key] = (state, workspace)
+    return workspace

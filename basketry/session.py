@@ -49,10 +49,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _scratch_path_and_system(spark: SparkSession):
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def scratch_exists(spark: SparkSession) -> bool:
+    path, system = _scratch_path_and_system(spark)
+    return system.exists(path)
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete this application's intermediates; call it after the last action."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    path, system = _scratch_path_and_system(spark)
+    system.delete(path, True)
 
 
 def stage(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

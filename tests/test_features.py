@@ -93,7 +93,8 @@ def test_dropping_later_orders_changes_no_layer(spark):
 def test_recency_by_order_and_top_pairs(spark):
     orders, items = small_world(spark)
     layers = build_layers(orders, items)
-    recency = {(r.user_id, r.product_id): r.recency_ratio_by_order for r in f.recency_by_order(layers.pairs, layers.users).collect()}
+    table = f.recency_by_order(layers.pairs, layers.users).collect()
+    recency = {(r.user_id, r.product_id): r.recency_ratio_by_order for r in table}
     assert recency[(1, 11)] == 0.3333 and recency[(1, 10)] == 1.0
     top = f.top_pairs(layers.pairs, layers.users, layers.products, 2).collect()
     assert [(r.user_id, r.product_id) for r in top] == [(1, 10), (1, 11)]

@@ -35,7 +35,8 @@ def test_sound_tables(spark):
 
 
 def test_nulls(spark):
-    loose = spark.createDataFrame([(None, "p", 1, None)], "product_id int, product_name string, aisle_id short, department_id short")
+    columns = "product_id int, product_name string, aisle_id short, department_id short"
+    loose = spark.createDataFrame([(None, "p", 1, None)], columns)
     assert found(quality.not_null_violations(tables(spark, products=loose))) == {
         "products.product_id": 1,
         "products.department_id": 1,

@@ -96,7 +96,8 @@ def test_request_labels(spark):
 
 
 def test_catalog(spark):
-    products = spark.createDataFrame([(1, "milk", 5, 6)], "product_id int, product_name string, aisle_id short, department_id short")
+    columns = "product_id int, product_name string, aisle_id short, department_id short"
+    products = spark.createDataFrame([(1, "milk", 5, 6)], columns)
     aisles = spark.createDataFrame([(5, "dairy")], "aisle_id short, aisle string")
     departments = spark.createDataFrame([(6, "fresh")], "department_id short, department string")
     assert rows(r.product_catalog(products, aisles, departments)) == [(1, "milk", "dairy", "fresh")]

@@ -145,6 +145,11 @@ def test_scratch_can_be_dropped(tmp_path):
         "assert os.path.isdir(folder)\n"
         "drop_scratch(spark)\n"
         "assert not os.path.exists(folder)\n"
+        "from basketry.plans.workspace import open_workspace\n"
+        "first = open_workspace(spark, '/root/testdata/sf0.001')\n"
+        "n = first.orders.count()\n"
+        "drop_scratch(spark)\n"
+        "assert open_workspace(spark, '/root/testdata/sf0.001').orders.count() == n == 1500\n"
     )
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120, cwd=ROOT)
 
