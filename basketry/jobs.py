@@ -68,7 +68,7 @@ def load(store: FeatureStore, folder: str, wide_keys: bool = False) -> DataFrame
     raw = load_base_tables(store.spark, {t: at(names) for t, names in CSV_FILES.items()}, wide_keys)
     layout = {"orders": {"partition_by": ["eval_set"]}}
     drafts = {t: store.write_version(t, df, **layout.get(t, {})) for t, df in raw.items()}
-    broken = violations({t: draft.read() for t, draft in drafts.items()}).limit(50).collect()
+    broken = violations({t: draft.read() for t, draft in drafts.items()}).collect()
     if broken:
         raise ValueError("; ".join(f"{r.check_name}: {r.violations}" for r in broken))
     for draft in drafts.values():

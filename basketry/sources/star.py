@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.calendar import dow_of
@@ -21,7 +21,7 @@ from basketry.session import stage
 # How the star schema maps to the base tables.
 SHORT_MAX = 32767
 TYPE_SPAN = 10
-KEY_RANGES = 64
+SLICE_ROWS = 1_000_000
 REQUEST_EVENT = "view"
 REQUEST_GAP = 7.0
 
@@ -70,6 +70,19 @@ def products(part: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _day_slices(dated: DataFrame) -> Column:
+    """Slices for users too busy for one task: a day each, and where a single
+    day of one user is still large, equal ranges of order keys within the day."""
+    per_day = dated.groupBy("user_id", "day").agg(
+        F.count("*").alias("n"), F.min("order_id").alias("low"), F.max("order_id").alias("high")
+    )
+    busiest, low, high = per_day.agg(F.max("n"), F.min("low"), F.max("high")).first()
+    ranges = -(-busiest // SLICE_ROWS)
+    width = -(-(high - low + 1) // ranges)
+    day = F.datediff("day", F.lit("1970-01-01").cast("date")).cast("bigint")
+    return day * ranges + F.floor((F.col("order_id") - low) / width).cast("bigint")
+
+
 def orders(raw: DataFrame) -> DataFrame:
     """Orders numbered per customer by date, the last one held out."""
     dated = raw.select(
@@ -87,11 +100,7 @@ def orders(raw: DataFrame) -> DataFrame:
         numbered = numbered.withColumn("user_orders", F.count("*").over(whole))
         number_type = "smallint"
     else:
-        low, high = dated.agg(F.min("order_id"), F.max("order_id")).first()
-        width = max(1, -(-(high - low + 1) // KEY_RANGES))
-        ranges = F.floor((F.col("order_id") - low) / width).cast("bigint")
-        day_number = F.datediff("day", F.lit("1970-01-01").cast("date")).cast("bigint")
-        slices = day_number * KEY_RANGES + ranges
+        slices = _day_slices(dated)
         numbered = number_rows(dated, ["user_id"], order_by, "order_number", previous, slices)
         numbered = numbered.join(per_user, "user_id")
         number_type = "int"

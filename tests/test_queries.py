@@ -88,7 +88,24 @@ def skewed(tmp_path_factory):
 def test_hot_keys(spark, skewed, name, monkeypatch):
     """The limits are lowered so that the hot user's groups are cut in slices."""
     monkeypatch.setattr(star, "SHORT_MAX", 100)
+    monkeypatch.setattr(star, "SLICE_ROWS", 1)
     monkeypatch.setattr(sequence, "SLICE_LENGTH", 16)
     monkeypatch.setattr(recommend, "CONTEXTS_PER_SLICE", 8)
     folder, con = skewed
     same(spark, con, name, folder)
+
+
+def test_one_user_with_all_orders_on_two_days(spark, tmp_path, monkeypatch):
+    """Days alone cannot cut the group: key ranges within a day do."""
+    monkeypatch.setattr(star, "SHORT_MAX", 100)
+    monkeypatch.setattr(star, "SLICE_ROWS", 50)
+    folder, con = str(tmp_path), duckdb.connect()
+    one_user = """SELECT * REPLACE (
+        1 AS o_custkey,
+        CASE WHEN o_orderkey % 5 = 0 THEN TIMESTAMP '1997-01-01' ELSE TIMESTAMP '1997-02-01' END AS o_orderdate)"""
+    for t in TABLES:
+        chosen = one_user if t == "orders" else "SELECT *"
+        source = os.path.join(SMALL, f"{t}.parquet")
+        con.execute(f"COPY ({chosen} FROM read_parquet('{source}')) TO '{folder}/{t}.parquet'")
+    for name in ("base_orders", "user_product_features"):
+        same(spark, database(folder), name, folder)
