@@ -66,8 +66,9 @@ def number_rows(
             F.sum("_size").over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
             F.lag("_last").over(across).alias("_carried"),
         )
+        .filter(F.col("_before").isNotNull())  # nothing to carry into a first slice
     )
     changed = {number: F.col(number) + F.coalesce(F.col("_before"), F.lit(0))}
     for new, source in previous.items():
         changed[new] = F.coalesce(F.col(new), F.col(f"_carried.{source}"))
-    return numbered.join(carried, slice_keys).withColumns(changed).select(*rows.columns, number, *previous)
+    return numbered.join(carried, slice_keys, "left").withColumns(changed).select(*rows.columns, number, *previous)
