@@ -118,6 +118,7 @@ def share_by(df: DataFrame, column: str, count_name: str) -> DataFrame:
 
 
 def matrix_null_audit(matrix: DataFrame) -> DataFrame:
+    # Names of the counts and the columns they watch.
     audited = {
         "null_total_buys": "user_product_total_buys",
         "null_up_reorder_rate": "user_product_reorder_rate",
