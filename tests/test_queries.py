@@ -39,8 +39,11 @@ def same(spark, con, name, sf_dir):
     assert not type_differences(df.columns, got, columns, want)
 
 
+LLM = {name for name in queries() if name == "pipeline" or name.startswith("op")}
+
+
 def test_every_query_has_sql_or_is_named_here():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
+    assert set(queries()) - LLM - set(oracle_sql()) == NO_SQL
     assert set(oracle_sql()) <= set(queries())
 
 
@@ -49,7 +52,7 @@ def small():
     return database(SMALL)
 
 
-@pytest.mark.parametrize("name", sorted(set(oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(oracle_sql()) - LLM))
 def test_query(spark, small, name):
     same(spark, small, name, SMALL)
 
