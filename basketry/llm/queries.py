@@ -7,17 +7,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm.jaccard_join import jaccard_components
+from basketry.llm.mixing import mixed
+from basketry.llm.packing import packed_documents
 from basketry.llm.shared import read_table, ship_package
+from basketry.llm.sharding import sharded
+from basketry.llm.token_files import token_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tokenizer_path(name: str) -> str:
+    """The place of an installed public tokenizer; another one may be given to the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return jaccard_components(read_table(spark, sf_dir, "documents"))
+    return read_table(spark, sf_dir, "documents")
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_documents(_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))[1]
+
+
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_documents(spark, sf_dir))
+
+
+def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharded(_documents(spark, sf_dir))
+
+
+def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix as ``(doc_id, source, mix_pass, mix_block, mix_slot, mix_start)``."""
+    docs = _documents(spark, sf_dir).select("doc_id", "source", "text")
+    return mixed(docs).drop("text")
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_jaccard_join": op4_jaccard_join,
+    "op7_virtual_slots": op7_virtual_slots,
+    "op8_pfair_mixing": op8_pfair_mixing,
+    "op9_token_files": op9_token_files,
 }
 ORACLE: dict[str, str] = {}
