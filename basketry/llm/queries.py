@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from basketry.llm.jaccard_join import jaccard_components
 from basketry.llm.mixing import mixed
 from basketry.llm.packing import packed_documents
 from basketry.llm.shared import read_table, ship_package
 from basketry.llm.sharding import sharded
+from basketry.llm.substring import without_repeats
 from basketry.llm.token_files import token_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +38,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_documents(spark, sf_dir))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = without_repeats(_documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(_documents(spark, sf_dir))
 
@@ -53,6 +60,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_substring_dedup": op5_substring_dedup,
     "op7_virtual_slots": op7_virtual_slots,
     "op8_pfair_mixing": op8_pfair_mixing,
     "op9_token_files": op9_token_files,
