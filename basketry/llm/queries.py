@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from basketry.llm.jaccard_join import jaccard_components
 from basketry.llm.mixing import mixed
 from basketry.llm.packing import packed_documents
+from basketry.llm.pq_dedup import near_duplicates
 from basketry.llm.shared import read_table, ship_package
 from basketry.llm.sharding import sharded
 from basketry.llm.substring import without_repeats
@@ -43,6 +44,11 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_pq_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(_documents(spark, sf_dir))
 
@@ -61,6 +67,7 @@ QUERIES: dict[str, Query] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_pq_near_duplicates": op6_pq_near_duplicates,
     "op7_virtual_slots": op7_virtual_slots,
     "op8_pfair_mixing": op8_pfair_mixing,
     "op9_token_files": op9_token_files,
