@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.jaccard_join import jaccard_components
 from basketry.llm.mixing import mixed
+from basketry.llm.nn_descent import nearest
 from basketry.llm.packing import packed_documents
 from basketry.llm.pq_dedup import near_duplicates
 from basketry.llm.shared import read_table, ship_package
@@ -63,6 +64,12 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op10_nn_descent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    table = read_table(spark, sf_dir, "embeddings")
+    return nearest(table, table.filter(F.col("vec_id") % 100 == 0))
+
+
 QUERIES: dict[str, Query] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_jaccard_join": op4_jaccard_join,
@@ -71,5 +78,6 @@ QUERIES: dict[str, Query] = {
     "op7_virtual_slots": op7_virtual_slots,
     "op8_pfair_mixing": op8_pfair_mixing,
     "op9_token_files": op9_token_files,
+    "op10_nn_descent_search": op10_nn_descent_search,
 }
 ORACLE: dict[str, str] = {}
