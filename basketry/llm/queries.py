@@ -12,10 +12,11 @@ from basketry.llm.mixing import mixed
 from basketry.llm.nn_descent import nearest
 from basketry.llm.packing import packed_documents
 from basketry.llm.pq_dedup import near_duplicates
-from basketry.llm.shared import read_table, ship_package
+from basketry.llm.shared import fold, read_table, ship_package
 from basketry.llm.sharding import sharded
 from basketry.llm.substring import without_repeats
 from basketry.llm.token_files import token_digests
+from basketry.llm.toxicity import train_toxicity, with_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``held_out`` is true for a row without doc_id: nothing is learned from it."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    scored = with_toxicity(docs, train_toxicity(docs, read_table(spark, sf_dir, "labels")))
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(True))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))[1]
 
@@ -71,6 +80,7 @@ def op10_nn_descent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_toxicity": op1_toxicity,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
