@@ -40,7 +40,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("high", "low")).toDF("node", "other")
     smallest = both.groupBy("node").agg(F.min("other").alias("root"))
     moved = both.filter("other > node").join(smallest, "node")
-    return moved.select(F.least("root", "node").alias("low"), F.col("other").alias("high")).distinct()
+    return moved.select(F.least("root", "node").alias("low"), F.col("other").alias("high"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

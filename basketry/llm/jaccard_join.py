@@ -11,11 +11,11 @@
    (n - ceil(0.8 n) + 1 of them), so the points around a rare shingle form a
    region.  Every region elects pivots; distances to pivots are exact.
 4. Voronoi cells and windows: a point within the radius of a pivot belongs to
-   its component.  What is left to compare in a region are points of different
-   components, and by the triangle inequality only those whose distances to the
+   the pivot's part.  What is left to compare in a region are points of different
+   parts, and by the triangle inequality only those whose distances to the
    region's first pivot differ by at most the radius.  The region joins again,
-   with twice as many pivots, until one component is left in it or every pair
-   was compared or excluded.
+   with more pivots, until one part is left in it or every pair was compared or
+   excluded.
 
 The result is exact: a pair is skipped only if it is excluded by a bound or
 already in one component.  The order of step 3 uses counts in a table of fixed
@@ -40,6 +40,7 @@ from basketry.llm.words import texts_shingles
 FLUSH = 3_000_000  # shingles held by a task before it sends them on
 BUCKET = 3_000_000  # shingles of one reduce group, about
 ORDER_BITS = 20  # the table of counts has 2**20 entries: 4 MB, whatever the input
+SMALL = 256  # points of a region that are compared without more pivots
 LOCAL = 0xFFFF  # marks a shingle that several points of one task have
 
 
@@ -137,7 +138,7 @@ def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
         if held:
             yield flush()
 
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:  # noqa: C901
         rows = list(pdf.itertuples(index=False))
         names = np.frombuffer(b"".join(r.digests for r in rows), "V16")
         ids, sizes = np.zeros(len(names), np.int64), [len(r.digests) // 16 for r in rows]
@@ -169,13 +170,29 @@ def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
             total += np.bincount(owner[repeated], minlength=len(code))
         some = np.flatnonzero(total)
         back = list(code)
-        return pd.DataFrame({"digest": [back[k] for k in some], "n": total[some]})
-
+        packed = np.frombuffer(b"".join(back), "V16")[some]
+        goal = np.frombuffer(b"".join(back), "<u4")[::4][some] % goals
+        out = {"goal": [], "digests": [], "n": []}
+        for k in np.unique(goal).tolist():
+            mine = goal == k
+            out["goal"].append(k)
+            out["digests"].append(packed[mine].tobytes())
+            out["n"].append(total[some][mine].astype("<i8").tobytes())
+        return pd.DataFrame(out)
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        names = np.frombuffer(b"".join(pdf["digests"]), "V16").tolist()
+        counts: dict[bytes, int] = {}
+        for name, n in zip(names, np.frombuffer(b"".join(pdf["n"]), "<i8").tolist()):
+            counts[name] = counts.get(name, 0) + n
+        return pd.DataFrame({"digest": list(counts), "n": list(counts.values())})
+
+    goals = 1 + total // (BUCKET * 4)
     dealt = docs.select("text").mapInArrow(
         deal, "bucket int, digests binary, rest binary, owners binary, counts binary"
     )
-    counted = dealt.groupBy("bucket").applyInPandas(count, "digest binary, n long")
-    return counted.groupBy("digest").agg(F.sum("n").alias("n"))
+    counted = dealt.groupBy("bucket").applyInPandas(count, "goal long, digests binary, n binary")
+    return counted.groupBy("goal").applyInPandas(add, "digest binary, n long")
 
 
 def _points(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -222,26 +239,32 @@ def _order_table(points: DataFrame) -> np.ndarray:
 
 
 def _regions(points: DataFrame, percent: int) -> DataFrame:
-    """``(region, doc, n)``: the rarest shingles of each point."""
+    """``(region, doc, n, room)``: the rarest shingles of each point; ``room``:
+    how many of its shingles are not rarer."""
     table = points.sparkSession.sparkContext.broadcast(_order_table(points))
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = table.value
         for batch in batches:
-            regions, lengths = [], []
+            regions, rooms, lengths = [], [], []
             for s in batch.column(2).to_pylist():
                 s = np.frombuffer(s, np.uint64)
                 keep = len(s) - -(-percent * len(s) // 100) + 1
                 often = counts[(s >> np.uint64(64 - ORDER_BITS)).astype(np.int64)]
                 regions.append(s[np.lexsort((s, often))[:keep]].view(np.int64))
+                rooms.append(len(s) - np.arange(keep))
                 lengths.append(keep)
             flat = np.concatenate(regions) if regions else np.zeros(0, np.int64)
             rows = pa.array(np.repeat(np.arange(batch.num_rows), lengths))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat), batch.column(0).take(rows), batch.column(1).take(rows)], ["region", "doc", "n"]
+                [
+                    pa.array(flat), batch.column(0).take(rows), batch.column(1).take(rows),
+                    pa.array(np.concatenate(rooms) if rooms else np.zeros(0, np.int64)),
+                ],
+                ["region", "doc", "n", "room"],
             )
 
-    return points.mapInArrow(rarest, "region long, doc long, n long")
+    return points.mapInArrow(rarest, "region long, doc long, n long, room long")
 
 
 def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -268,55 +291,83 @@ def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
     return joined.mapInArrow(overlap, "doc long, pivot long, common long, n long, m long")
 
 
-def _chosen_pivots(entries: DataFrame, pivots: int) -> DataFrame:
-    """``(region, pivot, m, its_part, its_far)``: of every region its first
-    ``pivots`` points, those of small parts first."""
-    sizes = entries.groupBy("region", "part").agg(F.count("*").alias("size"))
-    order = Window.partitionBy("region").orderBy("size", F.xxhash64("doc"), "doc")
-    ranked = entries.join(sizes, ["region", "part"]).withColumn("place", F.row_number().over(order))
-    return ranked.filter(F.col("place") <= pivots).select(
-        "region", F.col("doc").alias("pivot"), F.col("n").alias("m"), F.col("part").alias("its_part"), F.col("far").alias("its_far")
+def _first_pivots(entries: DataFrame) -> DataFrame:
+    """``(region, pivot, m, its_room)`` of the regions with several points.  The pivot is
+    the first by a hash of its id, so regions of one crowd tend to elect the
+    same point."""
+    first = F.min(F.struct(F.xxhash64("doc").alias("order"), "doc", "n", "room")).alias("at")
+    elected = entries.groupBy("region").agg(F.count("*").alias("size"), first).filter("size > 1")
+    return elected.select("region", F.col("at.doc").alias("pivot"), F.col("at.n").alias("m"), F.col("at.room").alias("its_room"))
+
+
+def _more_pivots(entries: DataFrame, pivots: int) -> DataFrame:
+    """``(region, pivot, m, its_room, its_part, its_far, last)``: of a region of at most
+    ``SMALL`` points all, of a larger one ``pivots`` points of its small parts."""
+    parts = entries.groupBy("region", "part").agg(F.count("*").alias("part_size"))
+    sizes = parts.groupBy("region").agg(F.sum("part_size").alias("size"))
+    order = Window.partitionBy("region").orderBy("part_size", F.xxhash64("doc"), "doc")
+    known = entries.join(sizes, "region").join(parts, ["region", "part"])
+    ranked = known.filter(F.col("size") > SMALL).withColumn("place", F.row_number().over(order))
+    some = ranked.filter(F.col("place") <= pivots).drop("place").union(known.filter(F.col("size") <= SMALL))
+    return some.select(
+        "region", F.col("doc").alias("pivot"), F.col("n").alias("m"), F.col("room").alias("its_room"), F.col("part").alias("its_part"),
+        F.col("far").alias("its_far"), (F.col("size") <= SMALL).alias("last"),
     )
 
 
+def _parted(entries: DataFrame, measured: DataFrame, percent: int) -> DataFrame:
+    """``entries`` with the parts that the measured links join."""
+    joined = connected_components(measured.filter(_similar(percent)), "part", "its_part")
+    entries = entries.join(joined.withColumnRenamed("node", "part"), "part", "left")
+    return entries.withColumn("part", F.coalesce("component", "part")).drop("component")
+
+
+def _similar(percent: int) -> F.Column:
+    return F.col("common") * 100 >= (F.col("n") + F.col("m") - F.col("common")) * percent
+
+
+def _several(entries: DataFrame) -> DataFrame:
+    """The entries of regions with several parts."""
+    mixed = entries.groupBy("region").agg(F.min("part").alias("one"), F.max("part").alias("other")).filter("one != other")
+    return entries.join(mixed.select("region"), "region")
+
+
 def links_of_points(points: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` that connect all points which the join connects: a pair
     whose ends these links connect already may be left out."""
     radius = 1 - percent / 100
-    rarest = _regions(points, percent)
-    crowded = rarest.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1")
-    # part: the component a point is known to be in; far: its distance to the region's first pivot
-    entries = rarest.join(crowded.select("region"), "region").select(
-        "region", "doc", "n", F.col("doc").alias("part"), F.lit(None).cast("double").alias("far")
-    )
-    entries = save(entries, "regions")
-    links, pivots = None, 1
+    distance = 1 - F.col("common") / (F.col("n") + F.col("m") - F.col("common"))
+    # the region's shingle being the rarest common one, no more can be common than either point has from it on;
+    # a pair with a rarer common one meets in that region
+    fits = F.least("room", "its_room") * (100 + percent) >= (F.col("n") + F.col("m")) * percent
+    # part: a name that only connected points share; far: the distance to the region's first pivot
+    rarest = save(_regions(points, percent), "regions")
+    entries = save(rarest.join(_first_pivots(rarest), "region").withColumn("part", F.col("doc")), "regions")
+    asked = entries.filter(F.col("doc") != F.col("pivot")).filter(fits).select("doc", "pivot").distinct()
+    measured = save(_distances(asked, points).withColumns({"part": F.col("doc"), "its_part": F.col("pivot")}), "measured")
+    links = measured.filter(_similar(percent)).select("doc", "pivot")
+    far = measured.select("doc", "pivot", distance.alias("far"))
+    rest = entries.filter(F.col("doc") != F.col("pivot")).drop("m", "its_room").join(far, ["doc", "pivot"], "left").drop("pivot")
+    # the pivot has met every point of its region
+    rest = save(_several(_parted(rest, measured, percent)), "regions")
+    delete(points.sparkSession, rarest, entries)
+    entries, pivots = rest, 64
     while entries.limit(1).count():
-        chosen = save(_chosen_pivots(entries, pivots), "pivots")
+        chosen = save(_more_pivots(entries, pivots), "pivots")
         window = F.coalesce(F.abs(F.col("far") - F.col("its_far")) <= radius + 1e-9, F.lit(True))
-        asked = entries.join(chosen, "region").filter(
-            (F.col("part") != F.col("its_part")) & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent) & window
-        )
-        measured = save(_distances(asked.select("doc", "pivot").distinct(), points), "measured")
-        union = F.col("n") + F.col("m") - F.col("common")
-        found = measured.filter(F.col("common") * 100 >= union * percent).select(F.col("doc").alias("a"), F.col("pivot").alias("b"))
-        links = found if links is None else links.union(found)
-        rest = entries.join(chosen.select("region", F.col("pivot").alias("doc")), ["region", "doc"], "left_anti")
-        if pivots == 1:
-            rest = (
-                rest.drop("far").join(chosen.select("region", "pivot"), "region")
-                .join(measured.select("doc", "pivot", (1 - F.col("common") / union).alias("far")), ["doc", "pivot"], "left")
-            )
-        parts = connected_components(links).withColumnRenamed("node", "doc")
-        rest = rest.join(parts, "doc", "left").select(
-            "region", "doc", "n", F.coalesce("component", "part").alias("part"), "far"
-        )
-        rest = save(rest, "regions")
-        several = rest.groupBy("region").agg(F.min("part").alias("one"), F.max("part").alias("other")).filter("one != other")
-        before, entries = entries, save(rest.join(several.select("region"), "region"), "regions")
-        delete(points.sparkSession, before, rest, chosen)
-        pivots *= 2
-    return links if links is not None else entries.select(F.col("doc").alias("a"), F.col("doc").alias("b"))
+        asked = entries.join(chosen, "region").filter((F.col("part") != F.col("its_part")) & fits & window)
+        asked = asked.filter(~F.col("last") | (F.col("doc") < F.col("pivot")))  # both are pivots there
+        asked = asked.groupBy("doc", "pivot").agg(F.min("part").alias("part"), F.min("its_part").alias("its_part"))
+        measured = save(_distances(asked.select("doc", "pivot"), points).join(asked, ["doc", "pivot"]), "measured")
+        links = links.union(measured.filter(_similar(percent)).select("doc", "pivot"))
+        met = chosen.select("region", F.col("pivot").alias("doc"))
+        rest = entries.join(met, ["region", "doc"], "left_anti")
+        if rest.limit(1).count():
+            rest = _several(_parted(rest, measured, percent))
+        before, entries = entries, save(rest, "regions")
+        delete(points.sparkSession, before, chosen)
+        pivots *= 16
+    return links.toDF("a", "b")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
