@@ -1,7 +1,8 @@
 """Toxicity scores from a learned lexicon, misspellings and context.
 
 The lexicon is learned from labelled documents: words, and beginnings of words
-(``stem*``), that toxic documents have far more often than others.  Its entries
+(``stem*``), that toxic documents have far more often than others, among ever other neighbours.
+Its entries
 form a trie.  A word is read by the Levenshtein automaton of the word, whose
 states are walked along the trie, so all entries within one edit are found in
 one walk; words that cannot be that near are told apart by their halves first.
@@ -88,42 +89,39 @@ class Trie:
         return best
 
 
+def _deletions(word: str) -> list[str]:
+    return [word, *(word[:i] + word[i + 1 :] for i in range(len(word)))]
+
+
 class Matcher:
-    """Edits from a word to the lexicon, with a memory."""
-
-    def __init__(self, entries: list[str], most: int = 1):
-        self.trie, self.most = Trie(), most
-        self.heads: dict[int, set[str]] = {}
-        self.tails: dict[int, set[str]] = {}
-        self.middles: dict[tuple[int, int], set[str]] = {}
-        self.exact: dict[int, set[str]] = {}
+    """Edits from a word to the lexicon, with a memory.  Words that share no
+    deletion with an entry are more than one edit away and are not walked."""
+
+    def __init__(self, entries: list[str]):
+        self.trie = Trie()
+        self.words: set[str] = set()
+        self.stems: dict[int, set[str]] = {}
         for entry in entries:
             self.trie.add(entry)
             word = entry.removesuffix("*")
-            if len(word) < FUZZY_LENGTH or not most:
-                self.exact.setdefault(len(word), set()).add(word)
-                continue
-            # one edit leaves the first or the second half as it is
-            half = len(word) // 2
-            self.heads.setdefault(half, set()).add(word[:half])
-            if entry.endswith("*"):
-                for at in (half - 1, half, half + 1):
-                    self.middles.setdefault((at, len(word) - half), set()).add(word[half:])
-            else:
-                self.tails.setdefault(len(word) - half, set()).add(word[half:])
+            some = _deletions(word) if len(word) >= FUZZY_LENGTH else [word]
+            (self.stems.setdefault(len(word), set()) if entry.endswith("*") else self.words).update(some)
+        self.lengths = range(min(map(len, self.words), default=0), max(map(len, self.words), default=-2) + 2)
         self.known: dict[str, int | None] = {}
 
     def _possible(self, word: str) -> bool:
-        return (
-            any(word[:n] in some for n, some in self.heads.items())
-            or any(word[-n:] in some for n, some in self.tails.items())
-            or any(word[at : at + n] in some for (at, n), some in self.middles.items())
-            or any(word[:n] in some for n, some in self.exact.items())
-        )
+        if len(word) in self.lengths and not self.words.isdisjoint(_deletions(word)):
+            return True
+        for length, some in self.stems.items():
+            if len(word) >= length - 1:
+                for n in (length, length - 1, length + 1):
+                    if not some.isdisjoint(_deletions(word[:n])):
+                        return True
+        return False
 
     def edits(self, token: str) -> int | None:
         word = token.strip(EDGES)
-        return self.trie.distance(word, self.most) if word and self._possible(word) else None
+        return self.trie.distance(word, 1) if word and self._possible(word) else None
 
     def hits(self, tokens: list[str]) -> list[tuple[int, int]]:
         """``(place, edits)`` of the tokens near an entry."""
@@ -153,60 +151,72 @@ def hit_features(tokens: list[str], hits: list[tuple[int, int]]) -> list[float]:
     return [float(np.log1p(x)) for x in (*used, *quoted, addressed, share)]
 
 
+def _terms(words: list[str]) -> Iterator[tuple[str, str]]:
+    """``(term, its neighbours)`` of the words and beginnings of words of a text."""
+    edged = ["", *words, ""]
+    for i, word in enumerate(words):
+        around = f"{edged[i]} {edged[i + 2]}"
+        if 2 < len(word) <= 40:
+            yield word, around
+        for n in STEMS:
+            if len(word) > n:
+                yield f"{word[:n]}*", around
+
+
 def term_counts(labelled: DataFrame) -> DataFrame:
-    """``(term, toxic, clean)``: documents with each word or beginning (``x*``) of
-    ``labelled (text, toxic)``."""
+    """``(term, toxic, clean)`` of ``labelled (text, toxic)``: how many toxic
+    documents have each term, or in how many different pairs of neighbours if
+    that is less, and how many other documents have it.  So what copies of one
+    toxic text share is evidence once."""
+
+    def words_of(text: str | None) -> list[str]:
+        return [w for t in (text or "").lower().split() if (w := t.strip(EDGES))]
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                found = sorted(set(_terms(words_of(text))))
+                first = [i == 0 or found[i - 1][0] != t for i, (t, _) in enumerate(found)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([t for t, _ in found], pa.string()), pa.array([a for _, a in found], pa.string()),
+                        pa.array(np.array(first, np.int64)),
+                    ],
+                    ["term", "around", "first"],
+                )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, clean = Counter(), Counter()
+        total = Counter()
         for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = {t.strip(EDGES) for t in set((text or "").lower().split())}
-                terms = {w for w in words if 2 < len(w) <= 40} | {f"{w[:n]}*" for w in words for n in STEMS if len(w) > n}
-                (toxic if label else clean).update(terms)
-        terms = list(toxic)  # terms that toxic documents never have are no candidates
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.string()), pa.array([toxic[t] for t in terms], pa.int64()), pa.array([0] * len(terms), pa.int64())],
-            ["term", "toxic", "clean"],
-        )
-        terms = list(clean)
+            for text in batch.column(0).to_pylist():
+                total.update({t for t, _ in _terms(words_of(text))})
+        terms = list(total)
         for low in range(0, len(terms), 100_000):
             part = terms[low : low + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.string()), pa.array([0] * len(part), pa.int64()), pa.array([clean[t] for t in part], pa.int64())],
-                ["term", "toxic", "clean"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([total[t] for t in part], pa.int64())], ["term", "clean"])
 
-    found = labelled.select("text", "toxic").mapInArrow(count, "term string, toxic long, clean long")
-    return found.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    toxic = labelled.filter("toxic > 0").select("text").mapInArrow(places, "term string, around string, first long")
+    toxic = toxic.groupBy("term", "around").agg(F.sum("first").alias("texts"))
+    toxic = toxic.groupBy("term").agg(F.least(F.count("*"), F.sum("texts")).alias("toxic"))
+    clean = labelled.filter("toxic <= 0").select("text").mapInArrow(count, "term string, clean long")
+    clean = clean.groupBy("term").agg(F.sum("clean").alias("clean"))
+    return toxic.join(clean, "term", "left").fillna(0, ["clean"])
 
 
-def chosen_entries(counts: dict[str, tuple[int, int]]) -> list[str]:
-    """Entries such that none begins another: along each chain of beginnings the
-    most specific one that still has nearly all documents of the first."""
+def chosen_entries(counts: dict[str, int]) -> list[str]:
+    """Terms by their evidence, longer ones first; without those that begin with
+    a chosen one and those that add little to a longer chosen one."""
     out: list[str] = []
-
-    def covered(term: str) -> bool:
+    begun: dict[str, int] = {}  # the most evidence of a chosen entry with this beginning
+    for term in sorted(counts, key=lambda t: (-counts[t], -len(t.removesuffix("*")), t)):
         word = term.removesuffix("*")
-        return any(f"{word[:n]}*" in taken for n in range(1, len(word) + 1))
-
-    taken: set[str] = set()
-    for term in sorted(counts, key=lambda t: (len(t.removesuffix("*")), t)):
-        if covered(term):
+        if any(f"{word[:n]}*" in out for n in range(1, len(word) + 1)):
+            continue
+        if term.endswith("*") and begun.get(word, 0) >= 0.95 * counts[term]:
             continue
-        at = term
-        while at.endswith("*"):
-            word = at[:-1]
-            more = [t for t in counts if t.startswith(word) and t != at and len(t.removesuffix("*")) >= len(word)]
-            more = [t for t in more if counts[t][0] >= 0.95 * counts[at][0]]
-            if not more:
-                break
-            at = min(more, key=lambda t: (len(t.removesuffix("*")), t.endswith("*"), t))
-        if at not in taken:
-            taken.add(at)
-            if term != at:
-                taken.add(term)
-            out.append(at)
+        out.append(term)
+        for n in range(1, len(word) + 1):
+            begun[word[:n]] = max(begun.get(word[:n], 0), counts[term])
     return out
 
 
@@ -267,7 +277,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, most: int = LABELLED) ->
     evidence = n * (rate * F.log(rate / base) + other)
     strong = counts.filter("toxic > 0").filter((rate >= max(0.8, base)) & (evidence >= EVIDENCE))
     best = strong.orderBy(F.desc(evidence), "term").limit(ENTRIES).collect()
-    entries = chosen_entries({r.term: (r.toxic, r.clean) for r in best})
+    entries = chosen_entries({r.term: r.toxic for r in best})
     rows = _features(labelled, entries).toArrow()
     x = np.array(rows["features"].to_pylist(), float).reshape(-1, 6)
     y = (rows["toxic"].to_numpy() > 0).astype(float)
