@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.jaccard_join import jaccard_components
+from basketry.llm.katz import katz_scores
 from basketry.llm.mixing import mixed
 from basketry.llm.nn_descent import nearest
 from basketry.llm.packing import packed_documents
@@ -41,6 +42,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op2_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(_documents(spark, sf_dir))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))[1]
 
@@ -81,6 +86,7 @@ def op10_nn_descent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
+    "op2_katz_scores": op2_katz_scores,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_substring_dedup": op5_substring_dedup,
