@@ -111,13 +111,16 @@ def mixed(
     # first byte of each row within its source: prefix sums over salted groups in hashed order
     group = F.floor((F.shiftrightunsigned("_order", 11) / F.lit(float(1 << 53))) * F.col("_groups"))
     base = (
-        docs.select(*columns, name.alias("_name"), size.alias("_size"), order.alias("_order"))
+        docs.select(
+            F.struct(*columns).alias("_row"), name.alias("_name"), size.alias("_size"), order.alias("_order"),
+            F.col("doc_id").cast("long").alias("_id"),
+        )
         .join(F.broadcast(sources), "_name").withColumn("_group", group)
     )
     sums = base.groupBy("_name", "_group").agg(F.sum("_size").alias("_sum"))
     earlier = F.sum("_sum").over(Window.partitionBy("_name").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1))
     sums = sums.select("_name", "_group", F.coalesce(earlier, F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_name", "_group").orderBy("_order", "doc_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_name", "_group").orderBy("_order", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
     placed = base.withColumn("_inside", F.coalesce(F.sum("_size").over(inside), F.lit(0))).join(sums, ["_name", "_group"])
     start = F.col("_before") + F.col("_inside")
     last = F.floor((F.col("_limit") - start - 1) / F.col("_bytes"))
@@ -126,4 +129,4 @@ def mixed(
     blocks = passes.withColumn("mix_block", F.floor(at / block_bytes)).withColumn("mix_start", F.pmod(at, F.lit(block_bytes)))
     turn = blocks.withColumn("_turn", F.pmod("mix_block", "_parts")).join(F.broadcast(table), ["_name", "_turn"])
     slot = F.floor(F.col("mix_block") / F.col("_parts")) * period + F.col("_at")
-    return turn.select(*columns, F.col("mix_pass").cast("int").alias("mix_pass"), "mix_block", slot.alias("mix_slot"), "mix_start")
+    return turn.select("_row.*", F.col("mix_pass").cast("int").alias("mix_pass"), "mix_block", slot.alias("mix_slot"), "mix_start")

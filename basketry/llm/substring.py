@@ -294,7 +294,7 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, counts, removed = [], [], []
-            for text, some in zip(batch.column("_text"), batch.column("_spans")):
+            for text, some in zip(batch.column(1), batch.column(2)):
                 words = (text.as_py() or "").encode().split()
                 counts.append(len(words))
                 gone = np.zeros(len(words) + 1, np.int32)
@@ -304,16 +304,15 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
                 covered = np.cumsum(gone[:-1]) > 0
                 removed.append(int(covered.sum()))
                 texts.append(b" ".join(w for w, c in zip(words, covered.tolist()) if not c).decode())
-            kept = [batch.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())],
-                [*columns, *added],
+                [batch.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int64()), pa.array(removed, pa.int64())],
+                ["_row", *added],
             )
 
-    joined = docs.select(
-        *columns, F.col("text").alias("_text"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_key")
-    )
+    row = F.struct(*columns).alias("_row")
+    plain = docs.select(row, F.col("text").alias("_text"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_key"))
     same = (F.col("_id") == F.col("_doc")) & (F.col("_key") == F.col("_version"))
-    joined = joined.join(spans, same, "left").select(*columns, "_text", "_spans")
-    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return joined.mapInArrow(keep, f"{kinds}, kept_text string, n_words long, n_removed long")
+    joined = plain.join(spans, same, "left").select("_row", "_text", "_spans")
+    kind = joined.schema["_row"].dataType.simpleString()
+    kept = joined.mapInArrow(keep, f"_row {kind}, kept_text string, n_words long, n_removed long")
+    return kept.select("_row.*", *added)
