@@ -13,9 +13,10 @@
 4. Voronoi cells and windows: a point within the radius of a pivot belongs to
    the pivot's part.  What is left to compare in a region are points of different
    parts, and by the triangle inequality only those whose distances to the
-   region's first pivot differ by at most the radius.  The region joins again,
-   with more pivots, until one part is left in it or every pair was compared or
-   excluded.
+   region's first pivot differ by at most the radius, and whose shingles differ in
+   few enough of 512 parities.  The region joins again,
+   first with pivots of its largest parts, then with ever more of its smallest
+   ones, until one part is left in it or every pair was compared or excluded.
 
 The result is exact: a pair is skipped only if it is excluded by a bound or
 already in one component.  The order of step 3 uses counts in a table of fixed
@@ -41,6 +42,9 @@ FLUSH = 3_000_000  # shingles held by a task before it sends them on
 BUCKET = 3_000_000  # shingles of one reduce group, about
 ORDER_BITS = 20  # the table of counts has 2**20 entries: 4 MB, whatever the input
 SMALL = 256  # points of a region that are compared without more pivots
+CROWD_TURNS = 1  # rounds in which a region's largest parts give the pivots
+CROWD_PIVOTS = 8  # pivots of a region in these rounds
+PARITIES = 8  # 64-bit numbers with parities of a point's shingles
 LOCAL = 0xFFFF  # marks a shingle that several points of one task have
 
 
@@ -195,8 +199,14 @@ def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
     return counted.groupBy("goal").applyInPandas(add, "digest binary, n long")
 
 
+def _parities(shingles: np.ndarray) -> list[int]:
+    """Whether an odd number of the shingles falls into each of 512 classes, as 64-bit numbers."""
+    odd = np.bincount((shingles >> np.uint64(20) & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _points(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``(doc, n, shingles)`` of the documents whose digests are ``wanted``."""
+    """``(doc, n, shingles, parities)`` of the documents whose digests are ``wanted``."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,12 +221,13 @@ def _points(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                     batch.column(0).take(pa.array(rows, pa.int64())),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([_parities(s) for s in sets], pa.list_(pa.int64())),
                 ],
-                ["doc", "n", "shingles"],
+                ["doc", "n", "shingles", "parities"],
             )
 
     return docs.join(wanted, "doc_id").select("doc_id", "text", "digest").mapInArrow(
-        gather, "doc long, n long, shingles binary"
+        gather, "doc long, n long, shingles binary, parities array<long>"
     )
 
 
@@ -264,7 +275,7 @@ def _regions(points: DataFrame, percent: int) -> DataFrame:
                 ["region", "doc", "n", "room"],
             )
 
-    return points.mapInArrow(rarest, "region long, doc long, n long, room long")
+    return points.select("doc", "n", "shingles").mapInArrow(rarest, "region long, doc long, n long, room long")
 
 
 def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
@@ -300,18 +311,22 @@ def _first_pivots(entries: DataFrame) -> DataFrame:
     return elected.select("region", F.col("at.doc").alias("pivot"), F.col("at.n").alias("m"), F.col("at.room").alias("its_room"))
 
 
-def _more_pivots(entries: DataFrame, pivots: int) -> DataFrame:
-    """``(region, pivot, m, its_room, its_part, its_far, last)``: of a region of at most
-    ``SMALL`` points all, of a larger one ``pivots`` points of its small parts."""
+def _more_pivots(entries: DataFrame, pivots: int, crowd: bool) -> DataFrame:
+    """``(region, pivot, m, its_room, its_part, its_far, last, q0...)``: ``pivots`` points
+    of each region.  ``crowd``: of its largest parts; a point that belongs there
+    soon meets a similar one.  Else of its smallest parts, which must meet all
+    that is left; of a region of at most ``SMALL`` points all."""
+    small = F.lit(0 if crowd else SMALL)
     parts = entries.groupBy("region", "part").agg(F.count("*").alias("part_size"))
     sizes = parts.groupBy("region").agg(F.sum("part_size").alias("size"))
-    order = Window.partitionBy("region").orderBy("part_size", F.xxhash64("doc"), "doc")
+    by_part = [F.desc("part_size"), F.xxhash64("part")] if crowd else [F.asc("part_size")]
+    order = Window.partitionBy("region").orderBy(*by_part, F.xxhash64("doc"), "doc")
     known = entries.join(sizes, "region").join(parts, ["region", "part"])
-    ranked = known.filter(F.col("size") > SMALL).withColumn("place", F.row_number().over(order))
-    some = ranked.filter(F.col("place") <= pivots).drop("place").union(known.filter(F.col("size") <= SMALL))
+    ranked = known.filter(F.col("size") > small).withColumn("place", F.row_number().over(order))
+    some = ranked.filter(F.col("place") <= pivots).drop("place").union(known.filter(F.col("size") <= small))
     return some.select(
         "region", F.col("doc").alias("pivot"), F.col("n").alias("m"), F.col("room").alias("its_room"), F.col("part").alias("its_part"),
-        F.col("far").alias("its_far"), (F.col("size") <= SMALL).alias("last"),
+        *[F.col(f"p{k}").alias(f"q{k}") for k in range(PARITIES)], F.col("far").alias("its_far"), (F.col("size") <= small).alias("last"),
     )
 
 
@@ -349,13 +364,17 @@ def links_of_points(points: DataFrame, percent: int) -> DataFrame:
     far = measured.select("doc", "pivot", distance.alias("far"))
     rest = entries.filter(F.col("doc") != F.col("pivot")).drop("m", "its_room").join(far, ["doc", "pivot"], "left").drop("pivot")
     # the pivot has met every point of its region
-    rest = save(_several(_parted(rest, measured, percent)), "regions")
+    parities = points.select("doc", *[F.col("parities")[k].alias(f"p{k}") for k in range(PARITIES)])
+    rest = save(_several(_parted(rest, measured, percent)).join(parities, "doc"), "regions")
     delete(points.sparkSession, rarest, entries)
-    entries, pivots = rest, 64
+    # classes with another parity: at least so many shingles are not common
+    apart = sum((F.bit_count(F.col(f"p{k}").bitwiseXOR(F.col(f"q{k}"))) for k in range(PARITIES)), F.lit(0))
+    alike = apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
+    entries, turn, pivots = rest, 0, CROWD_PIVOTS
     while entries.limit(1).count():
-        chosen = save(_more_pivots(entries, pivots), "pivots")
+        chosen = save(_more_pivots(entries, pivots, turn < CROWD_TURNS), "pivots")
         window = F.coalesce(F.abs(F.col("far") - F.col("its_far")) <= radius + 1e-9, F.lit(True))
-        asked = entries.join(chosen, "region").filter((F.col("part") != F.col("its_part")) & fits & window)
+        asked = entries.join(chosen, "region").filter((F.col("part") != F.col("its_part")) & fits & window & alike)
         asked = asked.filter(~F.col("last") | (F.col("doc") < F.col("pivot")))  # both are pivots there
         asked = asked.groupBy("doc", "pivot").agg(F.min("part").alias("part"), F.min("its_part").alias("its_part"))
         measured = save(_distances(asked.select("doc", "pivot"), points).join(asked, ["doc", "pivot"]), "measured")
@@ -366,7 +385,8 @@ def links_of_points(points: DataFrame, percent: int) -> DataFrame:
             rest = _several(_parted(rest, measured, percent))
         before, entries = entries, save(rest, "regions")
         delete(points.sparkSession, before, chosen)
-        pivots *= 16
+        turn += 1
+        pivots = CROWD_PIVOTS if turn < CROWD_TURNS else 64 * 16 ** (turn - CROWD_TURNS)
     return links.toDF("a", "b")
 
 
