@@ -11,14 +11,16 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 #: Words a worker remembers; twice as many at most are held (about 200 bytes each).
-REMEMBERED = 250_000
+REMEMBERED = 400_000
 _PIECE = re.compile(r"[ \n]*[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,])|[ \n]*[^ \n]+|[ \n]+")
+_BARE_PIECE = re.compile(r"[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,])|[^ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _open: dict[str, WordEncoder] = {}
 
@@ -30,18 +32,24 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # a tokenizer that drops blanks or case needs fewer words remembered
+        self.drops_blanks = self._ids([" a", "\na"]) == self._ids(["a", "a"])
+        self.drops_case = self._ids(["Ab", "zQ"]) == self._ids(["ab", "zq"])
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
+        if self.drops_case:
+            texts = [t.encode().lower().decode() for t in texts]  # A-Z alone
         whole = [bool(_OTHER_SPACE.search(t)) for t in texts]
-        pieces = [[t] if w else _PIECE.findall(t) for t, w in zip(texts, whole)]
-        words = {p for part, w in zip(pieces, whole) if not w for p in part}
+        find = (_BARE_PIECE if self.drops_blanks else _PIECE).findall
+        pieces = [[t] if w else find(t) for t, w in zip(texts, whole)]
+        words = set().union(*(part for part, w in zip(pieces, whole) if not w))
         new = []
         for word in words - self.recent.keys():
             known = self.older.get(word)
@@ -52,7 +60,7 @@ class WordEncoder:
         self.recent.update(zip(new, self._ids(new)))
         recent = self.recent
         out = [
-            self._ids(part)[0] if w else b"".join([recent[p] for p in part]) for part, w in zip(pieces, whole)
+            self._ids(part)[0] if w else b"".join(map(recent.__getitem__, part)) for part, w in zip(pieces, whole)
         ]
         if len(recent) > REMEMBERED:
             self.older, self.recent = recent, {}
