@@ -78,31 +78,45 @@ def _booster(settings: GbtSettings, rounds: int) -> GBTClassifier:
     )
 
 
-def best_round(losses: list[float], patience: int) -> int:
-    """Number of rounds to keep: the lowest loss seen before ``patience``
-    rounds went by without a lower one."""
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """Number of rounds to keep, the lowest loss seen before ``patience`` rounds
+    went by without a lower one, and whether they did go by."""
     best = 0
     for i, loss in enumerate(losses):
         if loss < losses[best]:
             best = i
         elif i - best >= patience:
-            break
-    return best + 1
+            return best + 1, True
+    return best + 1, False
+
+
+def growing_rounds(most: int) -> list[int]:
+    """Sizes of the fits that look for the best round: from 64, 2.5 times as many each."""
+    sizes, n = [], 64
+    while n < most:
+        sizes.append(n)
+        n = n * 5 // 2
+    return [*sizes, most]
 
 
 def fit(train: DataFrame, validation: DataFrame | None, settings: GbtSettings) -> PipelineModel:
     """Fit on weighted rows.  The number of rounds is chosen on users that are
-    in neither the training nor the test part: one fit to the most rounds, the
-    loss after each round on the validation part, and a second fit with the best
-    count (the same seed grows the same first trees)."""
+    in neither the training nor the test part.  Spark's trees cannot be grown
+    on, so fits of growing size look for the round after which the validation
+    loss did not fall for ``patience`` rounds; a last fit has the best count (the
+    same seed grows the same first trees)."""
     vectors = assembler()
     rows = vectors.transform(train).select("features", TARGET, WEIGHT)
-    model = _booster(settings, settings.max_rounds).fit(rows)
-    if validation is not None:
-        held_out = vectors.transform(validation).select("features", TARGET, WEIGHT)
-        rounds = best_round(model.evaluateEachIteration(held_out), settings.patience)
-        if rounds < settings.max_rounds:
-            model = _booster(settings, rounds).fit(rows)
+    if validation is None:
+        return PipelineModel(stages=[vectors, _booster(settings, settings.max_rounds).fit(rows)])
+    held_out = vectors.transform(validation).select("features", TARGET, WEIGHT)
+    for grown in growing_rounds(settings.max_rounds):
+        model = _booster(settings, grown).fit(rows)
+        rounds, settled = best_round(model.evaluateEachIteration(held_out), settings.patience)
+        if settled:
+            break
+    if rounds < grown:
+        model = _booster(settings, rounds).fit(rows)
     return PipelineModel(stages=[vectors, model])
 
 

@@ -78,8 +78,8 @@ def context_features(
     spread = contexts.join(asking, "user_id").withColumn("_slice", F.pmod(context_hash, F.col("_slices")).cast("int"))
     candidates = (
         user_product_features(pairs)
-        .join(products, "product_id")
         .join(users.join(asking, "user_id"), "user_id")
+        .join(products, "product_id")
         .withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
         .drop("_slices")
     )
@@ -109,12 +109,11 @@ def request_features(
 
 
 def _back_to_requests(requests: DataFrame, answers: DataFrame) -> DataFrame:
-    """Give each request the rows of its context; null gaps match null gaps."""
+    """Give each request the rows of its context; nulls match nulls."""
     left, right = requests.alias("q"), answers.alias("a")
-    *plain, gap = CONTEXT
-    same = F.col(f"q.{gap}").eqNullSafe(F.col(f"a.{gap}"))
-    for c in plain:
-        same = same & (F.col(f"q.{c}") == F.col(f"a.{c}"))
+    same = F.lit(True)
+    for c in CONTEXT:
+        same = same & F.col(f"q.{c}").eqNullSafe(F.col(f"a.{c}"))
     kept = [F.col(f"a.{c}") for c in answers.columns if c not in CONTEXT]
     return left.join(right, same).select("q.*", *kept)
 
@@ -224,10 +223,10 @@ def response_comparison(summary: DataFrame, recommendations: DataFrame) -> DataF
 def request_labels(requests: DataFrame) -> DataFrame:
     """How a request is described to a reader."""
     dow = F.col("current_dow")
-    given = F.concat(F.round("days_since_last_order").cast("bigint").cast("string"), F.lit(" days (provided)"))
+    given = F.concat(F.bround("days_since_last_order").cast("bigint").cast("string"), F.lit(" days, as given"))
     return requests.select(
         "request_id",
         day_name(dow).alias("day_name"),
         day_kind(dow).alias("day_kind"),
-        F.coalesce(given, F.lit("historical average (estimated)")).alias("gap_label"),
+        F.coalesce(given, F.lit("mean of earlier orders")).alias("gap_label"),
     )

@@ -51,8 +51,10 @@ def stand_in_points() -> Column:
 
 
 def stand_in_scorer(scale: int) -> recommend.Scorer:
-    points = F.least(stand_in_points(), F.lit(scale).cast("bigint"))
-    return lambda rows: rows.withColumn("reorder_prob", points / F.lit(float(scale)))
+    """``points / (points + scale)``: below one for any number of points, so no
+    score is cut off."""
+    points = stand_in_points()
+    return lambda rows: rows.withColumn("reorder_prob", points / (points + F.lit(float(scale))))
 
 
 _star = open_workspace

@@ -150,7 +150,7 @@ _POINTS = """CAST(user_product_total_buys AS BIGINT) * 10
              + (CAST(train_order_hour AS BIGINT) + CAST(train_order_dow AS BIGINT) * 3) % 40
              + CAST(floor(product_reorder_rate * 100) AS BIGINT)"""
 CTES["scored"] = f"""
-    SELECT user_id, product_id, is_reordered_target, least({_POINTS}, 100) / 1e2 AS reorder_prob
+    SELECT user_id, product_id, is_reordered_target, ({_POINTS}) / ({_POINTS} + 1e2) AS reorder_prob
     FROM sides WHERE split = 'test'"""
 CTES["outcome"] = """
     SELECT count(*) FILTER (is_reordered_target = 0 AND reorder_prob < 0.5) AS tn,
@@ -183,9 +183,9 @@ CTES["answers"] = f"""
            total_buys, order_streak, product_rate
     FROM (SELECT request_id, product_id, user_product_total_buys AS total_buys,
                  user_product_order_streak AS order_streak, product_reorder_rate AS product_rate,
-                 least({_POINTS}, 1000) / 1e3 AS reorder_prob,
+                 ({_POINTS}) / ({_POINTS} + 1e3) AS reorder_prob,
                  row_number() OVER (PARTITION BY request_id
-                                    ORDER BY least({_POINTS}, 1000) DESC, product_id) AS rank
+                                    ORDER BY {_POINTS} DESC, product_id) AS rank
           FROM request_rows) ranked
     JOIN products USING (product_id)
     WHERE rank <= 10 AND reorder_prob >= 0.05"""
@@ -470,8 +470,8 @@ _BODIES: dict[str, str] = {
     "request_labels": """SELECT request_id,
         ['Saturday', 'Sunday', 'Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday'][current_dow + 1] AS day_name,
         CASE WHEN current_dow < 2 THEN 'Weekend' ELSE 'Weekday' END AS day_kind,
-        CASE WHEN days_since_last_order IS NULL THEN 'historical average (estimated)'
-             ELSE CAST(CAST(days_since_last_order AS INTEGER) AS VARCHAR) || ' days (provided)' END AS gap_label
+        CASE WHEN days_since_last_order IS NULL THEN 'mean of earlier orders'
+             ELSE CAST(CAST(round_even(days_since_last_order, 0) AS INTEGER) AS VARCHAR) || ' days, as given' END AS gap_label
         FROM requests""",
     "request_features": "SELECT * FROM request_rows",
     "recommend_topn": "SELECT * FROM answers",

@@ -11,16 +11,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.operators.classifier import GbtSettings
 from basketry.operators.recommend import product_catalog
 from basketry.plans.feature_build import Layers, build_layers, build_matrix
 from basketry.plans.training import TrainingResult, train
 from basketry.session import scratch_exists, stage
 from basketry.sources.star import StarTables
 
-# Rounds for the registered model queries; the library's default is 500.
-MODEL_SETTINGS = GbtSettings(max_rounds=20, max_depth=4, patience=5)
-INPUTS = ("orders", "lineitem", "part")
+INPUTS = ("orders", "lineitem", "part", "events")
 
 
 class Workspace(StarTables):
@@ -34,7 +31,7 @@ class Workspace(StarTables):
 
     @cached_property
     def trained(self) -> TrainingResult:
-        return train(self.matrix, MODEL_SETTINGS)
+        return train(self.matrix)
 
     @cached_property
     def catalog(self) -> DataFrame:

@@ -19,7 +19,7 @@ from basketry.operators.recommend import product_catalog, request_features
 from basketry.plans.catalog import stand_in_scorer
 from basketry.plans.feature_build import Layers, build_matrix, pair_layer
 from basketry.plans.serving import Serving, model_scorer
-from basketry.plans.workspace import MODEL_SETTINGS
+from basketry.plans.training import VALIDATION_SHARE
 from basketry.schema import SEED, TARGET, TEST_SHARE
 from basketry.session import drop_scratch, local_session, stage
 from basketry.sources.star import StarTables
@@ -61,16 +61,16 @@ def main() -> None:
         "training_matrix",
         lambda: stage(
             labels.with_split(
-                labels.model_frame(build_matrix(t.orders, t.order_products, layers)), TEST_SHARE, 0.0, SEED
+                labels.model_frame(build_matrix(t.orders, t.order_products, layers)), TEST_SHARE, VALIDATION_SHARE, SEED
             ),
             "matrix",
         ),
     )
     train, test = matrix.filter("split = 'train'"), matrix.filter("split = 'test'")
     weight = timed("class_balance", lambda: classifier.class_balance(train).first().scale_pos_weight)
-    model = timed(
-        "gbt_fit", lambda: classifier.fit(classifier.with_class_weight(train, weight), None, MODEL_SETTINGS)
-    )
+    weighted = classifier.with_class_weight(train, weight)
+    held_out = classifier.with_class_weight(matrix.filter("split = 'validation'"), weight)
+    model = timed("gbt_fit", lambda: classifier.fit(weighted, held_out, classifier.GbtSettings()))
     scored = timed(
         "gbt_score", lambda: stage(classifier.score(model, test).select(TARGET, "reorder_prob"), "scored")
     )

@@ -89,9 +89,9 @@ def test_one_user(spark, layers):
 def test_request_labels(spark):
     requests = make_requests(spark, [(1, 1, 10, 0, 7.0, 10), (2, 1, 19, 4, None, 10), (3, 1, 1, 8, None, 10)])
     assert rows(r.request_labels(requests)) == [
-        (1, "Saturday", "Weekend", "7 days (provided)"),
-        (2, "Wednesday", "Weekday", "historical average (estimated)"),
-        (3, "?", "Weekday", "historical average (estimated)"),
+        (1, "Saturday", "Weekend", "7 days, as given"),
+        (2, "Wednesday", "Weekday", "mean of earlier orders"),
+        (3, "?", "Weekday", "mean of earlier orders"),
     ]
 
 
@@ -101,3 +101,15 @@ def test_catalog(spark):
     aisles = spark.createDataFrame([(5, "dairy")], "aisle_id short, aisle string")
     departments = spark.createDataFrame([(6, "fresh")], "department_id short, department string")
     assert rows(r.product_catalog(products, aisles, departments)) == [(1, "milk", "dairy", "fresh")]
+
+
+def test_a_request_with_a_null_day_gets_its_list(spark):
+    from basketry.operators.recommend import CONTEXT, _back_to_requests
+
+    requests = spark.createDataFrame(
+        [(1, 7, 9, None, None), (2, 7, 9, 3, 7.0)],
+        "request_id long, user_id long, current_hour int, current_dow int, days_since_last_order double",
+    )
+    assert [c for c in CONTEXT if c not in requests.columns] == []
+    answers = requests.drop("request_id").selectExpr("*", "11L AS product_id")
+    assert sorted(r.request_id for r in _back_to_requests(requests, answers).collect()) == [1, 2]
