@@ -42,8 +42,8 @@ from basketry.llm.words import hashed_texts, mix
 SAMPLE = 2_000  # documents whose words make the dictionary
 CODES = 60_000  # words of the dictionary, at most
 NONE = 0xFFFF  # code of a word that is not in it
-FLUSH = 3_000_000  # tokens a task holds before it sends them on
-BUCKET = 2_500_000  # tokens of one reduce group, about
+FLUSH = 1_000_000  # tokens a task holds before it sends them on
+BUCKET = 1_000_000  # tokens of one reduce group, about
 HIGHEST = 5  # counts up to this are discounted
 ESCAPE = 0.1
 START, END = (int(x) for x in mix(np.array([1, 2], np.uint64)))
@@ -150,6 +150,7 @@ def _deal(docs: DataFrame, dictionary: np.ndarray, bits: int) -> DataFrame:
             order = np.lexsort((code, bucket))
             bucket, code, code_before = bucket[order], code[order], code_before[order]
             flat, before, owner = flat[order], before[order], owner[order]
+            del key, order
             learned = np.array([n[1] for n in names], bool)
             name = int(np.random.default_rng().integers(1, 1 << 62))
             rows = [[-1 - name % (1 << bits), name, np.array(names, "<i8").tobytes(), *[b""] * 5]]
@@ -249,13 +250,21 @@ def _count(shared, bits: int):
         unseen = ~seen
         log = np.log10(np.maximum(c, 1))
         sums = np.zeros((base, SUMS))
-        weights = [np.log10(c + 1.0), known.astype(float), np.where(seen, np.log10(np.maximum(c_pair, 1)), 0.0)]
-        weights += [(c_pair == r).astype(float) for r in range(1, HIGHEST + 1)]
-        weights += [np.where(unseen & known, log, 0.0)]
-        weights += [(unseen & (c == r)).astype(float) for r in range(1, HIGHEST + 1)]
-        weights += [(unseen & ~known).astype(float)]
-        weights += [np.where(known & (word != np.uint64(END)), np.log10(c + ESCAPE), 0.0), (unseen & known).astype(float)]
-        for k, w in enumerate(weights):
+
+        def weights() -> Iterator[np.ndarray]:  # one at a time: each is as long as the group
+            yield np.log10(c + 1.0)
+            yield known
+            yield np.where(seen, np.log10(np.maximum(c_pair, 1)), 0.0)
+            for r in range(1, HIGHEST + 1):
+                yield c_pair == r
+            yield np.where(unseen & known, log, 0.0)
+            for r in range(1, HIGHEST + 1):
+                yield unseen & (c == r)
+            yield unseen & ~known
+            yield np.where(known & (word != np.uint64(END)), np.log10(c + ESCAPE), 0.0)
+            yield unseen & known
+
+        for k, w in enumerate(weights()):
             sums[:, k] = np.bincount(owner, w, minlength=base)
         place, flush = np.concatenate(places), np.concatenate(flushes)
         put(kind=[1] * base, flush=flush, owner=place, numbers=sums.tolist())
