@@ -144,6 +144,23 @@ def pk_violations(spark, sf_dir):
     return quality.primary_key_violations(_star(spark, sf_dir).base_tables())
 
 
+def pk_violations_of_lines(spark, sf_dir):
+    """The key of raw lines, which is not unique in every data set."""
+    lines = star.read_table(spark, sf_dir, "lineitem")
+    return quality.duplicate_keys(lines, ["l_orderkey", "l_linenumber"], "pk_lineitem")
+
+
+def fk_violations_after_purge(spark, sf_dir):
+    """Foreign keys once the orders placed at midnight are gone but not their items."""
+    tables = _star(spark, sf_dir).base_tables()
+    kept = tables["orders"].filter("order_hour_of_day != 0")
+    return quality.foreign_key_violations({**tables, "orders": kept})
+
+
+def uncleaned_null_check(spark, sf_dir):
+    return quality.null_gap_count(_orders(spark, sf_dir))
+
+
 def fk_violations(spark, sf_dir):
     return quality.foreign_key_violations(_star(spark, sf_dir).base_tables())
 
@@ -460,6 +477,9 @@ _RAW: dict[str, Query] = {
     "not_null_violations": not_null_violations,
     "pk_violations": pk_violations,
     "fk_violations": fk_violations,
+    "fk_violations_after_purge": fk_violations_after_purge,
+    "pk_violations_of_lines": pk_violations_of_lines,
+    "uncleaned_null_check": uncleaned_null_check,
     "domain_violations": domain_violations,
     "feature_key_violations": feature_key_violations,
     "purge_orders": purge_orders,

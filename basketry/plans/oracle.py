@@ -350,6 +350,20 @@ _BODIES: dict[str, str] = {
         )
         for name, (c, k, p, pk) in _PARENTS.items()
     ]),
+    "fk_violations_after_purge": _union([
+        _check(
+            name,
+            f"SELECT count(*) FROM {_TABLE_SQL[c]} c WHERE c.{k} IS NOT NULL AND NOT EXISTS "
+            f"(SELECT 1 FROM {_TABLE_SQL[p]} p WHERE p.{pk} = c.{k}"
+            + (" AND p.order_hour_of_day <> 0)" if p == "orders" else ")"),
+        )
+        for name, (c, k, p, pk) in _PARENTS.items()
+    ]),
+    "pk_violations_of_lines": _check(
+        "pk_lineitem",
+        "SELECT count(*) FROM (SELECT l_orderkey FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) d",
+    ),
+    "uncleaned_null_check": "SELECT count(*) - count(days_since_prior_order) AS null_count FROM base_orders",
     "domain_violations": _union([
         _check(name, f"SELECT count(*) FROM {_TABLE_SQL[t]} t WHERE {bad}") for name, (t, bad) in _DOMAINS.items()
     ]),
