@@ -25,6 +25,7 @@ bounded number of words; anchors that many documents share have few contents.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,8 @@ from basketry.llm.shared import save
 from basketry.llm.words import hashed_texts, mix, sequence_hashes
 
 GRAM = 10  # words of an anchor
-SHARD_WORDS = 60_000  # of one automaton, about
+NOBODY = (1 << 63) - 1
+SHARD_WORDS = 30_000  # of one automaton, about
 _STEP = np.uint64(0xD1342543DE82EF95)
 _BACK = np.uint64(pow(0xD1342543DE82EF95, -1, 2**64))
 
@@ -106,45 +108,60 @@ def window_runs(docs: DataFrame, window: int) -> DataFrame:
 
 
 class SuffixAutomaton:
-    """Suffix automaton of several word sequences; every state has the smallest
-    number among the sequences in which its words occur."""
+    """Suffix automaton of several sequences of word numbers; every state has the
+    smallest number among the sequences in which its words occur.
 
-    def __init__(self):
-        self.next: list[dict] = [{}]
-        self.link, self.length, self.least = [-1], [0], [1 << 63]
-
-    def _state(self, length: int, link: int, after: dict) -> int:
-        self.next.append(after)
-        self.link.append(link)
-        self.length.append(length)
-        self.least.append(1 << 63)
-        return len(self.next) - 1
+    States are rows of flat arrays.  Most states have one transition, which is in
+    ``word`` and ``to``; further ones are in ``more``."""
 
-    def _split(self, state: int, target: int, word) -> int:
+    def __init__(self):
+        self.word, self.to, self.more = array("i", [-1]), array("i", [-1]), {}
+        self.link, self.length, self.least = array("i", [-1]), array("i", [0]), array("q", [NOBODY])
+
+    def _after(self, state: int, word: int) -> int:
+        """The state that ``word`` leads to; -1: there is none."""
+        if self.word[state] == word:
+            return self.to[state]
+        more = self.more.get(state)
+        return more.get(word, -1) if more else -1
+
+    def _lead(self, state: int, word: int, target: int) -> None:
+        if self.word[state] == word or self.word[state] < 0:
+            self.word[state], self.to[state] = word, target
+        else:
+            self.more.setdefault(state, {})[word] = target
+
+    def _state(self, length: int, link: int) -> int:
+        for values, new in ((self.word, -1), (self.to, -1), (self.link, link), (self.length, length), (self.least, NOBODY)):
+            values.append(new)
+        return len(self.link) - 1
+
+    def _split(self, state: int, target: int, word: int) -> int:
         """The part of ``target`` that is as long as ``state`` and one word."""
-        part = self._state(self.length[state] + 1, self.link[target], dict(self.next[target]))
-        self.least[part] = self.least[target]
+        part = self._state(self.length[state] + 1, self.link[target])
+        self.word[part], self.to[part], self.least[part] = self.word[target], self.to[target], self.least[target]
+        if target in self.more:
+            self.more[part] = dict(self.more[target])
         self.link[target] = part
-        while state >= 0 and self.next[state].get(word) == target:
-            self.next[state][word] = part
+        while state >= 0 and self._after(state, word) == target:
+            self._lead(state, word, part)
             state = self.link[state]
         return part
 
-    def add(self, words: list, number: int) -> None:
+    def add(self, words: array, number: int) -> None:
         last = 0
         for word in words:
-            target = self.next[last].get(word)
-            if target is not None:
+            target = self._after(last, word)
+            if target >= 0:
                 if self.length[target] != self.length[last] + 1:
                     target = self._split(last, target, word)
                 last = target
             else:
-                state, last = last, self._state(self.length[last] + 1, 0, {})
-                while state >= 0 and word not in self.next[state]:
-                    self.next[state][word] = last
+                state, last = last, self._state(self.length[last] + 1, 0)
+                while state >= 0 and (target := self._after(state, word)) < 0:
+                    self._lead(state, word, last)
                     state = self.link[state]
                 if state >= 0:
-                    target = self.next[state][word]
                     if self.length[target] != self.length[state] + 1:
                         target = self._split(state, target, word)
                     self.link[last] = target
@@ -154,20 +171,22 @@ class SuffixAutomaton:
     def finish(self) -> None:
         """Pass the smallest numbers on to the states of shorter words."""
         least, link = self.least, self.link
-        for state in sorted(range(1, len(link)), key=self.length.__getitem__, reverse=True):
-            if least[state] < least[link[state]]:
+        for state in np.argsort(-np.array(self.length), kind="stable").tolist():
+            if state and least[state] < least[link[state]]:
                 least[link[state]] = least[state]
 
-    def firsts(self, words: list, window: int) -> Iterator[tuple[int, int]]:
+    def firsts(self, words: array, window: int) -> Iterator[tuple[int, int]]:
         """``(start, smallest number)`` of every window of ``words`` that occurs."""
         state = matched = 0
-        after, link, length = self.next, self.link, self.length
+        link, length = self.link, self.length
         for i, word in enumerate(words):
-            while state and word not in after[state]:
+            after = self._after(state, word)
+            while state and after < 0:
                 state = link[state]
                 matched = length[state]
-            if word in after[state]:
-                state, matched = after[state][word], matched + 1
+                after = self._after(state, word)
+            if after >= 0:
+                state, matched = after, matched + 1
             if matched >= window:
                 while length[link[state]] >= window:
                     state = link[state]
@@ -210,14 +229,18 @@ def first_documents(contents: DataFrame, window: int) -> DataFrame:
     shards = 1 + int(total) // SHARD_WORDS
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = [(c, d, w.encode().split()) for c, d, w in zip(pdf["content"], pdf["first_doc"], pdf["words"])]
+        codes: dict[bytes, int] = {}
+        rows = [
+            (c, d, array("i", [codes.setdefault(x, len(codes)) for x in w.encode().split()]))
+            for c, d, w in zip(pdf["content"], pdf["first_doc"], pdf["words"])
+        ]
         automaton = SuffixAutomaton()
         for _, first_doc, words in rows:
             automaton.add(words, first_doc)
         automaton.finish()
         found = []
         for _, _, words in rows:
-            firsts = [0] * (len(words) - window + 1)
+            firsts = np.zeros(len(words) - window + 1, np.int64)
             for start, least in automaton.firsts(words, window):
                 firsts[start] = least
             found.append(firsts)
