@@ -51,7 +51,7 @@ class WordEncoder:
         pieces = [[t] if w else find(t) for t, w in zip(texts, whole)]
         words = set().union(*(part for part, w in zip(pieces, whole) if not w))
         new = []
-        for word in words - self.recent.keys():
+        for word in [w for w in words if w not in self.recent]:
             known = self.older.get(word)
             if known is None:
                 new.append(word)

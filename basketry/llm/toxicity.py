@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import fold
+from basketry.llm.shared import fold, save
 
 LABELLED = 20_000  # labelled documents that are learned from, at most (by hash of the id)
 ENTRIES = 5_000  # of the lexicon, at most: those with the most evidence
@@ -101,15 +101,24 @@ class Matcher:
         self.trie = Trie()
         self.words: set[str] = set()
         self.stems: dict[int, set[str]] = {}
+        self.heads: set[str] = set()
+        self.middles: dict[int, set[str]] = {}
         for entry in entries:
             self.trie.add(entry)
             word = entry.removesuffix("*")
             some = _deletions(word) if len(word) >= FUZZY_LENGTH else [word]
             (self.stems.setdefault(len(word), set()) if entry.endswith("*") else self.words).update(some)
+            # one edit leaves the first half at its place or the second half within one of it
+            half = len(word) // 2
+            self.heads.add(word[:2])
+            for at in (half - 1, half, half + 1):
+                self.middles.setdefault(at, set()).add(word[half : half + 3])
         self.lengths = range(min(map(len, self.words), default=0), max(map(len, self.words), default=-2) + 2)
         self.known: dict[str, int | None] = {}
 
     def _possible(self, word: str) -> bool:
+        if word[:2] not in self.heads and not any(word[at : at + 3] in some for at, some in self.middles.items()):
+            return False
         if len(word) in self.lengths and not self.words.isdisjoint(_deletions(word)):
             return True
         for length, some in self.stems.items():
@@ -128,7 +137,7 @@ class Matcher:
         distinct, known = set(tokens), self.known
         if len(known) > REMEMBERED:
             known.clear()
-        for token in distinct - known.keys():
+        for token in [t for t in distinct if t not in known]:
             known[token] = self.edits(token)
         near = {t: known[t] for t in distinct if known[t] is not None}
         return [(i, near[t]) for i, t in enumerate(tokens) if t in near] if near else []
@@ -163,11 +172,11 @@ def _terms(words: list[str]) -> Iterator[tuple[str, str]]:
                 yield f"{word[:n]}*", around
 
 
-def term_counts(labelled: DataFrame) -> DataFrame:
+def term_counts(labelled: DataFrame, least: float) -> DataFrame:
     """``(term, toxic, clean)`` of ``labelled (text, toxic)``: how many toxic
     documents have each term, or in how many different pairs of neighbours if
     that is less, and how many other documents have it.  So what copies of one
-    toxic text share is evidence once."""
+    toxic text share is evidence once.  Terms below ``least`` are left out."""
 
     def words_of(text: str | None) -> list[str]:
         return [w for t in (text or "").lower().split() if (w := t.strip(EDGES))]
@@ -185,19 +194,25 @@ def term_counts(labelled: DataFrame) -> DataFrame:
                     ["term", "around", "first"],
                 )
 
+    toxic = labelled.filter("toxic > 0").select("text").mapInArrow(places, "term string, around string, first long")
+    toxic = toxic.groupBy("term", "around").agg(F.sum("first").alias("texts"))
+    toxic = toxic.groupBy("term").agg(F.least(F.count("*"), F.sum("texts")).alias("toxic")).filter(F.col("toxic") >= least)
+    toxic = save(toxic, "terms")
+    # the sample is bounded, and so are the terms that several of its toxic documents have
+    candidates = labelled.sparkSession.sparkContext.broadcast(frozenset(toxic.toArrow()["term"].to_pylist()))
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = Counter()
+        total, asked = Counter(), candidates.value
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                total.update({t for t, _ in _terms(words_of(text))})
+                words = {t.strip(EDGES) for t in set((text or "").lower().split())}
+                found = words & asked
+                for n in STEMS:
+                    found |= {f"{w[:n]}*" for w in words if len(w) > n} & asked
+                total.update(found)
         terms = list(total)
-        for low in range(0, len(terms), 100_000):
-            part = terms[low : low + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([total[t] for t in part], pa.int64())], ["term", "clean"])
+        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array([total[t] for t in terms], pa.int64())], ["term", "clean"])
 
-    toxic = labelled.filter("toxic > 0").select("text").mapInArrow(places, "term string, around string, first long")
-    toxic = toxic.groupBy("term", "around").agg(F.sum("first").alias("texts"))
-    toxic = toxic.groupBy("term").agg(F.least(F.count("*"), F.sum("texts")).alias("toxic"))
     clean = labelled.filter("toxic <= 0").select("text").mapInArrow(count, "term string, clean long")
     clean = clean.groupBy("term").agg(F.sum("clean").alias("clean"))
     return toxic.join(clean, "term", "left").fillna(0, ["clean"])
@@ -270,7 +285,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, most: int = LABELLED) ->
     if not toxic or not clean:
         return ToxicityModel([], [0.0] * 6 + [30.0 if toxic else -30.0])
     base = toxic / (toxic + clean)
-    counts = term_counts(labelled.withColumn("toxic", (F.col("toxic") > 0).cast("int")))
+    flagged = labelled.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
+    counts = term_counts(flagged, EVIDENCE / float(np.log(1 / base)))
     n = F.col("toxic") + F.col("clean")
     rate = (F.col("toxic") - 0.0) / n
     other = F.when(rate < 1, (1 - rate) * F.log((1 - rate) / (1 - base))).otherwise(0.0)
