@@ -74,8 +74,8 @@ STAGES = [
     ("best-fit packing", packing),
 ]
 
-#: Tokenising, learned scores and hashed orders have no SQL; tests hold each
-#: stage against a plain version.
+#: Tokenising, learned scores and hashed orders have no SQL.  The operators of the
+#: stages are tested against plain versions; the stages themselves are not yet.
 ORACLE_SQL = None
 
 
