@@ -33,6 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,7 +127,10 @@ DEALT = "bucket int, flush long, docs binary, words binary, word_rest binary, be
 
 
 def _deal(docs: DataFrame, dictionary: np.ndarray, bits: int) -> DataFrame:
-    """Token pairs by bucket, and the documents of each flush (bucket -1 and below)."""
+    """Token pairs by bucket, and the documents of each flush (bucket -1 and below).
+
+    A flush is named by its partition and its place there, so a task that runs
+    again for lost map outputs gives the rows it gave before."""
     shared = docs.sparkSession.sparkContext.broadcast(dictionary)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,6 +139,7 @@ def _deal(docs: DataFrame, dictionary: np.ndarray, bits: int) -> DataFrame:
         sizes: list[int] = []
         names: list[tuple[int, int, int]] = []
         held = 0
+        name = TaskContext.get().partitionId() << 32
 
         def flush() -> pa.RecordBatch:
             flat = np.concatenate(numbers)
@@ -152,8 +157,8 @@ def _deal(docs: DataFrame, dictionary: np.ndarray, bits: int) -> DataFrame:
             flat, before, owner = flat[order], before[order], owner[order]
             del key, order
             learned = np.array([n[1] for n in names], bool)
-            name = int(np.random.default_rng().integers(1, 1 << 62))
-            rows = [[-1 - name % (1 << bits), name, np.array(names, "<i8").tobytes(), *[b""] * 5]]
+            home = int(mix(np.array([name], np.uint64))[0] >> np.uint64(64 - bits))
+            rows = [[-1 - home, name, np.array(names, "<i8").tobytes(), *[b""] * 5]]
             cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
             for low, high in zip(cuts, [*cuts[1:], len(bucket)]):
                 at = slice(low, high)
@@ -182,6 +187,7 @@ def _deal(docs: DataFrame, dictionary: np.ndarray, bits: int) -> DataFrame:
                     if held >= FLUSH or len(names) == NONE:
                         yield flush()
                         numbers, sizes, names, held = [], [], [], 0
+                        name += 1
         if names:
             yield flush()
 
