@@ -14,15 +14,19 @@ so all probabilities after any ``h`` add up to one exactly (``a(h) = 1`` for an
 ``h`` that was never seen).  The escape keeps ``a(h)`` positive where all counts
 are too large to be discounted.
 
-Tokens travel as 64-bit word numbers in packed arrays.  A dictionary of at most
-60,000 frequent words (of a bounded sample; it only shortens the arrays and
-spreads the work) has 16-bit codes and exact counts over all training documents.
-Pairs whose second word is in it are dealt out by the pair, so a frequent word is
-not one task's work; all others by the second word.  The task of a pair knows
-its counts, writes its part of the n-gram tables, and returns for each document
-sums that do not depend on the discounts, which follow from the tables.  A token
-of a document that no training document supports looks up ``a(h)`` in the tables
-by a join.
+Tokens travel as 64-bit word numbers in packed arrays.  A dictionary of the heavy
+words of all documents and frequent words of a bounded sample (these only shorten
+the arrays) has 16-bit codes and exact counts over all training documents.  Pairs
+whose second word is in it are dealt out by the pair, so a frequent word is not
+one task's work; all others by the second word.  Heavy pairs have exact counts
+too, and their tokens are dealt out by pair and flush, so a frequent pair is not
+one task's work either: a pair or word that is not heavy has fewer than ``HEAVY``
+tokens (beyond 60,000 heavy words, the rarer ones are dealt out like others), and
+a heavy pair's tokens of one flush go to one group, drawn anew for each flush.  The task of a pair knows its
+counts, writes its part of the n-gram tables, and returns for each document sums
+that do not depend on the discounts, which follow from the tables.  A token of a
+document that no training document supports looks up ``a(h)`` in the tables by a
+join.
 """
 
 from __future__ import annotations
@@ -31,7 +35,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -45,6 +48,7 @@ CODES = 60_000  # words of the dictionary, at most
 NONE = 0xFFFF  # code of a word that is not in it
 FLUSH = 1_000_000  # tokens a task holds before it sends them on
 BUCKET = 1_000_000  # tokens of one reduce group, about
+HEAVY = BUCKET // 4  # tokens from which a word or pair is heavy
 HIGHEST = 5  # counts up to this are discounted
 ESCAPE = 0.1
 START, END = (int(x) for x in mix(np.array([1, 2], np.uint64)))
@@ -65,6 +69,27 @@ def _coded(numbers: np.ndarray, dictionary: np.ndarray) -> np.ndarray:
     return np.where(dictionary[at] == numbers, at, NONE).astype(np.uint16)
 
 
+def _pair_numbers(words: np.ndarray, before: np.ndarray) -> np.ndarray:
+    return mix(words * np.uint64(0x9E3779B97F4A7C15) + mix(before))
+
+
+def _before(flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The upper 48 bits of the word before each token of texts laid end to end."""
+    before = np.empty_like(flat)
+    before[1:] = flat[:-1]
+    before[np.cumsum(lengths) - lengths] = START
+    before &= ~np.uint64(0xFFFF)
+    return before
+
+
+def _among(numbers: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each number is among the ascending ``known``, and its place there."""
+    if not len(known):
+        return np.zeros(len(numbers), bool), np.zeros(len(numbers), np.int64)
+    at = np.minimum(np.searchsorted(known, numbers), len(known) - 1)
+    return known[at] == numbers, at
+
+
 def _pack_words(numbers: np.ndarray, codes: np.ndarray, size: int) -> bytes:
     """The numbers of uncoded words, ``size`` upper bytes each."""
     rest = numbers[codes == NONE]
@@ -104,37 +129,116 @@ def frequent_words(docs: DataFrame) -> np.ndarray:
     return np.sort(words.view(np.uint64))
 
 
-def dictionary_counts(docs: DataFrame, dictionary: np.ndarray) -> np.ndarray:
-    """Exact counts of the dictionary's words in the training documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(dictionary)
+@dataclass
+class HeavyPairs:
+    pairs: np.ndarray  # their numbers, ascending
+    words: np.ndarray
+    before: np.ndarray
+    counts: np.ndarray  # in the training documents
+
+
+CANDIDATE = "kind int, key long, word long, before long, n long"
+
+
+def _most_frequent(parts: list[tuple], most: int) -> tuple:
+    """Parts ``(key, word, before, n)`` as one of at most ``most`` keys.  What is
+    taken from every ``n`` adds up to less than the tokens / (most + 1)."""
+    key, word, before, n = (np.concatenate(c) for c in zip(*parts))
+    keys, first, at = np.unique(key, return_index=True, return_inverse=True)
+    total = np.zeros(len(keys), np.int64)
+    np.add.at(total, at, n)
+    if len(keys) > most:
+        total -= np.partition(total, -most - 1)[-most - 1]
+    some = total > 0
+    return keys[some], word[first[some]], before[first[some]], total[some]
+
+
+def heavy(docs: DataFrame, least: int) -> tuple[np.ndarray, HeavyPairs]:
+    """Words and pairs of all documents: every one of ``least`` tokens or more,
+    none of less than half as many; the pairs have no counts yet."""
+    size = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    most = max(1, 2 * ((size[0] or 0) // 2 + 2 * size[1]) // least)
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[list[tuple]] = [[], []]
+        new: list[tuple[np.ndarray, np.ndarray]] = []
+        held = 0
+
+        def merge() -> None:
+            flat, before = (np.concatenate(c) for c in zip(*new))
+            for kind, key in enumerate((flat, _pair_numbers(flat, before))):
+                keys, first, n = np.unique(key, return_index=True, return_counts=True)
+                kept[kind] = [_most_frequent([*kept[kind], (keys, flat[first], before[first], n)], most)]
+
+        for batch in batches:
+            for _, offsets, flat in _tokens(batch.column(0)):
+                new.append((flat, _before(flat, np.diff(offsets))))
+                held += len(flat)
+                if held >= FLUSH:
+                    merge()
+                    new, held = [], 0
+        if new:
+            merge()
+        for kind, parts in enumerate(kept):
+            for key, word, before, n in parts:
+                columns = [pa.array(np.full(len(key), kind, np.int32)), *(pa.array(c.view(np.int64)) for c in (key, word, before)), pa.array(n)]
+                yield pa.RecordBatch.from_arrays(columns, ["kind", "key", "word", "before", "n"])
+
+    found = docs.select("text").mapInArrow(find, CANDIDATE).groupBy("kind", "key")
+    found = found.agg(F.min("word").alias("word"), F.min("before").alias("before"), F.sum("n").alias("n"))
+    got = found.filter(F.col("n") >= least / 2).orderBy(F.desc("n"), "key").toArrow()
+    kind = got["kind"].to_numpy()
+    key, word, before = (got[c].to_numpy().view(np.uint64) for c in ("key", "word", "before"))
+    order = np.argsort(key[kind == 1])
+    pairs, words, before = (c[kind == 1][order] for c in (key, word, before))
+    return word[kind == 0], HeavyPairs(pairs, words, before, np.zeros(len(pairs), np.int64))
+
+
+def with_heavy(dictionary: np.ndarray, words: np.ndarray, pairs: HeavyPairs) -> tuple[np.ndarray, HeavyPairs]:
+    """The dictionary with the heavy words in it, and the pairs whose second word it has."""
+    words = words[:CODES]
+    others = np.setdiff1d(dictionary, words)[: NONE - len(words)]
+    dictionary = np.sort(np.concatenate([words, others]))
+    has = _coded(pairs.words, dictionary) != NONE
+    return dictionary, HeavyPairs(pairs.pairs[has], pairs.words[has], pairs.before[has], pairs.counts[has])
+
+
+def exact_counts(docs: DataFrame, dictionary: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exact counts of the dictionary's words and of heavy pairs in the training documents."""
+    shared = docs.sparkSession.sparkContext.broadcast((dictionary, pairs))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << 16, np.int64)
+        dictionary, pairs = shared.value
+        total = np.zeros((1 << 16) + len(pairs), np.int64)
         for batch in batches:
-            for _, _, numbers in _tokens(batch.column(0)):
-                total += np.bincount(_coded(numbers, shared.value), minlength=1 << 16)
-        some = np.flatnonzero(total[:NONE])
+            for _, offsets, flat in _tokens(batch.column(0)):
+                total[: 1 << 16] += np.bincount(_coded(flat, dictionary), minlength=1 << 16)
+                if len(pairs):
+                    has, at = _among(_pair_numbers(flat, _before(flat, np.diff(offsets))), pairs)
+                    total[1 << 16 :] += np.bincount(at[has], minlength=len(pairs))
+        total[NONE] = 0
+        some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["code", "n"])
 
     found = docs.filter("learned").select("text").mapInArrow(count, "code int, n long")
     got = found.groupBy("code").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << 16, np.int64)
+    counts = np.zeros((1 << 16) + len(pairs), np.int64)
     counts[got["code"].to_numpy()] = got["n"].to_numpy()
-    return counts
+    return counts[: 1 << 16], counts[1 << 16 :]
 
 
 DEALT = "bucket int, flush long, docs binary, words binary, word_rest binary, before binary, before_rest binary, owners binary"
 
 
-def _deal(docs: DataFrame, dictionary: np.ndarray, bits: int) -> DataFrame:
+def _deal(docs: DataFrame, dictionary: np.ndarray, pairs: np.ndarray, bits: int) -> DataFrame:
     """Token pairs by bucket, and the documents of each flush (bucket -1 and below).
 
     A flush is named by its partition and its place there, so a task that runs
     again for lost map outputs gives the rows it gave before."""
-    shared = docs.sparkSession.sparkContext.broadcast(dictionary)
+    shared = docs.sparkSession.sparkContext.broadcast((dictionary, pairs))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
+        words, pairs = shared.value
         numbers: list[np.ndarray] = []
         sizes: list[int] = []
         names: list[tuple[int, int, int]] = []
@@ -145,17 +249,17 @@ def _deal(docs: DataFrame, dictionary: np.ndarray, bits: int) -> DataFrame:
             flat = np.concatenate(numbers)
             lengths = np.array(sizes)
             owner = np.repeat(np.arange(len(sizes)), lengths).astype(np.uint16)
-            before = np.empty_like(flat)
-            before[1:] = flat[:-1]
-            before[np.cumsum(lengths) - lengths] = START
-            before &= ~np.uint64(0xFFFF)
+            before = _before(flat, lengths)
             code, code_before = _coded(flat, words), _coded_upper(before, words)
-            key = np.where(code != NONE, mix(flat + mix(before)), flat)
+            pair = _pair_numbers(flat, before)
+            key = np.where(code != NONE, pair, flat)
+            spread = _among(pair, pairs)[0]
+            key[spread] = mix(pair[spread] ^ mix(np.array([name + 1], np.uint64)))
             bucket = (key >> np.uint64(64 - bits)).astype(np.int32)
             order = np.lexsort((code, bucket))
             bucket, code, code_before = bucket[order], code[order], code_before[order]
             flat, before, owner = flat[order], before[order], owner[order]
-            del key, order
+            del pair, key, order
             learned = np.array([n[1] for n in names], bool)
             home = int(mix(np.array([name], np.uint64))[0] >> np.uint64(64 - bits))
             rows = [[-1 - home, name, np.array(names, "<i8").tobytes(), *[b""] * 5]]
@@ -207,47 +311,71 @@ FOUND = "kind int, flush long, owner int, doc_id long, learned int, numbers arra
 SUMS = 3 + HIGHEST + 1 + HIGHEST + 1 + 1 + 1
 
 
+_LONGS, _DOUBLES = (pa.list_(pa.field("element", t)) for t in (pa.int64(), pa.float64()))
+_FOUND = pa.schema(
+    [("kind", pa.int32()), ("flush", pa.int64()), ("owner", pa.int32()), ("doc_id", pa.int64()), ("learned", pa.int32()), ("numbers", _DOUBLES),
+     ("word", pa.int64()), ("n", pa.int64()), ("before", pa.binary()), ("counts", pa.binary()), ("least", _LONGS)]
+)
+
+
+def _lists(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """The rows of a two-dimensional array as lists."""
+    starts = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1]))
+    return pa.ListArray.from_arrays(starts, pa.array(rows.ravel()), type=kind)
+
+
+def _runs(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The bytes of the rows of ``data`` from each cut to the next, as binary values."""
+    width = data.nbytes // len(data)
+    starts = np.append(cuts, len(data)).astype(np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(starts), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def _count(shared, bits: int):
     """Counts of one bucket, as rows of several kinds: 0 a document, 1 sums of a
     document, 2 tokens after a pair that was never seen, by what is before them,
     3 a word of the tables, 4 numbers of counts."""
 
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        dictionary, dictionary_counts = shared.value
-        out: dict[str, list] = {f.split()[0]: [] for f in FOUND.split(", ")}
+    def count(group: pa.Table) -> pa.Table:
+        dictionary, dictionary_counts, spread = shared.value
+        out: list[pa.RecordBatch] = []
 
-        def put(**values) -> None:
+        def put(kind: int, **values) -> None:
             n = len(next(iter(values.values())))
-            for name in out:
-                got = values.get(name)
-                out[name] += [None] * n if got is None else list(got)
-
-        if pdf["bucket"].iloc[0] < 0:
-            for r in pdf.itertuples():
-                names = np.frombuffer(r.docs, "<i8").reshape(-1, 4)
-                ids = [int(i) if there else None for i, there in zip(names[:, 0], names[:, 3])]
-                numbers = [[float(t)] for t in names[:, 2]]
-                put(kind=[0] * len(names), flush=[r.flush] * len(names), owner=range(len(names)), doc_id=ids, learned=names[:, 1].tolist(), numbers=numbers)
-            return _frame(out)
+            values["kind"] = np.full(n, kind, np.int32)
+            columns = [pa.nulls(n, f.type) if f.name not in values else pa.array(values[f.name], f.type) for f in _FOUND]
+            out.append(pa.RecordBatch.from_arrays(columns, schema=_FOUND))
+
+        if group["bucket"][0].as_py() < 0:
+            for flush, docs in zip(group["flush"].to_pylist(), group["docs"].to_pylist()):
+                names = np.frombuffer(docs, "<i8").reshape(-1, 4)
+                ids = pa.array(names[:, 0], mask=names[:, 3] == 0)
+                put(
+                    0, flush=np.full(len(names), flush), owner=np.arange(len(names), dtype=np.int32), doc_id=ids,
+                    learned=names[:, 1].astype(np.int32), numbers=_lists(names[:, 2:3].astype(float), _DOUBLES),
+                )
+            return pa.Table.from_batches(out, _FOUND)
         words, before, owners, learned = [], [], [], []
         places, flushes, base = [], [], 0
-        for r in pdf.itertuples():
-            codes = np.cumsum(np.frombuffer(r.words, "<u2"), dtype=np.uint16)
-            words.append(_unpack_words(codes, r.word_rest, 8, dictionary))
-            before.append(_unpack_words(np.frombuffer(r.before, np.uint16), r.before_rest, 6, dictionary))
-            owner = np.frombuffer(r.owners, np.uint16).astype(np.int64)
-            flags = np.unpackbits(np.frombuffer(r.docs, np.uint8)).astype(bool)
+        for r in group.to_pylist():
+            codes = np.cumsum(np.frombuffer(r["words"], "<u2"), dtype=np.uint16)
+            words.append(_unpack_words(codes, r["word_rest"], 8, dictionary))
+            before.append(_unpack_words(np.frombuffer(r["before"], np.uint16), r["before_rest"], 6, dictionary))
+            owner = np.frombuffer(r["owners"], np.uint16).astype(np.int64)
+            flags = np.unpackbits(np.frombuffer(r["docs"], np.uint8)).astype(bool)
             learned.append(flags[owner])
             used, owner = np.unique(owner, return_inverse=True)
             owners.append(owner + base)
             places.append(used)
-            flushes.append(np.full(len(used), r.flush))
+            flushes.append(np.full(len(used), r["flush"]))
             base += len(used)
         word, context, owner, train = map(np.concatenate, (words, before, owners, learned))
+        del words, before, owners, learned
         kinds, kind = np.unique(word, return_inverse=True)
-        pair = mix(word * np.uint64(0x9E3779B97F4A7C15) + mix(context))
-        _, where, at = np.unique(pair, return_index=True, return_inverse=True)
+        distinct, where, at = np.unique(_pair_numbers(word, context), return_index=True, return_inverse=True)
         pairs = np.bincount(at[train], minlength=len(where))
+        counted, place = _among(distinct, spread.pairs)  # elsewhere, over all groups
+        pairs[counted] = spread.counts[place[counted]]
         singles = np.bincount(kind[train], minlength=len(kinds))
         codes = _coded(kinds, dictionary)
         singles = np.where(codes != NONE, dictionary_counts[codes], singles)
@@ -273,45 +401,37 @@ def _count(shared, bits: int):
         for k, w in enumerate(weights()):
             sums[:, k] = np.bincount(owner, w, minlength=base)
         place, flush = np.concatenate(places), np.concatenate(flushes)
-        put(kind=[1] * base, flush=flush, owner=place, numbers=sums.tolist())
+        place = place.astype(np.int32)
+        put(1, flush=flush, owner=place, numbers=_lists(sums, _DOUBLES))
+        del sums, log
         # tokens after an unseen pair, by document
         if unseen.any():
-            who, what = owner[unseen], context[unseen].view(np.int64)
+            who, what = owner[unseen], context[unseen]
             order = np.argsort(who, kind="stable")
             who, what = who[order], what[order]
             cuts = np.flatnonzero(np.diff(who, prepend=-1))
-            lists = [what[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(who)])]
-            put(kind=[2] * len(cuts), flush=flush[who[cuts]], owner=place[who[cuts]], before=lists)
+            put(2, flush=flush[who[cuts]], owner=place[who[cuts]], before=_runs(what, cuts))
         # the tables: for each word what it follows and how often
-        tabled = np.flatnonzero(pairs)
+        tabled = np.flatnonzero((pairs > 0) & ~counted)
         if len(tabled):
             first = where[tabled]
             of, what, often = kind[first], context[first], pairs[tabled].astype("<u4")
             order = np.argsort(of, kind="stable")
             of, what, often = of[order], what[order], often[order]
             cuts = np.flatnonzero(np.diff(of, prepend=-1))
-            ends = [*cuts[1:], len(of)]
             some = of[cuts]
-            upper = [np.ascontiguousarray(what[a:b].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes() for a, b in zip(cuts, ends)]
-            put(
-                kind=[3] * len(cuts), word=kinds[some].view(np.int64).tolist(), n=singles[some].tolist(), before=upper,
-                counts=[often[a:b].tobytes() for a, b in zip(cuts, ends)],
-            )
-        # words, tokens and numbers of counts; the dictionary's words are counted elsewhere
+            upper = np.ascontiguousarray(what.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:])
+            put(3, word=kinds[some].view(np.int64), n=singles[some], before=_runs(upper, cuts), counts=_runs(often, cuts))
+        # words, tokens and numbers of counts; the dictionary's words and heavy pairs are counted elsewhere
         own = singles[(codes == NONE) & (singles > 0)]
         ones = [int((own == r).sum()) for r in range(1, HIGHEST + 2)]
-        twos = [int((pairs == r).sum()) for r in range(1, HIGHEST + 2)]
-        put(kind=[4], least=[[len(own), int(own.sum()), *ones, *twos]])
-        return _frame(out)
+        twos = [int((pairs[~counted] == r).sum()) for r in range(1, HIGHEST + 2)]
+        put(4, least=[[len(own), int(own.sum()), *ones, *twos]])
+        return pa.Table.from_batches(out, _FOUND)
 
     return count
 
 
-def _frame(out: dict[str, list]) -> pd.DataFrame:
-    whole = ("kind", "flush", "owner", "doc_id", "learned", "word", "n")
-    return pd.DataFrame({k: pd.array(v, "Int64") if k in whole else pd.Series(v, dtype=object) for k, v in out.items()})
-
-
 def discounts(numbers: list[int]) -> np.ndarray:
     """Good-Turing discounts of the counts 1 to 5 from the numbers of counts 1 to
     6; where these do not give discounts between 0 and 1, the absolute discount
@@ -350,17 +470,19 @@ class KatzModel:
         return (1 + left) / (self.tokens + 1)
 
 
-def _model(totals: list, dictionary: np.ndarray, counts: np.ndarray, documents: int) -> KatzModel:
+def _model(totals: list, dictionary: np.ndarray, counts: np.ndarray, pairs: HeavyPairs, documents: int) -> KatzModel:
     own = counts[: len(dictionary)]
     own = own[own > 0]
     words, tokens = len(own) + totals[0], int(own.sum()) + totals[1]
     ones = [totals[1 + r] + int((own == r).sum()) for r in range(1, HIGHEST + 2)]
-    return KatzModel(tokens, words, documents, discounts(ones), discounts(totals[2 + HIGHEST + 1 :]), ones)
+    twos = [totals[2 + HIGHEST + r] + int((pairs.counts == r).sum()) for r in range(1, HIGHEST + 2)]
+    return KatzModel(tokens, words, documents, discounts(ones), discounts(twos), ones)
 
 
-def backoff_masses(table: DataFrame, model: KatzModel) -> DataFrame:
-    """``(context, total, kept, lower)`` from ``table (word, n, before, counts)``:
-    c(h), the sum of d c(h, w), and the sum of P(w), over the words seen after h."""
+def backoff_masses(table: DataFrame, model: KatzModel, pairs: HeavyPairs, singles: np.ndarray) -> DataFrame:
+    """``(context, total, kept, lower)`` from ``table (word, n, before, counts)``
+    and the heavy pairs, whose words have the counts ``singles``: c(h), the sum
+    of d c(h, w), and the sum of P(w), over the words seen after h."""
     shared = table.sparkSession.sparkContext.broadcast(model)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,6 +517,11 @@ def backoff_masses(table: DataFrame, model: KatzModel) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names)
 
     found = table.select("n", "before", "counts").mapInArrow(add, "context long, total double, kept double, lower double")
+    seen = pairs.counts > 0
+    if seen.any():
+        often, lower = pairs.counts[seen], model.discounted(singles[seen]) / (model.tokens + 1)
+        more = zip(pairs.before[seen].view(np.int64).tolist(), often.astype(float).tolist(), model.discounted_pair(often).tolist(), lower.tolist())
+        found = found.union(table.sparkSession.createDataFrame(list(more), found.schema))
     return found.groupBy("context").agg(*[F.sum(c).alias(c) for c in ("total", "kept", "lower")])
 
 
@@ -422,16 +549,17 @@ def katz_scores(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = docs.withColumn("learned", learned_from(docs))
-    dictionary = frequent_words(docs)
-    counts = dictionary_counts(docs, dictionary)
+    dictionary, pairs = with_heavy(frequent_words(docs), *heavy(docs, HEAVY))
+    counts, pairs.counts = exact_counts(docs, dictionary, pairs.pairs)
     size = docs.agg(F.sum(F.octet_length("text")), F.sum(F.col("learned").cast("int"))).first()
     bits = max(4, ((size[0] or 0) // 6 // BUCKET).bit_length())
-    shared = spark.sparkContext.broadcast((dictionary, counts))
-    found = save(_deal(docs, dictionary, bits).groupBy("bucket").applyInPandas(_count(shared, bits), FOUND), "ngrams")
+    shared = spark.sparkContext.broadcast((dictionary, counts, pairs))
+    found = save(_deal(docs, dictionary, pairs.pairs, bits).groupBy("bucket").applyInArrow(_count(shared, bits), FOUND), "ngrams")
     totals = found.filter("kind = 4").select(*[F.sum(F.col("least")[k]) for k in range(2 + 2 * (HIGHEST + 1))]).first()
-    model = _model([t or 0 for t in totals], dictionary, counts, size[1] or 0)
+    model = _model([t or 0 for t in totals], dictionary, counts, pairs, size[1] or 0)
 
-    masses = backoff_masses(found.filter("kind = 3").select("word", "n", "before", "counts"), model)
+    table = found.filter("kind = 3").select("word", "n", "before", "counts")
+    masses = backoff_masses(table, model, pairs, counts[_coded(pairs.words, dictionary)])
     left = F.lit(1.0) - F.col("lower")
     weight = F.log10((F.col("total") + ESCAPE - F.col("kept")) / left)
     unseen = found.filter("kind = 2").select("flush", "owner", "before").mapInArrow(_contexts, "flush long, owner int, context long")
@@ -442,11 +570,11 @@ def katz_scores(docs: DataFrame) -> DataFrame:
     sums = found.filter("kind = 1").groupBy("flush", "owner").agg(*values)
     names = found.filter("kind = 0").select("flush", "owner", "doc_id", "learned", F.col("numbers")[0].cast("long").alias("n_tokens"))
     rows = names.join(sums, ["flush", "owner"]).join(backed, ["flush", "owner"], "left")
-    pairs = sum((F.col(f"s{2 + r}") * float(np.log10(model.pair[r - 1])) for r in range(1, HIGHEST + 1)), F.col("s2"))
+    known_pairs = sum((F.col(f"s{2 + r}") * float(np.log10(model.pair[r - 1])) for r in range(1, HIGHEST + 1)), F.col("s2"))
     words = sum((F.col(f"s{3 + HIGHEST + r}") * float(np.log10(model.single[r - 1])) for r in range(1, HIGHEST + 1)), F.col(f"s{3 + HIGHEST}"))
     words = words - F.col(f"s{SUMS - 1}") * float(np.log10(model.tokens + 1)) + F.col(f"s{SUMS - 3}") * float(np.log10(model.unknown))
     start = float(np.log10(model.documents + ESCAPE)) if model.documents else 0.0
-    score = pairs + words - F.col(f"s{SUMS - 2}") - start + F.coalesce("backed", F.lit(0.0))
+    score = known_pairs + words - F.col(f"s{SUMS - 2}") - start + F.coalesce("backed", F.lit(0.0))
     base = F.col("s0") - F.col("n_tokens") * float(np.log10(model.tokens + model.words + 1))
     held_out = F.col("doc_id").isNotNull() & (F.col("learned") == 0)
     return rows.select(
