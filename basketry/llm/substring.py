@@ -11,20 +11,25 @@ those windows:
 2. Runs whose anchor one document alone has are done.  Equal runs become one
    content, with the smallest doc_id that has it; an anchor with one content
    needs no more.
-3. The other contents are dealt into shards by anchor.  A task builds the suffix
+3. An anchor whose contents have more words than a shard (a phrase inside many
+   different texts) is done by window: the 128-bit digests of its windows are
+   grouped to their smallest doc_id, with sums before the shuffle, so neither a
+   frequent anchor nor a frequent window is one task's work.
+4. The other contents are dealt into shards by anchor.  A task builds the suffix
    automaton of its shard's contents over words, each state with the smallest
    doc_id among its occurrences, and streams the contents through it: where the
    matching statistics reach 50 words, the state of those 50 words tells the
    first document that has the window.
-4. Runs take the answers of their content, and documents the spans of their runs.
+5. Runs take the answers of their content, and documents the spans of their runs.
 
 An automaton is met only by the contents of its shard, so it goes to one task,
-not to all: a broadcast automaton would grow with the corpus.  Shards have a
-bounded number of words; anchors that many documents share have few contents.
+not to all: a broadcast automaton would grow with the corpus.  No anchor brings more than
+``SHARD_WORDS`` words to a shard.
 """
 
 from __future__ import annotations
 
+import hashlib
 from array import array
 from collections.abc import Iterator
 
@@ -251,6 +256,54 @@ def first_documents(contents: DataFrame, window: int) -> DataFrame:
     return dealt.groupBy("shard").applyInPandas(match, "content long, firsts array<long>")
 
 
+def frequent_anchors(contents: DataFrame) -> DataFrame:
+    """``(anchor)`` of the anchors whose contents have more words than a shard."""
+    size = contents.groupBy("anchor").agg(F.sum(F.length("words") / 6).alias("size"))
+    return size.filter(F.col("size") > SHARD_WORDS).select("anchor")
+
+
+def first_documents_by_window(contents: DataFrame, window: int) -> DataFrame:
+    """What ``first_documents`` finds, from the digests of single windows."""
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["content", "first_doc", "start", "digest"]
+
+        def rows(content: list, first_doc: list, start: list, digest: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(content, pa.int64()), pa.array(first_doc, pa.int64()), pa.array(start, pa.int32()), pa.array(digest, pa.binary())], names)
+
+        for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [])
+            for content, first_doc, words in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                words = words.encode().split()
+                for start in range(len(words) - window + 1):
+                    row = content, first_doc, start, hashlib.md5(b" ".join(words[start : start + window])).digest()
+                    for values, value in zip(out, row):
+                        values.append(value)
+                    if len(out[0]) >= 100_000:
+                        yield rows(*out)
+                        out = ([], [], [], [])
+            if out[0]:
+                yield rows(*out)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for first_doc, n, some in zip(*(batch.column(i).to_pylist() for i in range(1, 4))):
+                firsts = np.full(n, first_doc, np.int64)
+                for s in some or []:
+                    firsts[s["start"]] = s["least"]
+                found.append(firsts)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["content", "firsts"])
+
+    windows = contents.select("content", "first_doc", "words").mapInArrow(digests, "content long, first_doc long, start int, digest binary")
+    least = windows.groupBy("digest").agg(F.min("first_doc").alias("least"), F.max("first_doc").alias("most"))
+    earlier = windows.join(least.filter("least < most").select("digest", "least"), "digest").filter("least < first_doc")
+    lists = earlier.groupBy("content").agg(F.collect_set(F.struct("start", "least")).alias("earlier"))
+    count = (F.size(F.split("words", " ")) - (window - 1)).alias("windows")
+    whole = contents.select("content", "first_doc", count).join(lists, "content", "left")
+    return whole.mapInArrow(fill, "content long, firsts array<long>")
+
+
 def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     """``(doc_id, version, spans)``: the word ranges ``(low, high)`` of each text
     that windows cover which an earlier document has; ``version`` is the hash of
@@ -272,7 +325,10 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     words = save(_contents_with_words(docs, mixed, window), "contents")
     alone = contents.join(several.select("anchor"), "anchor", "left_anti").filter("doc_id < last")
     alone = alone.select("content", F.array_repeat("doc_id", F.col("windows")).alias("firsts"))
-    firsts = save(first_documents(words, window).unionByName(alone), "firsts")
+    frequent = save(frequent_anchors(words), "frequent")
+    by_shard = first_documents(words.join(frequent, "anchor", "left_anti"), window)
+    by_window = first_documents_by_window(words.join(frequent, "anchor", "left_semi"), window)
+    firsts = save(by_shard.unionByName(by_window).unionByName(alone), "firsts")
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
