@@ -7,17 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.llm import oracle
 from basketry.llm.jaccard_join import jaccard_components
 from basketry.llm.katz import katz_scores
+from basketry.llm.lexical_search import build_index, search
 from basketry.llm.mixing import mixed
 from basketry.llm.nn_descent import nearest
 from basketry.llm.packing import packed_documents
 from basketry.llm.pq_dedup import near_duplicates
+from basketry.llm.prefix_trie import prefix_trie
 from basketry.llm.shared import fold, read_table, ship_package
 from basketry.llm.sharding import sharded
 from basketry.llm.substring import without_repeats
 from basketry.llm.token_files import token_digests
 from basketry.llm.toxicity import train_toxicity, with_toxicity
+from basketry.llm.url_filters import RULES, judged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +88,20 @@ def op10_nn_descent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table, table.filter(F.col("vec_id") % 100 == 0))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judged(read_table(spark, sf_dir, "pages"), RULES)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index, documents = build_index(_documents(spark, sf_dir))
+    return search(index, documents, read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_toxicity": op1_toxicity,
     "op2_katz_scores": op2_katz_scores,
@@ -95,5 +113,12 @@ QUERIES: dict[str, Query] = {
     "op8_pfair_mixing": op8_pfair_mixing,
     "op9_token_files": op9_token_files,
     "op10_nn_descent_search": op10_nn_descent_search,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_url_filters": op12_url_filters,
+    "op13_lexical_search": op13_lexical_search,
+}
+ORACLE: dict[str, str] = {
+    "op11_prefix_trie": oracle.PREFIX_TRIE,
+    "op12_url_filters": oracle.URL_FILTERS,
+    "op13_lexical_search": oracle.LEXICAL_SEARCH,
 }
-ORACLE: dict[str, str] = {}

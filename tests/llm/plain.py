@@ -145,3 +145,58 @@ def nearest(rows, k=10):
             near = [(float(np.sqrt(((v - w) ** 2).sum())), i) for i, w in rows if i != q and len(w) == len(v)]
             out[q] = [(i, d) for d, i in sorted(near)[:k]]
     return out
+
+
+def trie(rows):
+    """Sorted nodes of (conv_id, turn, role, text) rows, as the query returns them."""
+    own = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            whole = f"{len((role or '').encode())}:{role or ''}{text or ''}".encode()
+            own[c].append((turn is not None, turn or 0, hashlib.sha256(whole).digest()[:16], role or "", text or ""))
+    for c in own:
+        own[c] = [x[3:] for x in sorted(own[c])]
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 4
+        turns = tuple(own.get(c - int(math.fmod(c, 20)), [])[:h] + own[c][h:])
+        for d in range(len(turns) + 1):
+            members[turns[:d]].append(c)
+        ends[turns].append(c)
+    children = Counter(p[:-1] for p in members if p)
+    leaves, saved = Counter(), Counter()
+    for p, m in members.items():
+        gain = (len(m) - 1) * len(words(p[-1][1])) if p else 0
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += p not in children
+            saved[p[:d]] += gain
+    return sorted(
+        (m[0], len(p), members[p[:-1]][0] if p else None, len(m), children[p], leaves[p], saved[p],
+         hashlib.sha256(",".join(map(str, ends[p])).encode()).hexdigest())
+        for p, m in members.items()
+    )
+
+
+def ranked(docs, items, k=20):
+    """Sorted (item_id, rank, doc_id, score) of (doc_id, text) and distinct (item_id, text) rows."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+    def terms(text):
+        return term.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+    held = [(i, Counter(w)) for i, w in ((i, terms(t)) for i, t in docs) if w]
+    all_documents, all_terms = len(held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, text in items:
+        scored = []
+        for i, c in held:
+            m = 75 + 25 * sum(c.values()) * all_documents // all_terms
+            score = sum(
+                math.floor(1000 * math.log((2 * all_documents + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 12 * m))
+                for t in terms(text) if c[t]
+            )
+            if score > 0:
+                scored.append((-score, i is None, i or 0))
+        out += [(item, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(sorted(scored)[:k])]
+    return sorted(out, key=repr)

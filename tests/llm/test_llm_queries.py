@@ -73,7 +73,11 @@ def nothing(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("nothing"))
     write(spark, folder, [])
     vectors(spark, folder, empty=True)
-    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    for name, kind in (
+        ("labels", "doc_id long, quality int, toxic int"), ("pages", "page_id long, url string, html string"),
+        ("benchmark", "item_id long, text string"), ("conversations", "conv_id long, turn long, role string, text string"),
+    ):
+        spark.createDataFrame([], kind).write.parquet(f"{folder}/{name}.parquet")
     return folder
 
 
