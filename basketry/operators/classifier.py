@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.schema import FEATURES, SEED, TARGET
+from basketry.session import stage
 
 WEIGHT = "class_weight"
 
@@ -90,34 +93,133 @@ def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def growing_rounds(most: int) -> list[int]:
-    """Sizes of the fits that look for the best round: from 64, 2.5 times as many each."""
-    sizes, n = [], 64
-    while n < most:
-        sizes.append(n)
-        n = n * 5 // 2
-    return [*sizes, most]
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows in at least as many partitions as there are cores: boosting reads
+    them several times for every tree, so one exchange is soon paid back."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
+def ensemble(trees: list, weights: list[float], like: GBTClassificationModel) -> GBTClassificationModel:
+    """A boosted model of the given trees (models inside the JVM)."""
+    jvm, gateway = SparkContext._active_spark_context._jvm, SparkContext._gateway
+    kind = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    held, factors = gateway.new_array(kind, len(trees)), gateway.new_array(gateway.jvm.double, len(trees))
+    for i, (tree, weight) in enumerate(zip(trees, weights)):
+        held[i], factors[i] = tree, float(weight)
+    made = jvm.org.apache.spark.ml.classification.GBTClassificationModel(like.uid, held, factors)
+    for param in ("featuresCol", "labelCol", "weightCol", "maxDepth", "stepSize"):
+        made.set(made.getParam(param), like._java_obj.getOrDefault(like._java_obj.getParam(param)))
+    return GBTClassificationModel(made)
+
+
+MARGIN, RESIDUAL = "_margin", "_residual"
+STORED_ROUNDS = 10  # rounds between writes of the margins
+
+
+def _sign() -> Column:
+    return F.when(F.col(TARGET) == 1, 1.0).otherwise(-1.0)
+
+
+def residual() -> Column:
+    """Negative gradient of the logistic loss at the margin so far."""
+    return 4 * _sign() / (1 + F.exp(2 * _sign() * F.col(MARGIN)))
+
+
+def logistic_loss(rows: DataFrame) -> float:
+    """Weighted mean loss at the margins, as the boosted model reports it."""
+    loss = 2 * F.log1p(F.exp(-2 * _sign() * F.col(MARGIN)))
+    return rows.agg(F.sum(loss * F.col(WEIGHT)) / F.sum(WEIGHT)).first()[0]
+
+
+def _one_tree(settings: GbtSettings, round_: int) -> RandomForestRegressor:
+    return RandomForestRegressor(
+        labelCol=RESIDUAL,
+        featuresCol="features",
+        weightCol=WEIGHT,
+        numTrees=1,
+        bootstrap=False,
+        maxDepth=settings.max_depth,
+        subsamplingRate=settings.row_share,
+        featureSubsetStrategy=str(settings.feature_share),
+        minInstancesPerNode=settings.min_rows_per_node,
+        maxBins=settings.max_bins,
+        seed=settings.seed + round_,
+        **settings.extra,
+    )
+
+
+class Boosting:
+    """An ensemble that goes on growing from where it is.
+
+    The margin of every row, the ensemble's answer so far, is a stored column of
+    the training and validation rows.  A step fits one tree to the residuals and
+    adds its answers to the margins; every ``STORED_ROUNDS`` steps the rows are
+    written again, so a plan walks a few trees at most and nothing depends on an
+    executor's memory.
+    """
+
+    def __init__(self, start: GBTClassificationModel, rows: DataFrame, held_out: DataFrame, settings: GbtSettings):
+        self.settings = settings
+        self.trees = list(start._java_obj.trees())
+        self.weights = [float(w) for w in start.treeWeights]
+        margin = vector_to_array("rawPrediction")[1].alias(MARGIN)
+        self.rows, self.held_out = (start.transform(df).select("features", TARGET, WEIGHT, margin) for df in (rows, held_out))
+        self.kept: list[DataFrame] = []
+        self._store()
+
+    def _store(self) -> None:
+        """Write the rows with their margins; tasks keep what they read at hand."""
+        stored = [spread(stage(df, "margins")).persist() for df in (self.rows, self.held_out)]
+        self.close()
+        self.rows, self.held_out = self.kept = stored
+        self.plain_rounds = 0
+
+    def close(self) -> None:
+        for df in self.kept:
+            df.unpersist()
+        self.kept = []
+
+    def step(self) -> float:
+        """Grow by one tree and return the loss on the validation rows."""
+        model = _one_tree(self.settings, len(self.trees)).fit(self.rows.withColumn(RESIDUAL, residual()))
+        self.trees.append(model._java_obj.trees()[0])
+        self.weights.append(self.settings.step_size)
+        moved = F.col(MARGIN) + self.settings.step_size * F.col("prediction")
+        add = lambda df: model.transform(df).select("features", TARGET, WEIGHT, moved.alias(MARGIN))
+        self.rows, self.held_out = add(self.rows), add(self.held_out)
+        self.plain_rounds += 1
+        if self.plain_rounds == STORED_ROUNDS:
+            self._store()
+        return logistic_loss(self.held_out)
 
 
 def fit(train: DataFrame, validation: DataFrame | None, settings: GbtSettings) -> PipelineModel:
     """Fit on weighted rows.  The number of rounds is chosen on users that are
-    in neither the training nor the test part.  Spark's trees cannot be grown
-    on, so fits of growing size look for the round after which the validation
-    loss did not fall for ``patience`` rounds; a last fit has the best count (the
-    same seed grows the same first trees)."""
+    in neither the training nor the test part: growth ends ``patience`` rounds
+    after the lowest validation loss, and the ensemble is cut to the round that had
+    it.  No tree is fitted twice and none beyond those rounds.
+
+    The first ``patience + 1`` rounds, which are needed in any case, are one fit;
+    later ones continue its ensemble tree by tree.
+    """
     vectors = assembler()
-    rows = vectors.transform(train).select("features", TARGET, WEIGHT)
+    rows = spread(vectors.transform(train).select("features", TARGET, WEIGHT))
     if validation is None:
         return PipelineModel(stages=[vectors, _booster(settings, settings.max_rounds).fit(rows)])
     held_out = vectors.transform(validation).select("features", TARGET, WEIGHT)
-    for grown in growing_rounds(settings.max_rounds):
-        model = _booster(settings, grown).fit(rows)
-        rounds, settled = best_round(model.evaluateEachIteration(held_out), settings.patience)
-        if settled:
-            break
-    if rounds < grown:
-        model = _booster(settings, rounds).fit(rows)
-    return PipelineModel(stages=[vectors, model])
+    first = _booster(settings, min(settings.max_rounds, settings.patience + 1)).fit(rows)
+    losses = list(first.evaluateEachIteration(held_out))
+    rounds, settled = best_round(losses, settings.patience)
+    trees, weights = list(first._java_obj.trees()), list(first.treeWeights)
+    if not settled and len(losses) < settings.max_rounds:
+        growing = Boosting(first, rows, held_out, settings)
+        while not settled and len(losses) < settings.max_rounds:
+            losses.append(growing.step())
+            rounds, settled = best_round(losses, settings.patience)
+        growing.close()
+        trees, weights = growing.trees, growing.weights
+    return PipelineModel(stages=[vectors, ensemble(trees[:rounds], weights[:rounds], first)])
 
 
 def booster_of(model: PipelineModel) -> GBTClassificationModel:
@@ -134,7 +236,8 @@ def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 def feature_gains(model: PipelineModel, like: DataFrame) -> DataFrame:
     """Gain per feature as rows; a feature no tree uses has gain 0."""
-    gains = booster_of(model).featureImportances.toArray()
+    gains = list(booster_of(model).featureImportances.toArray())
+    gains += [0.0] * (len(FEATURES) - len(gains))  # an ensemble of given trees ends with the last feature it uses
     rows = [(name, float(gain)) for name, gain in zip(FEATURES, gains)]
     return like.sparkSession.createDataFrame(rows, "feature string, gain double")
 

@@ -84,5 +84,3 @@ def test_best_round_has_patience():
     assert classifier.best_round([5, 4, 3, 3.5, 3.2, 2.9, 4], 3) == (6, False)
     assert classifier.best_round([5, 4, 3, 3.5, 3.2, 3.1, 1], 3) == (3, True)
     assert classifier.best_round([1.0], 3) == (1, False)
-    assert classifier.growing_rounds(500) == [64, 160, 400, 500]
-    assert classifier.growing_rounds(10) == [10]
