@@ -83,6 +83,7 @@ def pair_summary(history: DataFrame) -> DataFrame:
         F.min("buy_sequence").alias("user_product_first_buy_number"),
         F.max("buy_sequence").alias("user_product_last_buy_number"),
         F.max("order_number").alias("last_order_number"),
+        F.min("order_number").alias("first_order_number"),
     )
     streak = F.col("user_product_total_buys") - F.coalesce("_last_break", F.lit(0))
     return sums.select(
@@ -94,6 +95,52 @@ def pair_summary(history: DataFrame) -> DataFrame:
         "user_product_last_buy_number",
         (streak + F.when(F.col("_last_break").isNull(), 0).otherwise(1)).alias("user_product_run_length"),
         "last_order_number",
+        "first_order_number",
+        "reordered_buys",
+        "flagged_buys",
+    )
+
+
+def merge_pairs(earlier: DataFrame, later: DataFrame) -> DataFrame:
+    """Two pair summaries as one, where a user's orders in ``later`` all come after
+    those in ``earlier``.
+
+    Counts add up.  The last break is the one inside the later part, else the
+    step between the parts if it skips an order, else the one in the earlier
+    part; streak and run length of each part tell where its last break is.
+    """
+    total, streak, run = "user_product_total_buys", "user_product_order_streak", "user_product_run_length"
+    a, b = earlier.alias("a"), later.alias("b")
+
+    def last_break(side: str):
+        return F.when(F.col(f"{side}.{run}") > F.col(f"{side}.{streak}"), F.col(f"{side}.{total}") - F.col(f"{side}.{streak}"))
+
+    before = F.coalesce(f"a.{total}", F.lit(0))
+    skips = F.col("b.first_order_number") - F.col("a.last_order_number") > 1
+    joined = F.coalesce(before + last_break("b"), F.when(skips, before + 1), last_break("a"))
+
+    def added(name: str):
+        return (F.coalesce(f"a.{name}", F.lit(0)) + F.coalesce(f"b.{name}", F.lit(0))).alias(name)
+
+    sums = a.join(b, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in PAIR], "full").select(
+        *[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in PAIR],
+        added(total), added("reordered_buys"), added("flagged_buys"),
+        joined.alias("_last_break"),
+        F.coalesce("a.user_product_first_buy_number", "b.user_product_first_buy_number").alias("user_product_first_buy_number"),
+        F.coalesce("b.last_order_number", "a.last_order_number").alias("last_order_number"),
+        F.coalesce("a.first_order_number", "b.first_order_number").alias("first_order_number"),
+    )
+    after = F.col(total) - F.coalesce("_last_break", F.lit(0))
+    return sums.select(
+        *PAIR,
+        total,
+        round_ratio(F.col("reordered_buys"), F.col("flagged_buys"), 6).alias("user_product_reorder_rate"),
+        after.alias(streak),
+        "user_product_first_buy_number",
+        F.col(total).alias("user_product_last_buy_number"),
+        (after + F.when(F.col("_last_break").isNull(), 0).otherwise(1)).alias(run),
+        "last_order_number",
+        "first_order_number",
         "reordered_buys",
         "flagged_buys",
     )
@@ -162,20 +209,28 @@ def product_features(items: DataFrame) -> DataFrame:
     )
 
 
-def product_features_of_pairs(pairs: DataFrame) -> DataFrame:
-    """The same layer from the pair summary."""
-    sums = pairs.groupBy("product_id").agg(
+def product_sums_of_pairs(pairs: DataFrame) -> DataFrame:
+    """Sums per product from the pair summary; they add up over parts of it."""
+    return pairs.groupBy("product_id").agg(
         F.sum("user_product_total_buys").alias("product_total_purchases"),
-        F.sum("reordered_buys").alias("_reordered"),
-        F.sum("flagged_buys").alias("_flagged"),
+        F.sum("reordered_buys").alias("reordered_buys"),
+        F.sum("flagged_buys").alias("flagged_buys"),
     )
+
+
+def product_features_of_sums(sums: DataFrame) -> DataFrame:
     return sums.select(
         "product_id",
         "product_total_purchases",
-        round_ratio(F.col("_reordered"), F.col("_flagged"), 6).alias("product_reorder_rate"),
+        round_ratio(F.col("reordered_buys"), F.col("flagged_buys"), 6).alias("product_reorder_rate"),
     )
 
 
+def product_features_of_pairs(pairs: DataFrame) -> DataFrame:
+    """The product layer from the pair summary."""
+    return product_features_of_sums(product_sums_of_pairs(pairs))
+
+
 def joined_layers(pairs: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
     """Pair, product and user features side by side.  The product layer is one
     row per catalogue entry: Spark broadcasts it when its measured size allows

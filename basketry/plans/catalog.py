@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 from basketry.operators import classifier, evaluation, features, labels, quality, recommend, retention
 from basketry.operators.cleaning import cleaned_orders, sample_rows
 from basketry.plans.feature_build import Layers, build_layers, build_matrix, pair_layer, publish_layers
-from basketry.plans.serving import Serving, model_scorer
+from basketry.plans.refresh import refresh_layers
+from basketry.plans.serving import Serving, lookup, model_scorer
 from basketry.plans.training import VALIDATION_SHARE
 from basketry.plans.workspace import Workspace, open_workspace
 from basketry.schema import FEATURES, SEED, TARGET, TEST_SHARE
@@ -275,16 +276,57 @@ def published_layers(spark, sf_dir):
     """The product layer read from a store after a publish and a refresh."""
     t = _star(spark, sf_dir)
     store = FeatureStore(spark, scratch_path(spark, "store"))
-    layers = publish_layers(store, t.orders, t.order_products, user_folders=16)
+    made = publish_layers(store, t.orders, t.order_products, user_folders=16)
     store.refresh(
         "product_features",
-        lambda: features.product_features_of_pairs(layers.pairs),
+        lambda: features.product_features_of_pairs(made.read("user_product_features")),
         cluster_by=["product_id"],
     )
     version = store.current_version("product_features")
     return store.read("product_features").withColumn("version", F.lit(version))
 
 
+def layer_statistics(spark, sf_dir):
+    """Row counts and column statistics as stored with the published layers."""
+    t = _star(spark, sf_dir)
+    store = FeatureStore(spark, scratch_path(spark, "store"))
+    made = publish_layers(store, t.orders, t.order_products, user_folders=16)
+    stored = made.statistics("user_product_features", "user_features", "product_features")
+    return stored.filter("column_name NOT LIKE 'user_mod%'")
+
+
+def lookup_user(spark, sf_dir):
+    """Published features of the user with the smallest id."""
+    t, layers = _layers(spark, sf_dir)
+    store = FeatureStore(spark, scratch_path(spark, "store"))
+    made = publish_layers(store, t.orders, t.order_products)
+    user_id = layers.users.agg(F.min("user_id")).first()[0]
+    return lookup(made, user_id)
+
+
+def refreshed_layers(spark, sf_dir):
+    """The pair layer after a refresh.  It is first built without the last order of
+    every user who placed it at midnight; then those orders come."""
+    t = _star(spark, sf_dir)
+    last = F.col("eval_set") != "prior"
+    late = t.orders.filter(last & (F.col("order_hour_of_day") == 0))
+    ends = late.select("user_id", F.col("order_number").alias("_last"), F.col("eval_set").alias("_side"))
+    known = t.orders.join(ends, "user_id", "left").filter("_last IS NULL OR order_number < _last")
+    before = F.when(F.col("order_number") == F.col("_last") - 1, F.col("_side")).otherwise(F.col("eval_set"))
+    known = known.withColumn("eval_set", before).select(*t.orders.columns)
+    new_items = t.order_products.join(late, "order_id", "left_semi")
+    store = FeatureStore(spark, scratch_path(spark, "store"))
+    tables = {**t.base_tables(), "orders": known, "order_products": t.order_products.join(late, "order_id", "left_anti")}
+    base = store.commit(*[
+        store.write_version(name, df, **({"bucket_by": ["order_id"], "buckets": 8} if "order_id" in df.columns else {}))
+        for name, df in tables.items()
+    ])
+    publish_layers(store, base.read("orders"), base.read("order_products"), 64, base)
+    retention.extend_orders(store, late, new_items)
+    refresh_layers(store)
+    return features.user_product_features(store.read("user_product_features"))
+
+
 # --- labels and matrix ------------------------------------------------------
 
 
@@ -500,6 +542,9 @@ _RAW: dict[str, Query] = {
     "feature_spot_check": feature_spot_check,
     "leakage_guard": leakage_guard,
     "published_layers": published_layers,
+    "layer_statistics": layer_statistics,
+    "lookup_user": lookup_user,
+    "refreshed_layers": refreshed_layers,
     "train_order_context": train_order_context,
     "train_items": train_items,
     "candidate_pairs": candidate_pairs,

@@ -10,7 +10,7 @@ from basketry.operators import features as f
 from basketry.operators.cleaning import cleaned_orders
 from basketry.operators.labels import training_matrix
 from basketry.session import stage
-from basketry.sources.store import FeatureStore
+from basketry.sources.store import Draft, FeatureStore, Snapshot
 
 
 @dataclass
@@ -46,33 +46,52 @@ def build_matrix(orders: DataFrame, order_products: DataFrame, layers: Layers |
     )
 
 
+SOURCES = ("orders", "order_products")
+PUBLISHED = ("user_product_features", "user_features", "product_features", "product_sums")
+
+
+def sources(base: Snapshot | None) -> dict[str, int]:
+    """Versions of the tables that layers are built from."""
+    return {t: base.number(t) for t in SOURCES} if base else {}
+
+
+def user_layout(folder: str, *keys: str) -> dict:
+    """Files of a layer keyed by user: folders by a hash of the user, sorted
+    inside, with Bloom filters, so one user is one folder and a row group of it."""
+    return {"cluster_by": [folder, *keys], "partition_by": [folder], "find_by": ["user_id"]}
+
+
 def publish_layers(
-    store: FeatureStore, orders: DataFrame, order_products: DataFrame, user_folders: int = f.USER_FOLDERS
-) -> Layers:
-    """Build and publish every layer.  The layers keyed by user are spread over
-    folders by a hash of the user and sorted inside, so a small batch of
-    requests opens only the folders of its users."""
-    folder = f.folder_column(user_folders)
-    pairs = store.publish(
+    store: FeatureStore,
+    orders: DataFrame,
+    order_products: DataFrame,
+    user_folders: int = f.USER_FOLDERS,
+    base: Snapshot | None = None,
+) -> Snapshot:
+    """Build and publish every layer, in one commit.  The layers keyed by user are
+    spread over folders by a hash of the user and sorted inside, so a small batch
+    of requests opens only the folders of its users.  Sums of the products are kept
+    beside their ratios: a refresh adds to them."""
+    folder, made = f.folder_column(user_folders), sources(base)
+
+    def written(layer: str, df: DataFrame, **layout) -> Draft:
+        return store.write_version(layer, df, built_from=made, **layout)
+
+    pairs = written(
         "user_product_features",
         f.with_user_folder(pair_layer(orders, order_products), folder),
-        cluster_by=[folder, *f.PAIR],
-        partition_by=[folder],
-    )
-    users = f.user_features(cleaned_orders(orders), f.user_item_counts_of_pairs(pairs))
-    users = store.publish(
-        "user_features",
-        f.with_user_folder(users, folder),
-        cluster_by=[folder, "user_id"],
-        partition_by=[folder],
-    )
-    products = store.publish(
-        "product_features", f.product_features_of_pairs(pairs), cluster_by=["product_id"]
-    )
-    return Layers(pairs, users, products)
-
-
-def published_layers(store: FeatureStore) -> Layers:
-    return Layers(
-        store.read("user_product_features"), store.read("user_features"), store.read("product_features")
+        **user_layout(folder, *f.PAIR),
     )
+    summary = pairs.read()
+    users = f.user_features(cleaned_orders(orders), f.user_item_counts_of_pairs(summary))
+    users = written("user_features", f.with_user_folder(users, folder), **user_layout(folder, "user_id"))
+    sums = written("product_sums", f.product_sums_of_pairs(summary), cluster_by=["product_id"])
+    products = written("product_features", f.product_features_of_sums(sums.read()), cluster_by=["product_id"])
+    return store.commit(pairs, users, sums, products)
+
+
+def published_layers(at: FeatureStore | Snapshot) -> Layers:
+    """The layers of one commit.  The product layer is broadcast to its joins if
+    its stored row count allows it."""
+    now = at.snapshot() if isinstance(at, FeatureStore) else at
+    return Layers(now.read("user_product_features"), now.read("user_features"), now.read_small("product_features"))

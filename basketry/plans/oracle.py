@@ -79,7 +79,7 @@ def _layer_ctes(suffix: str, source: str) -> None:
     WINDOW pair AS (PARTITION BY o.user_id, i.product_id ORDER BY o.order_number)"""
     CTES[f"islands{suffix}"] = f"""
     SELECT user_id, product_id, order_number - buy_sequence AS island,
-           count(*) AS length, sum(reordered) AS hits, max(order_number) AS last_order
+           count(*) AS length, sum(reordered) AS hits, max(order_number) AS last_order, min(order_number) AS first_order
     FROM history{suffix} GROUP BY user_id, product_id, order_number - buy_sequence"""
     CTES[f"pairs{suffix}"] = f"""
     SELECT user_id, product_id,
@@ -91,6 +91,7 @@ def _layer_ctes(suffix: str, source: str) -> None:
            CAST(sum(length) AS BIGINT) AS user_product_last_buy_number,
            CAST(arg_max(length, island) AS BIGINT) AS user_product_run_length,
            max(last_order) AS last_order_number,
+           min(first_order) AS first_order_number,
            CAST(sum(hits) AS BIGINT) AS hits
     FROM islands{suffix} GROUP BY user_id, product_id"""
     CTES[f"users{suffix}"] = f"""
@@ -124,7 +125,7 @@ CTES["matrix"] = f"""
     SELECT p.user_id, p.product_id, c.train_order_id,
            CAST((p.user_id, p.product_id) IN (SELECT (user_id, product_id) FROM wanted) AS INTEGER)
                AS is_reordered_target,
-           p.* EXCLUDE (user_id, product_id, user_product_run_length, last_order_number, hits),
+           p.* EXCLUDE (user_id, product_id, user_product_run_length, last_order_number, first_order_number, hits),
            {_ratio("user_product_last_buy_number", "user_product_total_buys", 4)} AS user_product_recency_ratio,
            u.* EXCLUDE (user_id),
            {_ratio("user_total_items_bought", "user_total_orders", 4)} AS user_avg_basket_size,
@@ -165,7 +166,7 @@ CTES["requests"] = """
     FROM events WHERE event_type = 'view'"""
 CTES["request_rows"] = f"""
     SELECT q.request_id, q.user_id, p.product_id,
-           p.* EXCLUDE (user_id, product_id, user_product_run_length, last_order_number, hits),
+           p.* EXCLUDE (user_id, product_id, user_product_run_length, last_order_number, first_order_number, hits),
            {_ratio("user_product_last_buy_number", "user_product_total_buys", 4)} AS user_product_recency_ratio,
            u.* EXCLUDE (user_id),
            {_ratio("user_total_items_bought", "user_total_orders", 4)} AS user_avg_basket_size,
@@ -323,6 +324,26 @@ def _report_rows() -> str:
     return f"{prefix},\n{classes}\n{body}"
 
 
+def _statistics() -> str:
+    """Row counts, nulls and ranges of the three layers, one row per column."""
+    sums = {"reordered_buys": "hits", "flagged_buys": "user_product_total_buys"}
+    own = {
+        "pairs": [
+            "user_id", "product_id", *FEATURES[:5], "user_product_run_length", "last_order_number", "first_order_number", *sums,
+        ],
+        "users": ["user_id", "user_total_orders", "user_avg_days_between_orders", "user_total_items_bought"],
+        "product_rates": ["product_id", "product_total_purchases", "product_reorder_rate"],
+    }
+    names = {"pairs": "user_product_features", "users": "user_features", "product_rates": "product_features"}
+    return _union([
+        f"SELECT '{names[layer]}' AS layer, '{c}' AS column_name, count(*) AS row_count, "
+        f"count(*) - count({sums.get(c, c)}) AS null_count, CAST(min({sums.get(c, c)}) AS DOUBLE) AS low, "
+        f"CAST(max({sums.get(c, c)}) AS DOUBLE) AS high FROM {layer}"
+        for layer, columns in own.items()
+        for c in columns
+    ])
+
+
 _BODIES: dict[str, str] = {
     "base_orders": "SELECT * FROM base_orders",
     "base_order_products": "SELECT * FROM base_items",
@@ -399,11 +420,11 @@ _BODIES: dict[str, str] = {
     "user_features": "SELECT * FROM users",
     "product_features": "SELECT * FROM product_rates",
     "user_product_history": "SELECT * FROM history",
-    "user_product_features": "SELECT * EXCLUDE (user_product_run_length, last_order_number, hits) FROM pairs",
+    "user_product_features": "SELECT * EXCLUDE (user_product_run_length, last_order_number, first_order_number, hits) FROM pairs",
     "streak_run": f"""SELECT p.user_id, p.product_id, p.user_product_run_length,
         {_ratio("p.last_order_number", "u.user_total_orders", 4)} AS recency_ratio_by_order
         FROM pairs p JOIN users u ON u.user_id = p.user_id""",
-    "joined_layers": """SELECT p.* EXCLUDE (user_product_run_length, last_order_number, hits),
+    "joined_layers": """SELECT p.* EXCLUDE (user_product_run_length, last_order_number, first_order_number, hits),
         u.* EXCLUDE (user_id), r.* EXCLUDE (product_id)
         FROM pairs p JOIN users u ON u.user_id = p.user_id JOIN product_rates r ON r.product_id = p.product_id""",
     "feature_spot_check": """SELECT p.user_id, p.product_id, user_total_orders, user_avg_days_between_orders,
@@ -416,10 +437,18 @@ _BODIES: dict[str, str] = {
         _changed("users", "*"),
         _changed("product_rates", "*"),
     ]),
+    "layer_statistics": _statistics(),
+    "refreshed_layers": "SELECT * EXCLUDE (user_product_run_length, last_order_number, first_order_number, hits) FROM pairs",
+    "lookup_user": f"""SELECT p.* EXCLUDE (user_id, user_product_run_length, last_order_number, first_order_number, hits),
+        {_ratio("p.user_product_last_buy_number", "p.user_product_total_buys", 4)} AS user_product_recency_ratio,
+        u.* EXCLUDE (user_id), {_ratio("u.user_total_items_bought", "u.user_total_orders", 4)} AS user_avg_basket_size,
+        r.* EXCLUDE (product_id)
+        FROM pairs p JOIN users u ON u.user_id = p.user_id JOIN product_rates r ON r.product_id = p.product_id
+        WHERE p.user_id = (SELECT min(user_id) FROM users)""",
     "published_layers": "SELECT *, CAST(2 AS INTEGER) AS version FROM product_rates",
     "train_order_context": "SELECT * FROM context",
     "train_items": "SELECT * FROM wanted",
-    "candidate_pairs": """SELECT * EXCLUDE (user_product_run_length, last_order_number, hits) FROM pairs
+    "candidate_pairs": """SELECT * EXCLUDE (user_product_run_length, last_order_number, first_order_number, hits) FROM pairs
         WHERE user_id IN (SELECT user_id FROM context)""",
     "training_matrix": "SELECT * FROM matrix",
     "model_frame": "SELECT user_id, product_id, train_order_id, is_reordered_target, "
@@ -475,7 +504,7 @@ _BODIES: dict[str, str] = {
                   for c in FEATURES
               ])}))""",
     "serving_requests": "SELECT *, 10 AS top_n FROM requests",
-    "stored_features": f"""SELECT p.* EXCLUDE (user_product_run_length, last_order_number, hits),
+    "stored_features": f"""SELECT p.* EXCLUDE (user_product_run_length, last_order_number, first_order_number, hits),
         {_ratio("p.user_product_last_buy_number", "p.user_product_total_buys", 4)} AS user_product_recency_ratio,
         u.* EXCLUDE (user_id), {_ratio("u.user_total_items_bought", "u.user_total_orders", 4)} AS user_avg_basket_size,
         r.* EXCLUDE (product_id)
