@@ -37,3 +37,10 @@ def bucket_1000(key: Column, seed: int) -> Column:
     state = F.pmod(key.cast("bigint"), F.lit(modulus)) * multiplier + increment
     state = ((state % modulus) + seed) % modulus * multiplier + increment
     return (int_div(state % modulus, F.lit(65536)) % 1000).cast("int")
+
+
+def portable_hash(seed: int, *keys: Column | str) -> Column:
+    """A number below 2**60 from the text of the keys, the same in any SQL engine
+    with md5.  A null key counts as an empty text."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit("")) for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")

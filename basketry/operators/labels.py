@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.numeric import bucket_1000, round_ratio
+from basketry.functions.numeric import bucket_1000, portable_hash, round_ratio
 from basketry.operators.features import PAIR, user_product_features
 from basketry.schema import DOW_FLAGS, FEATURES, IDENTIFIERS, TARGET
+from basketry.session import stage
 
 
 def train_order_context(cleaned: DataFrame) -> DataFrame:
@@ -99,3 +102,44 @@ def with_split(matrix: DataFrame, test_share: float, validation_share: float, se
     validation_end = test_end + round(validation_share * 1000)
     side = F.when(bucket < test_end, "test").when(bucket < validation_end, "validation").otherwise("train")
     return matrix.withColumn("split", side)
+
+
+SPLIT_BITS, HASH_BITS = 10, 60
+
+
+def split_point(hashes: DataFrame, k: int) -> int:
+    """The k-th smallest number of column ``h`` (below 2**60), counted from 1.
+
+    Counts per range of hashes find the range that holds it; that one is divided
+    again, 1024 ranges a step.  Nothing is sorted, and 1024 counts at most reach
+    the driver, whatever the number of rows.
+    """
+    low, shift = 0, HASH_BITS
+    while shift:
+        shift -= SPLIT_BITS
+        place = F.shiftrightunsigned(F.col("h"), shift)
+        inside = hashes.filter(F.shiftrightunsigned(F.col("h"), shift + SPLIT_BITS) == low)
+        for r in inside.groupBy(place.alias("place")).agg(F.count("*").alias("n")).orderBy("place").collect():
+            low = r.place
+            if r.n >= k:
+                break
+            k -= r.n
+    return low
+
+
+def with_exact_split(matrix: DataFrame, test_share: float, validation_share: float, seed: int) -> DataFrame:
+    """Put each user wholly on one side, with exact shares: of ``n`` users the
+    ``ceil(test_share * n)`` with the smallest hashes are ``test``, the next
+    ``ceil(validation_share * n)`` are ``validation``, the others ``train``.
+
+    Two users with one 60-bit hash stay together.  Rows without a user are ``train``.
+    """
+    users = matrix.select("user_id").filter("user_id IS NOT NULL").distinct()
+    hashes = stage(users.select(portable_hash(seed, "user_id").alias("h")), "split")
+    n = hashes.count()
+    test = math.ceil(round(test_share * n, 6))
+    validation = min(n, test + math.ceil(round(validation_share * n, 6)))
+    ends = [split_point(hashes, k) if k else -1 for k in (test, validation)]
+    h = F.when(F.col("user_id").isNotNull(), portable_hash(seed, "user_id"))
+    side = F.when(h <= ends[0], "test").when(h <= ends[1], "validation").otherwise("train")
+    return matrix.withColumn("split", side)

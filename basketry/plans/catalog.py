@@ -15,7 +15,7 @@ from basketry.plans.refresh import refresh_layers
 from basketry.plans.serving import Serving, lookup, model_scorer
 from basketry.plans.training import VALIDATION_SHARE
 from basketry.plans.workspace import Workspace, open_workspace
-from basketry.schema import FEATURES, SEED, TARGET, TEST_SHARE
+from basketry.schema import FEATURES, IDENTIFIERS, SEED, TARGET, TEST_SHARE
 from basketry.session import scratch_path, stage
 from basketry.sources import star
 from basketry.sources.csv_tables import load_base_tables, load_csv, write_csv
@@ -215,7 +215,7 @@ def weekend_share(spark, sf_dir):
 
 
 def cleaned_sample(spark, sf_dir):
-    return sample_rows(_cleaned(spark, sf_dir))
+    return sample_rows(_cleaned(spark, sf_dir), ["order_id"])
 
 
 # --- feature layers ---------------------------------------------------------
@@ -355,7 +355,12 @@ def model_frame(spark, sf_dir):
 
 
 def matrix_sample(spark, sf_dir):
-    return _matrix(spark, sf_dir).limit(10)
+    return _matrix(spark, sf_dir).orderBy(*IDENTIFIERS).limit(10)
+
+
+def sampled_users(spark, sf_dir):
+    """The matrix of every fourth user, the sample that training can be given."""
+    return labels.sample_users(_matrix(spark, sf_dir), 4)
 
 
 def label_distribution(spark, sf_dir):
@@ -409,6 +414,12 @@ def user_split(spark, sf_dir):
     return matrix.select("user_id", "split").distinct()
 
 
+def exact_user_split(spark, sf_dir):
+    """The side of every user with candidates, with exact shares of users."""
+    matrix = labels.with_exact_split(_matrix(spark, sf_dir), TEST_SHARE, VALIDATION_SHARE, SEED)
+    return matrix.select("user_id", "split").distinct()
+
+
 def predictions(spark, sf_dir):
     scored = _scored(spark, sf_dir)
     return scored.withColumn("predicted", evaluation.predicted_class(F.col("reorder_prob")))
@@ -551,6 +562,7 @@ _RAW: dict[str, Query] = {
     "training_matrix": training_matrix,
     "model_frame": model_frame,
     "matrix_sample": matrix_sample,
+    "sampled_users": sampled_users,
     "label_distribution": label_distribution,
     "matrix_null_audit": matrix_null_audit,
     "matrix_pair_uniqueness": matrix_pair_uniqueness,
@@ -562,6 +574,7 @@ _RAW: dict[str, Query] = {
     "class_balance": class_balance,
     "train_class_weight": train_class_weight,
     "user_split": user_split,
+    "exact_user_split": exact_user_split,
     "predictions": predictions,
     "confusion_matrix": confusion_matrix,
     "classification_report": classification_report,

@@ -22,8 +22,8 @@ def _ratio(numerator: str, denominator: str, digits: int) -> str:
 
 CTES["labelled_parts"] = """
     SELECT p_partkey, p_brand, p_type,
-           dense_rank() OVER (ORDER BY p_brand) AS brand_id,
-           dense_rank() OVER (ORDER BY p_type) AS type_id
+           CASE WHEN p_brand IS NOT NULL THEN dense_rank() OVER (ORDER BY p_brand NULLS LAST) END AS brand_id,
+           CASE WHEN p_type IS NOT NULL THEN dense_rank() OVER (ORDER BY p_type NULLS LAST) END AS type_id
     FROM part"""
 CTES["part_products"] = """
     SELECT p_partkey, p_brand, p_type, brand_id, type_id,
@@ -33,7 +33,7 @@ CTES["part_products"] = """
 CTES["products"] = """
     SELECT DISTINCT product_id, p_type || ' ' || p_brand AS product_name,
            brand_id AS aisle_id, type_id AS department_id, p_brand, p_type
-    FROM part_products"""
+    FROM part_products WHERE product_id IS NOT NULL"""
 CTES["dated"] = """
     SELECT o_orderkey AS order_id, o_custkey AS user_id, CAST(o_orderdate AS DATE) AS day FROM orders"""
 CTES["placed"] = """
@@ -52,7 +52,9 @@ CTES["base_orders"] = """
     FROM placed"""
 CTES["merged_lines"] = """
     SELECT l_orderkey AS order_id, product_id, min(l_linenumber) AS line
-    FROM lineitem JOIN part_products ON l_partkey = p_partkey
+    FROM (SELECT l_orderkey, l_linenumber,
+                 coalesce(product_id, CAST(-1 - l_partkey % 2147483647 AS INTEGER)) AS product_id
+          FROM lineitem LEFT JOIN part_products ON l_partkey = p_partkey)
     GROUP BY l_orderkey, product_id"""
 CTES["base_items"] = """
     SELECT m.order_id, m.product_id,
@@ -60,7 +62,7 @@ CTES["base_items"] = """
                AS add_to_cart_order,
            CAST(CASE WHEN o.order_number > min(o.order_number) OVER (PARTITION BY o.user_id, m.product_id)
                      THEN 1 ELSE 0 END AS INTEGER) AS reordered
-    FROM merged_lines m JOIN base_orders o ON o.order_id = m.order_id"""
+    FROM merged_lines m LEFT JOIN base_orders o ON o.order_id = m.order_id"""
 CTES["cleaned"] = """
     SELECT order_id, user_id, eval_set, order_number, order_hour_of_day,
            ifnull(days_since_prior_order, 0.0) AS days_since_prior_order,
@@ -415,6 +417,9 @@ _BODIES: dict[str, str] = {
     + " + ".join(f"is_dow_{d}" for d in range(7))
     + " = 1)",
     "weekend_share": _share("is_weekend", "order_count", "cleaned"),
+    "cleaned_sample": "SELECT * FROM cleaned ORDER BY substr(md5('42:' || order_id), 1, 15), order_id LIMIT 10",
+    "matrix_sample": "SELECT * FROM matrix ORDER BY user_id, product_id, train_order_id LIMIT 10",
+    "sampled_users": "SELECT * FROM matrix WHERE user_id % 4 = 0",
     "prior_items": """SELECT i.order_id, i.product_id, i.reordered, o.user_id, o.order_number
         FROM base_items i JOIN base_orders o ON o.order_id = i.order_id AND o.eval_set = 'prior'""",
     "user_features": "SELECT * FROM users",
@@ -483,6 +488,11 @@ _BODIES: dict[str, str] = {
     "user_split": f"""SELECT DISTINCT user_id, CASE WHEN bucket < 200 THEN 'test'
         WHEN bucket < 300 THEN 'validation' ELSE 'train' END AS split
         FROM (SELECT user_id, {_bucket("user_id")} AS bucket FROM matrix)""",
+    "exact_user_split": f"""SELECT user_id, CASE WHEN place <= ceil(round(0.2 * n, 6)) THEN 'test'
+        WHEN place <= ceil(round(0.2 * n, 6)) + ceil(round(0.1 * n, 6)) THEN 'validation' ELSE 'train' END AS split
+        FROM (SELECT user_id, count(*) OVER () AS n,
+                     row_number() OVER (ORDER BY substr(md5('{SEED}:' || user_id), 1, 15)) AS place
+              FROM (SELECT DISTINCT user_id FROM matrix))""",
     "predictions": "SELECT *, CAST(reorder_prob >= 0.5 AS INTEGER) AS predicted FROM scored",
     "confusion_matrix": "SELECT * FROM outcome",
     "roc_auc": """SELECT auc, CASE WHEN auc >= 0.85 THEN 'EXCELLENT' WHEN auc >= 0.8 THEN 'GOOD'

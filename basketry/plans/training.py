@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from basketry.operators import classifier as c
 from basketry.operators import evaluation as e
-from basketry.operators.labels import model_frame, sample_users, with_split
+from basketry.operators.labels import model_frame, sample_users, with_exact_split
 from basketry.schema import SEED, TEST_SHARE
 from basketry.session import stage
 from basketry.sources.store import save_model
@@ -41,7 +41,7 @@ def train(
     Users fall into three parts: the number of rounds is chosen on the
     validation part, and the test part is used for the report alone.
     """
-    frame = with_split(
+    frame = with_exact_split(
         model_frame(sample_users(matrix, one_user_in)), test_share, validation_share, SEED
     )
     frame = stage(frame, "matrix", partition_by=["split"])

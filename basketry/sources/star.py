@@ -21,6 +21,7 @@ from basketry.session import stage
 # How the star schema maps to the base tables.
 SHORT_MAX = 32767
 TYPE_SPAN = 10
+UNKNOWN_PARTS = 2147483647
 SLICE_ROWS = 1_000_000
 REQUEST_EVENT = "view"
 REQUEST_GAP = 7.0
@@ -70,17 +71,19 @@ def products(part: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _day_slices(dated: DataFrame) -> Column:
+def _day_slices(dated: DataFrame) -> tuple[DataFrame, Column]:
     """Slices for users too busy for one task: a day each, and where a single
-    day of one user is still large, equal ranges of order keys within the day."""
+    day of one user is still large, equal ranges of that day's own order keys."""
     per_day = dated.groupBy("user_id", "day").agg(
-        F.count("*").alias("n"), F.min("order_id").alias("low"), F.max("order_id").alias("high")
+        F.count("*").alias("_n"), F.min("order_id").alias("_low"), F.max("order_id").alias("_high")
     )
-    busiest, low, high = per_day.agg(F.max("n"), F.min("low"), F.max("high")).first()
-    ranges = -(-busiest // SLICE_ROWS)
-    width = -(-(high - low + 1) // ranges)
+    ranges = -(-per_day.agg(F.max("_n")).first()[0] // SLICE_ROWS)
+    large = per_day.filter(F.col("_n") > SLICE_ROWS).select("user_id", "day", "_low", "_high")
+    marked = dated.join(large, ["user_id", "day"], "left")
     day = F.datediff("day", F.lit("1970-01-01").cast("date")).cast("bigint")
-    return day * ranges + F.floor((F.col("order_id") - low) / width).cast("bigint")
+    width = F.ceil((F.col("_high") - F.col("_low") + 1) / ranges)
+    inside = F.coalesce(F.floor((F.col("order_id") - F.col("_low")) / width), F.lit(0))
+    return marked, day * ranges + inside.cast("bigint")
 
 
 def orders(raw: DataFrame) -> DataFrame:
@@ -100,8 +103,8 @@ def orders(raw: DataFrame) -> DataFrame:
         numbered = numbered.withColumn("user_orders", F.count("*").over(whole))
         number_type = "smallint"
     else:
-        slices = _day_slices(dated)
-        numbered = number_rows(dated, ["user_id"], order_by, "order_number", previous, slices)
+        marked, slices = _day_slices(dated)
+        numbered = number_rows(marked, ["user_id"], order_by, "order_number", previous, slices)
         numbered = numbered.join(per_user, "user_id")
         number_type = "int"
 
@@ -119,19 +122,32 @@ def orders(raw: DataFrame) -> DataFrame:
 
 def order_products(lineitem: DataFrame, part: DataFrame, base_orders: DataFrame) -> DataFrame:
     """One row per order and product.  The window over an order sees each
-    product once, so the catalogue bounds it; lines are merged before it."""
+    product once, so the catalogue bounds it; lines are merged before it.
+
+    Every line is kept, for the foreign-key check to find: one without an order
+    keeps its order id and is no reorder; one whose part is missing or has no
+    brand or type gets a negative product id from its part key.
+
+    Lines are dealt out by order first: merging, the cart window and the join with
+    the orders then need no other exchange.
+    """
+    labels = _part_labels(part).select("p_partkey", "product_id")
     lines = lineitem.select("l_orderkey", "l_partkey", "l_linenumber").join(
-        _part_labels(part).select("p_partkey", "product_id"), F.col("l_partkey") == F.col("p_partkey")
-    )
-    items = lines.groupBy(F.col("l_orderkey").alias("order_id"), "product_id").agg(
-        F.min("l_linenumber").alias("_line")
+        labels, F.col("l_partkey") == F.col("p_partkey"), "left"
     )
+    unknown = (-1 - F.pmod(F.col("l_partkey"), F.lit(UNKNOWN_PARTS))).cast("int")
+    by_order = lines.select(
+        F.col("l_orderkey").alias("order_id"), F.coalesce("product_id", unknown).alias("product_id"), "l_linenumber"
+    ).repartition("order_id")
+    items = by_order.groupBy("order_id", "product_id").agg(F.min("l_linenumber").alias("_line"))
     cart = Window.partitionBy("order_id").orderBy("_line", "product_id")
     items = items.withColumn("add_to_cart_order", F.row_number().over(cart).cast("smallint"))
-    placed = items.join(base_orders.select("order_id", "user_id", "order_number"), "order_id").drop("_line")
+    placed = items.join(base_orders.select("order_id", "user_id", "order_number"), "order_id", "left").drop("_line")
+    # a line without an order has no user: its order stands in, so such lines meet in no group
+    placed = placed.withColumn("_owner", F.coalesce("user_id", -1 - F.col("order_id")))
     bought = number_rows(
         placed,
-        ["user_id", "product_id"],
+        ["_owner", "product_id"],
         ["order_number"],
         "_purchase",
         {},

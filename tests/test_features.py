@@ -28,8 +28,15 @@ def test_cleaning(spark):
         (2, Decimal("15.0"), 1, 0, 1, 0, 0, 0, 0, 0),
         (3, Decimal("30.0"), 0, 0, 0, 0, 0, 0, 0, 1),
     ]
-    assert sample_rows(clean, 2).count() == 2
-    assert rows(sample_rows(clean, 2)) == rows(sample_rows(clean, 2))
+
+
+def test_a_sample_does_not_depend_on_the_layout(spark):
+    df = spark.range(5000).withColumn("key", F.when(F.col("id") % 100 != 0, F.col("id")))
+    picked = rows(sample_rows(df, ["key", "id"], 20))
+    assert len(picked) == 20 and picked == rows(sample_rows(df.repartition(7).sortWithinPartitions(F.desc("id")), ["key", "id"], 20))
+    assert picked != rows(sample_rows(df, ["key", "id"], 20, seed=1))
+    text = sample_rows(df, ["key", "id"], 20)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in text and "Exchange" not in text
 
 
 def test_round_ratio(spark):

@@ -66,3 +66,20 @@ def test_split_keeps_users_whole(spark):
     assert moved > 500
     test, train = (split.filter(F.col("split") == s) for s in ("test", "train"))
     assert evaluation.shared_users(train, test).isEmpty()
+
+
+def test_split_point_is_the_exact_rank(spark):
+    values = [5, 5, 5, 2**59, 2**59 + 1, 7, 0, 2**60 - 1, 1023, 1024]
+    hashes = spark.createDataFrame([(v,) for v in values], "h long")
+    assert [labels.split_point(hashes, k) for k in range(1, 11)] == sorted(values)
+
+
+def test_exact_shares_of_users(spark):
+    users = spark.range(997).select((F.col("id") * 13 - 50).alias("user_id"))
+    matrix = users.crossJoin(spark.range(3)).union(spark.createDataFrame([(None, 1)], "user_id long, id long"))
+    split = labels.with_exact_split(matrix, 0.2, 0.1, 42)
+    sides = {r.split: r.n for r in split.filter("user_id IS NOT NULL").groupBy("split").agg(F.countDistinct("user_id").alias("n")).collect()}
+    assert sides == {"test": 200, "validation": 100, "train": 697}
+    assert split.groupBy("user_id").agg(F.countDistinct("split").alias("n")).filter("n > 1").isEmpty()
+    assert rows(split) == rows(labels.with_exact_split(matrix.repartition(5), 0.2, 0.1, 42))
+    assert {r.split for r in labels.with_exact_split(matrix.limit(0), 0.2, 0.1, 42).collect()} == set()
