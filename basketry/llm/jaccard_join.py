@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from basketry.llm.components import connected_components
 from basketry.llm.shared import delete, save
 from basketry.llm.words import texts_shingles
+from basketry.llm.worker import claim
 
 FLUSH = 3_000_000  # shingles held by a task before it sends them on
 BUCKET = 3_000_000  # shingles of one reduce group, about
@@ -56,6 +57,7 @@ def set_profiles(docs: DataFrame, width: int) -> DataFrame:
     """``(doc_id, n_shingles, digest)`` of every row."""
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         for batch in batches:
             sizes, digests = np.zeros(batch.num_rows, np.int64), [b""] * batch.num_rows
             for i, s in texts_shingles(batch.column(1), width):
@@ -88,6 +90,7 @@ def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
     bits = min(16, max(4, (max(total, 1) // BUCKET).bit_length()))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         seen: dict[bytes, int] = {}
         parts: list[np.ndarray] = []
         held = 0
@@ -209,6 +212,7 @@ def _points(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``(doc, n, shingles, parities)`` of the documents whose digests are ``wanted``."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         for batch in batches:
             asked = batch.column(2).to_pylist()
             rows, sets = [], []
@@ -235,6 +239,7 @@ def _order_table(points: DataFrame) -> np.ndarray:
     """How often shingles fall into each of 2**ORDER_BITS slots, over all points."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         total = np.zeros(1 << ORDER_BITS, np.int64)
         for batch in batches:
             for s in batch.column(0).to_pylist():
@@ -255,6 +260,7 @@ def _regions(points: DataFrame, percent: int) -> DataFrame:
     table = points.sparkSession.sparkContext.broadcast(_order_table(points))
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         counts = table.value
         for batch in batches:
             regions, rooms, lengths = [], [], []
@@ -282,6 +288,7 @@ def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """``(doc, pivot, common, n, m)`` for pairs ``(pivot, doc)``."""
 
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard_join")
         for batch in batches:
             a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             common = [

@@ -9,8 +9,9 @@ weights are whole parts of a period, so the order repeats: one period is
 scheduled (a parameter bounds it) and the slot of every other block is
 arithmetic.  Nothing runs over the corpus in sequence.
 
-No document is left out: the mix ends when the source that is shortest of its
-share has been used up once, and sources that end earlier begin another pass.
+No document is left out.  The mix ends when the source that is shortest of its
+share has been used up once, and sources that end earlier begin another pass; or,
+with ``once``, no document is repeated: a source that ends leaves its slots empty.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 1 << 16
 PERIOD = 10_000  # slots; weights are whole multiples of 1 / PERIOD
 MOST_SOURCES = 5_000  # more raise an error; the schedule is bounded by PERIOD
-GROUP_ROWS = 100_000
+GROUP_ROWS, GROUP_BYTES = 100_000, 64 << 20  # of one task's window, about
 EXPONENT = 0.7  # default weights: shares of bytes to this power
 
 
@@ -72,6 +73,7 @@ def mixed(
     weights: Mapping[str | None, float] | None = None,
     block_bytes: int = BLOCK_BYTES,
     period: int = PERIOD,
+    once: bool = False,
 ) -> DataFrame:
     """The rows of ``docs`` with ``mix_pass`` (from 0), ``mix_block`` (the block
     of its source), ``mix_slot`` (the block's place in the mix) and ``mix_start``
@@ -80,9 +82,11 @@ def mixed(
     ``weights``: source to weight of text bytes (UTF-8, one more per document);
     a source without one raises.  None: every source's share to the power 0.7.
     A null source is a source of its own; null and empty texts count one byte.
-    A block is where a document begins, so a document may reach beyond it.
+    A block is where a document begins, so a document may reach beyond it: a source
+    is less than one block and its longest document off its share.
     Equal rows keep their number.  All columns are kept; columns named ``mix_*``
-    in ``docs`` are replaced.  Rows appear once per pass, at least once.
+    in ``docs`` are replaced.  Rows appear once per pass, at least once; with
+    ``once`` exactly once.
     """
     spark = docs.sparkSession
     columns = [c for c in docs.columns if not c.startswith("mix_")]
@@ -99,7 +103,11 @@ def mixed(
         wanted = {n: given[n] for n in held}
     parts = quanta(wanted, period)
     most = max((-(-held[n][0] * period // q) for n, q in parts.items()), default=0)
-    rows = [(n, *held[n], q, q * most // period + 1, 1 + held[n][1] // GROUP_ROWS) for n, q in parts.items()]
+    rows = []
+    for n, q in parts.items():
+        size_, count = held[n]
+        groups = 1 + max(count // GROUP_ROWS, size_ // GROUP_BYTES)
+        rows.append((n, size_, count, q, size_ if once else q * most // period + 1, groups))
     sources = spark.createDataFrame(rows, "_name string, _bytes long, _n long, _parts long, _limit long, _groups long")
     seen: dict[str, int] = {}
     places = []

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.shared import save
@@ -97,10 +97,11 @@ def packing_steps(histogram: dict[int, int], capacity: int) -> list[tuple[int, i
     return steps
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
-    """``(doc_id, piece, start, length, ids)``: the token ids of every document
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, place: str | None = None) -> DataFrame:
+    """``(doc_id, piece, start, length, ids, place)``: the token ids of every document
     and the end id, cut into pieces of at most ``capacity`` ids (little-endian
-    unsigned 32-bit numbers).  A null text is the end id alone."""
+    unsigned 32-bit numbers).  A null text is the end id alone.  ``place`` is
+    the named column of ``docs``, a number, or 0."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pieces(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -115,23 +116,25 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) ->
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                        pa.array(length, pa.int64()), pa.array(ids, pa.binary()),
+                        pa.array(length, pa.int64()), pa.array(ids, pa.binary()), batch.column(2).take(pa.array(row)),
                     ],
-                    ["doc_id", "piece", "start", "length", "ids"],
+                    ["doc_id", "piece", "start", "length", "ids", "place"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        cut, "doc_id long, piece int, start long, length long, ids binary"
+    at = (F.col(place) if place else F.lit(0)).cast("long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", at.alias("place")).mapInArrow(
+        cut, "doc_id long, piece int, start long, length long, ids binary, place long"
     )
 
 
-def pack(pieces: DataFrame, key: list[str], capacity: int) -> DataFrame:
+def pack(pieces: DataFrame, key: list[str], capacity: int, groups: Column | None = None) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``.
 
     ``pieces`` has a ``length`` from 1 to ``capacity`` (anything else raises) and
     is read twice, so it should be a table.  Pieces of one length are ordered by
-    ``key``; rows that are equal in it may change places.  Offsets of a sequence
-    have no gaps.  All other columns are kept.
+    ``key`` within groups of a bounded number of rows; rows that are equal in it may
+    change places.  The groups are salts, or the given numbers, which then come in
+    their order.  Offsets of a sequence have no gaps.  All other columns are kept.
     """
     odd = F.max(F.when(F.col("length").isNull() | ~F.col("length").between(1, capacity), 1).otherwise(0))
     by_length = pieces.groupBy("length").agg(F.count("*").alias("n"), odd.alias("odd")).collect()
@@ -143,7 +146,8 @@ def pack(pieces: DataFrame, key: list[str], capacity: int) -> DataFrame:
     shared = pieces.sparkSession.sparkContext.broadcast(steps)
 
     salts = 1 + sum(histogram.values()) // RANK_GROUP
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(*key), F.lit(salts)))
+    salt = F.pmod(F.xxhash64(*key), F.lit(salts)) if groups is None else groups
+    salted = pieces.withColumn("_salt", salt)
     sizes = salted.groupBy("length", "_salt").agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1))
     bases = sizes.select("length", "_salt", F.coalesce(before, F.lit(0)).alias("_base"))
@@ -171,22 +175,20 @@ def pack(pieces: DataFrame, key: list[str], capacity: int) -> DataFrame:
     return kept.mapInArrow(assign, f"{kinds}, sequence_id long, offset long")
 
 
-def packed_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 4096) -> tuple[DataFrame, DataFrame]:
+def packed_documents(
+    docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 4096, place: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """The stored pieces with their token ids, and their places in sequences:
     ``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``.
 
     Null and empty texts are one piece with the end id.  Rows without doc_id and
-    rows that repeat one are packed like all others.
+    rows that repeat one are packed like all others.  ``place``: a column of
+    ``docs`` that orders pieces of one length, so that documents that come early are
+    in early sequences; a file's number above its lowest 33 bits and a row's below.
     """
-    pieces = save(token_pieces(docs, tokenizer, end_id, capacity), "pieces")
-    light = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    places = pack(light, ["doc_id", "piece", "start", "ids_crc32"], capacity)
+    pieces = save(token_pieces(docs, tokenizer, end_id, capacity, place), "pieces")
+    light = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "place")
+    key = ["place", "doc_id", "piece", "start", "ids_crc32"]
+    places = pack(light, key, capacity, F.shiftright("place", 33) if place else None)
     order = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
     return pieces, places.select(order)
-
-
-def sequences(pieces: DataFrame, places: DataFrame) -> DataFrame:
-    """``(sequence_id, ids)``: the token ids of whole sequences."""
-    joined = places.join(pieces.select("doc_id", "piece", "ids", F.crc32("ids").alias("ids_crc32")), ["doc_id", "piece", "ids_crc32"])
-    parts = joined.groupBy("sequence_id").agg(F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
-    return parts.select("sequence_id", F.expr("aggregate(parts.ids, cast('' as binary), (a, b) -> concat(a, b))").alias("ids"))

@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.shared import save
 from basketry.llm.words import hashed_texts, mix, sequence_hashes
+from basketry.llm.worker import claim
 
 GRAM = 10  # words of an anchor
 NOBODY = (1 << 63) - 1
@@ -98,6 +99,7 @@ def window_runs(docs: DataFrame, window: int) -> DataFrame:
     """``(doc_id, version, anchor, content, first, windows)`` of ``docs (doc_id, text, version)``."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring")
         for batch in batches:
             for rows, anchor, content, first, windows in text_runs(batch.column(1), window):
                 yield pa.RecordBatch.from_arrays(
@@ -204,6 +206,7 @@ def _contents_with_words(docs: DataFrame, contents: DataFrame, window: int) -> D
     first_doc, first)``; ``words`` are joined by a blank."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring")
         for batch in batches:
             wanted = batch.column(2).to_pylist()
             asked = [{(w["content"], w["first"]) for w in some} for some in wanted]
@@ -266,6 +269,7 @@ def first_documents_by_window(contents: DataFrame, window: int) -> DataFrame:
     """What ``first_documents`` finds, from the digests of single windows."""
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring")
         names = ["content", "first_doc", "start", "digest"]
 
         def rows(content: list, first_doc: list, start: list, digest: list) -> pa.RecordBatch:
@@ -286,6 +290,7 @@ def first_documents_by_window(contents: DataFrame, window: int) -> DataFrame:
                 yield rows(*out)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring")
         for batch in batches:
             found = []
             for first_doc, n, some in zip(*(batch.column(i).to_pylist() for i in range(1, 4))):
@@ -331,6 +336,7 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     firsts = save(by_shard.unionByName(by_window).unionByName(alone), "firsts")
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring")
         for batch in batches:
             docs_, first = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             lists, version = batch.column(2), batch.column(3)
@@ -371,6 +377,7 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     spans = save(repeated_spans(docs, window), "spans").toDF("_doc", "_version", "_spans")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("substring")
         for batch in batches:
             texts, counts, removed = [], [], []
             for text, some in zip(batch.column(1), batch.column(2)):

@@ -1,10 +1,11 @@
 """Whole texts as token ids of a public tokenizer, word by word.
 
-The tokenizers library encodes every distinct word once per worker; a text is
-the joined ids of its words.  That equals the library's result for the whole
-text, because texts are only cut where both tokenizers always start a new
-piece: before a run of blanks and line ends, and between a Latin letter or digit
-and a full stop or comma.  A text with any other white space is encoded whole.
+The tokenizers library encodes the distinct words; a text is the joined ids of its
+words.  That equals the library's result for the whole text, because texts are
+only cut where both tokenizers always start a new piece: before a run of blanks
+and line ends, and between a Latin letter or digit and a full stop or comma.  A
+text with any other white space, or with the string of an added token in any
+case of its letters, is encoded whole.
 """
 
 from __future__ import annotations
@@ -13,16 +14,23 @@ import os
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words a worker remembers; twice as many at most are held (about 200 bytes each).
-REMEMBERED = 400_000
+from basketry.llm.worker import cache, claim
+
+#: Bytes of words and ids that a worker remembers, about; twice as many at most are held.
+REMEMBERED = 96 << 20
+_ENTRY = 200  # bytes of a word and its ids in the table, besides their own
+_ENCODED = 2048  # words of one call of the library
 _PIECE = re.compile(r"[ \n]*[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,])|[ \n]*[^ \n]+|[ \n]+")
 _BARE_PIECE = re.compile(r"[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,])|[^ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+_OTHER_SPACE = r"[^\S \n]"
 _open: dict[str, WordEncoder] = {}
+cache("tokens", _open.clear)
 
 
 class WordEncoder:
@@ -31,39 +39,67 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         # a tokenizer that drops blanks or case needs fewer words remembered
         self.drops_blanks = self._ids([" a", "\na"]) == self._ids(["a", "a"])
         self.drops_case = self._ids(["Ab", "zQ"]) == self._ids(["ab", "zq"])
+        added = {k: t.content for k, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.needs_whole = re.compile("|".join([_OTHER_SPACE, *map(re.escape, added.values())]), re.IGNORECASE)
+        self.find = (_BARE_PIECE if self.drops_blanks else _PIECE).findall
+        # an added token's string parts words without touching them
+        self.parting = next(((k, s) for k, s in added.items() if not re.search(r"\s", s)), None)
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit numbers."""
-        if self.drops_case:
-            texts = [t.encode().lower().decode() for t in texts]  # A-Z alone
-        whole = [bool(_OTHER_SPACE.search(t)) for t in texts]
-        find = (_BARE_PIECE if self.drops_blanks else _PIECE).findall
-        pieces = [[t] if w else find(t) for t, w in zip(texts, whole)]
-        words = set().union(*(part for part, w in zip(pieces, whole) if not w))
+    def _ids_of_words(self, words: list[str]) -> list[bytes]:
+        """Ids of many words from few calls: one text, parted by an added token."""
+        if self.parting is None:
+            return self._ids(words)
+        key, string = self.parting
+        out = []
+        for low in range(0, len(words), _ENCODED):
+            ids = self.tokenizer.encode_batch_fast([string.join(words[low : low + _ENCODED])], add_special_tokens=False)[0].ids
+            flat = np.array(ids, "<u4")
+            cuts = np.flatnonzero(flat == key).tolist()
+            data = flat.tobytes()
+            out += [data[4 * a : 4 * b] for a, b in zip([0, *[c + 1 for c in cuts]], [*cuts, len(flat)])]
+        return out
+
+    def _learn(self, words: list[str]) -> None:
         new = []
-        for word in [w for w in words if w not in self.recent]:
+        for word in words:
             known = self.older.get(word)
             if known is None:
                 new.append(word)
             else:
                 self.recent[word] = known
-        self.recent.update(zip(new, self._ids(new)))
-        recent = self.recent
-        out = [
-            self._ids(part)[0] if w else b"".join(map(recent.__getitem__, part)) for part, w in zip(pieces, whole)
-        ]
-        if len(recent) > REMEMBERED:
-            self.older, self.recent = recent, {}
+        self.recent.update(zip(new, self._ids_of_words(new)))
+        self.held += sum(_ENTRY + len(w) + len(self.recent[w]) for w in words)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        whole = [i for i, t in enumerate(texts) if self.needs_whole.search(t)]
+        plain = ["" if i in set(whole) else t for i, t in enumerate(texts)] if whole else texts
+        if self.drops_case:
+            plain = [t.encode().lower().decode() for t in plain]  # A-Z alone
+        pieces = [self.find(t) for t in plain]
+        flat = list(chain.from_iterable(pieces))
+        ids = list(map(self.recent.get, flat))
+        holes = [k for k, known in enumerate(ids) if known is None]
+        if holes:
+            self._learn(list(dict.fromkeys(flat[k] for k in holes)))
+            for k in holes:
+                ids[k] = self.recent[flat[k]]
+        ends = [0, *accumulate(map(len, pieces))]
+        out = [b"".join(ids[a:b]) for a, b in pairwise(ends)]
+        for i in whole:
+            out[i] = self._ids([texts[i]])[0]
+        if self.held > REMEMBERED:
+            self.older, self.recent, self.held = self.recent, {}, 0
         return out
 
 
@@ -74,14 +110,21 @@ def encoder(path: str) -> WordEncoder:
     return _open[path]
 
 
-def encoded_rows(column: pa.Array, path: str, end_id: int, step: int = 64) -> Iterator[tuple[int, bytes]]:
-    """``(row, ids and the end id)`` for every row; a null text has the end id alone."""
+def encoded_rows(column: pa.Array, path: str, end_id: int, limit: int = 2 << 20) -> Iterator[tuple[int, bytes]]:
+    """``(row, ids and the end id)`` for every row; a null text has the end id alone.
+    Texts are encoded together up to ``limit`` bytes; a longer one is alone."""
+    claim("tokens")
     end = np.array([end_id], "<u4").tobytes()
     worker = encoder(path)
-    for low in range(0, len(column), step):
-        texts = [t or "" for t in column.slice(low, step).to_pylist()]
+    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < len(column):
+        before = int(size[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(size, before + limit, "right")))
+        texts = [t or "" for t in column.slice(low, high - low).to_pylist()]
         for i, ids in enumerate(worker.encode(texts)):
             yield low + i, ids + end
+        low = high
 
 
 def by_bytes(rows: Iterator[tuple], limit: int = 16 << 20) -> Iterator[list[tuple]]:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.shared import fold, save
+from basketry.llm.worker import claim
 
 LABELLED = 20_000  # labelled documents that are learned from, at most (by hash of the id)
 ENTRIES = 5_000  # of the lexicon, at most: those with the most evidence
@@ -182,6 +183,7 @@ def term_counts(labelled: DataFrame, least: float) -> DataFrame:
         return [w for t in (text or "").lower().split() if (w := t.strip(EDGES))]
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 found = sorted(set(_terms(words_of(text))))
@@ -202,6 +204,7 @@ def term_counts(labelled: DataFrame, least: float) -> DataFrame:
     candidates = labelled.sparkSession.sparkContext.broadcast(frozenset(toxic.toArrow()["term"].to_pylist()))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         total, asked = Counter(), candidates.value
         for batch in batches:
             for text in batch.column(0).to_pylist():
@@ -257,6 +260,7 @@ def logistic_weights(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds
 
 def _features(rows: DataFrame, entries: list[str]) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         matcher = Matcher(entries)
         for batch in batches:
             values = []
@@ -312,6 +316,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
         matcher, weights = Matcher(shared.value.entries), np.array(shared.value.weights)
         for batch in batches:
             scores = np.zeros(batch.num_rows)

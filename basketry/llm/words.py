@@ -1,9 +1,11 @@
 """Words of whole texts as 64-bit numbers, computed for many texts at once.
 
 A word is a run of bytes other than space and \\x09-\\x0D (``[^\\x20\\x09-\\x0D]+``;
-in UTF-8 those are the same characters).  Its number is a polynomial hash over
-its bytes, mixed at the end; two different words get the same number with
-probability about 2**-64.
+in UTF-8 those are the same characters).  Its number is the sum over its bytes of
+a random number of the byte times a random odd number of the place in the word,
+mixed at the end with the length.  The numbers of places have no structure (powers
+of a base would let words of Thue and Morse meet), so two different words get the
+same number with probability about 2**-60.
 """
 
 from __future__ import annotations
@@ -16,14 +18,14 @@ import pyarrow as pa
 CHUNK_BYTES = 2 << 20
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
+_BASE = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Multipliers of the places in a sequence of words.
 PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: dict[str, np.ndarray] = {}
+_places: dict[str, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -33,14 +35,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers.get("up", ())) < n:
-        inverse = pow(_BASE, -1, 2**64)
-        for name, base in (("up", _BASE), ("down", inverse)):
-            table = np.full(n, base, np.uint64)
-            table[0] = 1
-            _powers[name] = np.multiply.accumulate(table)
-    return _powers["up"][:n], _powers["down"][:n]
+def _place_numbers(n: int) -> np.ndarray:
+    """Random odd numbers of the places in a word."""
+    if len(_places.get("odd", ())) < n:
+        _places["odd"] = mix(np.arange(n, dtype=np.uint64) + np.uint64(_BASE)) | np.uint64(1)
+    return _places["odd"]
 
 
 def _chunk_hashes(data: np.ndarray, breaks: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -60,11 +59,13 @@ def _chunk_hashes(data: np.ndarray, breaks: np.ndarray, lower: bool) -> tuple[np
     after[-1] = False
     after[:-1] = word[1:]
     ends = np.flatnonzero(word & (~after | edge[1:]))
-    up, down = _power_tables(max(len(data), CHUNK_BYTES))
-    total = np.cumsum(_BYTE[data] * up[: len(data)])
-    lead = np.where(starts > 0, total[starts - 1], np.uint64(0))
-    numbers = (total[ends] - lead) * down[starts]
-    return mix(numbers + (ends - starts + 1).astype(np.uint64)), starts
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts
+    lengths = ends - starts + 1
+    first = np.cumsum(lengths) - lengths  # letters of all words without what is between them
+    place = np.arange(int(lengths.sum())) - np.repeat(first, lengths)
+    total = np.add.reduceat(_BYTE[data[word]] * _place_numbers(int(lengths.max()))[place], first)
+    return mix(total + lengths.astype(np.uint64)), starts
 
 
 def hashed_texts(column: pa.Array, lower: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

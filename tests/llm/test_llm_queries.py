@@ -6,12 +6,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from basketry.llm import katz
 from basketry.llm.queries import QUERIES, tokenizer_path
+from basketry.llm.words import hashed_texts
 from tests.llm import plain
 
 SMALL = "/root/testdata/sf0.001"
@@ -23,6 +25,7 @@ ODD = [
     (1006, LONG, "en", "src3", len(LONG)), (1007, LONG + " tail", "en", "src3", 0),
     (1008, f"head {PASSAGE} mid {PASSAGE}", "en", "src4", 0), (1009, f"{PASSAGE} other words here", "en", "src4", 0),
     (1010, "a b  c\x0bd\x1ce <|endoftext|> é́", "fr", "src4", 0), (1011, "a b  c\x0bd\x1ce", "fr", "", 0),
+    (1013, "hello <|endoftext|> world", "en", "src4", 0), (1014, "<|ENDOFTEXT|> Hello<|startoftext|>.", "en", "src4", 0), (1015, "<|endoftext|", "en", "src4", 0),
     (1012, "same row", "en", "src5", 8), (1012, "same row", "en", "src5", 8), (1012, "same id other text", "en", "src5", 0),
     (None, "no id at all", "en", "src5", 0), (None, None, None, None, None), (-5, "negative id", "en", "src0", 11),
     *[(2000 + i, f"{PASSAGE} copies", "en", "hot", 0) for i in range(60)],
@@ -121,9 +124,7 @@ def _ids(tokenizer, text, end):
 
 
 def _tokenizer(name):
-    t = Tokenizer.from_file(tokenizer_path(name))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(tokenizer_path(name))
 
 
 def _crc(ids):
@@ -149,6 +150,22 @@ def test_packing(spark, odd):
     assert len(by) <= 1.02 * -(-sum(w[3] for w in want) // 4096) + 1
 
 
+def _thue_morse(letters):
+    word = "a"
+    while len(word) < letters:
+        word += word.translate({97: 98, 98: 97})
+    return word
+
+
+@pytest.mark.parametrize("letters", [64, 1024, 2048, 4096])
+def test_long_words_of_a_pattern_differ(letters):
+    one = _thue_morse(letters)
+    two = one.translate({97: 98, 98: 97})
+    texts = pa.array([f"{one} {two}", None, "", f" {two}\t{one}", one[:-1]])
+    numbers = [n for first, offsets, found in hashed_texts(texts, False) for n in found.tolist()]
+    assert numbers[0] == numbers[3] and numbers[1] == numbers[2] and len(set(numbers)) == 3
+
+
 def test_jaccard_components(spark, odd):
     rows = QUERIES["op4_jaccard_join"](spark, odd[0]).collect()
     assert sort(rows) == sort(plain.jaccard(odd[1]))
