@@ -28,7 +28,7 @@ _ENTRY = 200  # bytes of a word and its ids in the table, besides their own
 _ENCODED = 2048  # words of one call of the library
 _PIECE = re.compile(r"[ \n]*[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,])|[ \n]*[^ \n]+|[ \n]+")
 _BARE_PIECE = re.compile(r"[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,])|[^ \n]+")
-_OTHER_SPACE = r"[^\S \n]"
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 _open: dict[str, WordEncoder] = {}
 cache("tokens", _open.clear)
 
@@ -43,7 +43,7 @@ class WordEncoder:
         self.drops_blanks = self._ids([" a", "\na"]) == self._ids(["a", "a"])
         self.drops_case = self._ids(["Ab", "zQ"]) == self._ids(["ab", "zq"])
         added = {k: t.content for k, t in self.tokenizer.get_added_tokens_decoder().items()}
-        self.needs_whole = re.compile("|".join([_OTHER_SPACE, *map(re.escape, added.values())]), re.IGNORECASE)
+        self.added = [string.lower() for string in added.values()]
         self.find = (_BARE_PIECE if self.drops_blanks else _PIECE).findall
         # an added token's string parts words without touching them
         self.parting = next(((k, s) for k, s in added.items() if not re.search(r"\s", s)), None)
@@ -80,9 +80,15 @@ class WordEncoder:
         self.recent.update(zip(new, self._ids_of_words(new)))
         self.held += sum(_ENTRY + len(w) + len(self.recent[w]) for w in words)
 
+    def needs_whole(self, text: str) -> bool:
+        if _OTHER_SPACE.search(text):
+            return True
+        lowered = text.lower()
+        return any(string in lowered for string in self.added)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        whole = [i for i, t in enumerate(texts) if self.needs_whole.search(t)]
+        whole = [i for i, t in enumerate(texts) if self.needs_whole(t)]
         plain = ["" if i in set(whole) else t for i, t in enumerate(texts)] if whole else texts
         if self.drops_case:
             plain = [t.encode().lower().decode() for t in plain]  # A-Z alone
