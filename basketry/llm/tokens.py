@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from basketry.llm.worker import cache, claim
 
 #: Bytes of words and ids that a worker remembers, about; twice as many at most are held.
-REMEMBERED = 96 << 20
+REMEMBERED = 64 << 20
 _ENTRY = 200  # bytes of a word and its ids in the table, besides their own
 _ENCODED = 2048  # words of one call of the library
 _PIECE = re.compile(r"[ \n]*[0-9A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,])|[ \n]*[^ \n]+|[ \n]+")
