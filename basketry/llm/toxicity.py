@@ -6,9 +6,10 @@ Its entries
 form a trie.  A word is read by the Levenshtein automaton of the word, whose
 states are walked along the trie, so all entries within one edit are found in
 one walk; words that cannot be that near are told apart by their halves first.
-Each hit is judged in a window of words around it: inside quotation marks or
-after a reporting word it counts as quoted, beside a word that addresses
-somebody as direct.  A logistic model of the hits by kind gives the score.
+Each hit is judged by what is around it: between an opening mark and the closing
+mark that belongs to it, it counts as quoted, and the words of a window around it
+count for use or for report as they were learned to from the labelled documents.
+A logistic model of the hits by kind gives the score.
 """
 
 from __future__ import annotations
@@ -31,14 +32,15 @@ STEMS = range(4, 9)  # lengths of word beginnings
 FUZZY_LENGTH = 5  # shorter entries are matched exactly
 EVIDENCE = 12.0  # n * divergence from the base rate, in nats, that an entry needs
 WINDOW = 6  # words before and after a hit
+QUOTED = 40  # words between two marks that belong together, at most
+CONTEXT = 2_000  # words around hits with a weight, at most: those with the most evidence
+SURE = 6.0  # evidence, in nats, that a word around hits needs
 REMEMBERED = 300_000  # words a worker remembers
 
-# Marks and words of quotation and address, in four languages.
-OPENING = "\"'«“„‘‹"
-CLOSING = "\"'»”“’›"
-EDGES = ".,;:!?()[]{}<>*…-" + OPENING + CLOSING
-REPORTING = frozenset("said says wrote called quote quoted dit écrit appelé sagte schrieb nannte dijo escribió llamó".split())
-ADDRESS = frozenset("you your you're du dich dein ihr euch tu toi ton vous votre tú tu usted ustedes vosotros".split())
+# Opening marks of quotation with the marks that close them.
+CLOSED_BY = {'"': '"', "'": "'", "«": "»", "“": "”", "„": "“", "‘": "’", "‹": "›"}
+STOPS = ".,;:!?()[]{}<>*…-"
+EDGES = STOPS + "\"'«“„‘‹»”’›"
 
 
 @dataclass
@@ -144,21 +146,57 @@ class Matcher:
         return [(i, near[t]) for i, t in enumerate(tokens) if t in near] if near else []
 
 
-def hit_features(tokens: list[str], hits: list[tuple[int, int]]) -> list[float]:
-    """Logarithms of the hits by kind: exact or misspelled, used or quoted; of
-    those that address somebody; and their share of the text."""
-    used, quoted, addressed = [0, 0], [0, 0], 0
+def quoted_places(tokens: list[str]) -> set[int]:
+    """Places of the words between an opening mark and the mark that closes it, at
+    most ``QUOTED`` words on.  A mark opens at the beginning of a word and closes
+    at the end of one; a mark by itself closes what it can and opens otherwise.
+    An apostrophe after a word closes nothing unless one was opened."""
+    out: set[int] = set()
+    opened: dict[str, int] = {}  # closing mark: where the opening one is
+    for i, token in enumerate(tokens):
+        if token.isalnum():
+            continue
+        core = token.strip(STOPS)
+        if not core:
+            continue
+        first, last = core[0], core[-1]
+        alone = len(core) == 1
+        opens = first in CLOSED_BY and not (alone and first in opened)
+        if opens:
+            opened[CLOSED_BY[first]] = i
+        if last in opened and not (alone and opens):
+            start = opened.pop(last)
+            if i - start <= QUOTED:
+                out.update(range(start, i + 1))
+    return out
+
+
+def around(tokens: list[str], place: int) -> Iterator[str]:
+    """The words of the window around a place: ``word>`` before it, ``>word`` after."""
+    for token in tokens[max(0, place - WINDOW) : place]:
+        yield f"{token.strip(EDGES)}>"
+    for token in tokens[place + 1 : place + WINDOW + 1]:
+        yield f">{token.strip(EDGES)}"
+
+
+def hit_features(tokens: list[str], hits: list[tuple[int, int]], context: dict[str, float]) -> list[float]:
+    """Logarithms of the hits by kind: exact or misspelled, used or quoted; the
+    mean weight of the words around a hit; and the share of used ones in the text.
+
+    A hit whose surroundings weigh against use is neither added to nor taken
+    from its kind: the weight is a feature of its own."""
+    if not hits:
+        return [0.0] * FEATURES
+    used, quoted, told = [0, 0], [0, 0], 0.0
+    inside = quoted_places(tokens)
     for i, edits in hits:
-        before, after = tokens[max(0, i - WINDOW) : i + 1], tokens[i : i + WINDOW + 1]
-        marks = any(t[0] in OPENING for t in before) and any(t.rstrip(".,;:!?")[-1:] in CLOSING for t in after if t.rstrip(".,;:!?"))
-        told = any(t.strip(EDGES) in REPORTING for t in before[:-1])
-        if marks or told:
-            quoted[edits > 0] += 1
-        else:
-            used[edits > 0] += 1
-            addressed += any(t.strip(EDGES) in ADDRESS for t in before[:-1] + after[1:])
-    share = 100 * len(hits) / max(20, len(tokens))
-    return [float(np.log1p(x)) for x in (*used, *quoted, addressed, share)]
+        (quoted if i in inside else used)[edits > 0] += 1
+        told += max(-4.0, min(4.0, sum(context.get(w, 0.0) for w in set(around(tokens, i)))))
+    share = 100 * sum(used) / max(20, len(tokens))
+    return [*(float(np.log1p(x)) for x in (*used, *quoted)), told / len(hits), float(np.log1p(share))]
+
+
+FEATURES = 6
 
 
 def _terms(words: list[str]) -> Iterator[tuple[str, str]]:
@@ -176,8 +214,9 @@ def _terms(words: list[str]) -> Iterator[tuple[str, str]]:
 def term_counts(labelled: DataFrame, least: float) -> DataFrame:
     """``(term, toxic, clean)`` of ``labelled (text, toxic)``: how many toxic
     documents have each term, or in how many different pairs of neighbours if
-    that is less, and how many other documents have it.  So what copies of one
-    toxic text share is evidence once.  Terms below ``least`` are left out."""
+    that is less, and how many other documents have it outside quotation.  So what
+    copies of one toxic text share is evidence once, and a term that others quote is
+    none the weaker.  Terms below ``least`` are left out."""
 
     def words_of(text: str | None) -> list[str]:
         return [w for t in (text or "").lower().split() if (w := t.strip(EDGES))]
@@ -208,7 +247,11 @@ def term_counts(labelled: DataFrame, least: float) -> DataFrame:
         total, asked = Counter(), candidates.value
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                words = {t.strip(EDGES) for t in set((text or "").lower().split())}
+                tokens = (text or "").lower().split()
+                words = {t.strip(EDGES) for t in set(tokens)}
+                if (words & asked) or any(f"{w[:n]}*" in asked for w in words for n in STEMS if len(w) > n):
+                    inside = quoted_places(tokens)
+                    words = {t.strip(EDGES) for i, t in enumerate(tokens) if i not in inside}
                 found = words & asked
                 for n in STEMS:
                     found |= {f"{w[:n]}*" for w in words if len(w) > n} & asked
@@ -241,6 +284,7 @@ def chosen_entries(counts: dict[str, int]) -> list[str]:
 @dataclass
 class ToxicityModel:
     entries: list[str]
+    context: dict[str, float]  # weights of words around hits
     weights: list[float]  # of the features, the last one constant
 
 
@@ -258,7 +302,42 @@ def logistic_weights(x: np.ndarray, y: np.ndarray, penalty: float = 1e-2, rounds
     return w
 
 
-def _features(rows: DataFrame, entries: list[str]) -> DataFrame:
+def context_weights(rows: DataFrame, entries: list[str]) -> dict[str, float]:
+    """Words around hits, with the logarithm of the odds of toxic documents there
+    against the odds that the hit words alone let expect (so a word is not made
+    suspect by the language or the entry it goes with); ``rows (text, toxic)`` is
+    the bounded sample.  A word counts once a document and hit word."""
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("toxicity")
+        matcher = Matcher(entries)
+        counts: dict[tuple[str, str], list[int]] = {}
+        for batch in batches:
+            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                tokens = (text or "").lower().split()
+                found = {(tokens[i].strip(EDGES), w) for i, _ in matcher.hits(tokens) for w in ("", *around(tokens, i))}
+                for key in found:  # the empty word stands for every hit
+                    counts.setdefault(key, [0, 0])[toxic > 0] += 1
+        keys = list(counts)
+        columns = [pa.array([k[j] for k in keys], pa.string()) for j in (0, 1)]
+        columns += [pa.array([counts[k][j] for k in keys], pa.int64()) for j in (1, 0)]
+        yield pa.RecordBatch.from_arrays(columns, ["hit", "word", "toxic", "clean"])
+
+    found = rows.select("text", "toxic").mapInArrow(collect, "hit string, word string, toxic long, clean long")
+    found = save(found.groupBy("hit", "word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")), "context")
+    expected = found.filter("word = ''").select("hit", (F.col("toxic") / (F.col("toxic") + F.col("clean"))).alias("rate"))
+    n = F.col("toxic") + F.col("clean")
+    sums = found.filter("word <> ''").join(expected, "hit").groupBy("word")
+    sums = sums.agg(F.sum(n).alias("n"), F.sum("toxic").alias("o"), F.sum(n * F.col("rate")).alias("e"))
+    n, o, e = F.col("n"), F.col("o"), F.col("e")
+    part = lambda x, y: F.when((x > 0) & (y > 0), x * F.log(x / y)).otherwise(0.0)
+    evidence = part(o, e) + part(n - o, n - e)
+    weight = F.log((o + 1) / (n - o + 1)) - F.log((e + 1) / (n - e + 1))
+    best = sums.select("word", weight.alias("weight"), evidence.alias("evidence")).filter(F.col("evidence") >= SURE)
+    return {r.word: r.weight for r in best.orderBy(F.desc("evidence"), "word").limit(CONTEXT).collect()}
+
+
+def _features(rows: DataFrame, entries: list[str], context: dict[str, float]) -> DataFrame:
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
         matcher = Matcher(entries)
@@ -266,7 +345,7 @@ def _features(rows: DataFrame, entries: list[str]) -> DataFrame:
             values = []
             for text in batch.column(0).to_pylist():
                 tokens = (text or "").lower().split()
-                values.append(hit_features(tokens, matcher.hits(tokens)))
+                values.append(hit_features(tokens, matcher.hits(tokens), context))
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.list_(pa.float64())), batch.column(1)], ["features", "toxic"])
 
     return rows.select("text", "toxic").mapInArrow(measure, "features array<double>, toxic int")
@@ -287,21 +366,22 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, most: int = LABELLED) ->
     by_label = {r.toxic > 0: r["count"] for r in sample.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
     toxic, clean = by_label.get(True, 0), by_label.get(False, 0)
     if not toxic or not clean:
-        return ToxicityModel([], [0.0] * 6 + [30.0 if toxic else -30.0])
+        return ToxicityModel([], {}, [0.0] * FEATURES + [30.0 if toxic else -30.0])
     base = toxic / (toxic + clean)
     flagged = labelled.withColumn("toxic", (F.col("toxic") > 0).cast("int"))
     counts = term_counts(flagged, EVIDENCE / float(np.log(1 / base)))
     n = F.col("toxic") + F.col("clean")
-    rate = (F.col("toxic") - 0.0) / n
+    rate = F.col("toxic") / n
     other = F.when(rate < 1, (1 - rate) * F.log((1 - rate) / (1 - base))).otherwise(0.0)
     evidence = n * (rate * F.log(rate / base) + other)
     strong = counts.filter("toxic > 0").filter((rate >= max(0.8, base)) & (evidence >= EVIDENCE))
     best = strong.orderBy(F.desc(evidence), "term").limit(ENTRIES).collect()
     entries = chosen_entries({r.term: r.toxic for r in best})
-    rows = _features(labelled, entries).toArrow()
-    x = np.array(rows["features"].to_pylist(), float).reshape(-1, 6)
+    context = context_weights(flagged, entries)
+    rows = _features(labelled, entries, context).toArrow()
+    x = np.array(rows["features"].to_pylist(), float).reshape(-1, FEATURES)
     y = (rows["toxic"].to_numpy() > 0).astype(float)
-    return ToxicityModel(entries, logistic_weights(x, y).tolist())
+    return ToxicityModel(entries, context, logistic_weights(x, y).tolist())
 
 
 def with_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -317,12 +397,13 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
-        matcher, weights = Matcher(shared.value.entries), np.array(shared.value.weights)
+        model = shared.value
+        matcher, weights = Matcher(model.entries), np.array(model.weights)
         for batch in batches:
             scores = np.zeros(batch.num_rows)
             for i, text in enumerate(batch.column(place).to_pylist()):
                 tokens = (text or "").lower().split()
-                x = np.array([*hit_features(tokens, matcher.hits(tokens)), 1.0])
+                x = np.array([*hit_features(tokens, matcher.hits(tokens), model.context), 1.0])
                 scores[i] = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
             predicted = pa.array((scores >= 0.5).astype(np.int32))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores), predicted], [*columns, "score", "predicted"])
