@@ -36,6 +36,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +70,33 @@ def _coded(numbers: np.ndarray, dictionary: np.ndarray) -> np.ndarray:
     return np.where(dictionary[at] == numbers, at, NONE).astype(np.uint16)
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """Numbers of one type, compressed byte place by byte place."""
+    places = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(places.T).tobytes())
+
+
+def _expanded(data: bytes, kind: str) -> np.ndarray:
+    """What ``_squeezed`` was given."""
+    places = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(places.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _bundle(*parts: np.ndarray) -> bytes:
+    """Several arrays, each squeezed and after its length."""
+    return b"".join(len(x).to_bytes(4, "little") + x for x in map(_squeezed, parts))
+
+
+def _unbundled(data: bytes, *kinds: str) -> list[np.ndarray]:
+    """The first arrays of a bundle."""
+    parts, at = [], 0
+    for kind in kinds:
+        first = at + 4
+        at = first + int.from_bytes(data[at:first], "little")
+        parts.append(_expanded(data[first:at], kind))
+    return parts
+
+
 def _pair_numbers(words: np.ndarray, before: np.ndarray) -> np.ndarray:
     return mix(words * np.uint64(0x9E3779B97F4A7C15) + mix(before))
 
@@ -269,8 +297,8 @@ def _deal(docs: DataFrame, dictionary: np.ndarray, pairs: np.ndarray, bits: int)
                 rows.append(
                     [
                         int(bucket[low]), name, np.packbits(learned).tobytes(),
-                        np.diff(code[at], prepend=np.uint16(0)).astype("<u2").tobytes(), _pack_words(flat[at], code[at], 8),
-                        code_before[at].tobytes(), _pack_words(before[at], code_before[at], 6), owner[at].tobytes(),
+                        _squeezed(np.diff(code[at], prepend=np.uint16(0)).astype("<u2")), _pack_words(flat[at], code[at], 8),
+                        _squeezed(code_before[at]), _pack_words(before[at], code_before[at], 6), _squeezed(owner[at]),
                     ]
                 )
             columns = list(zip(*rows))
@@ -303,27 +331,19 @@ def _coded_upper(numbers: np.ndarray, dictionary: np.ndarray) -> np.ndarray:
     return _coded(numbers, dictionary & ~np.uint64(0xFFFF))
 
 
-FOUND = "kind int, flush long, owner int, doc_id long, learned int, numbers array<double>, word long, n long, before binary, counts binary, least array<long>"
-#: Sums per document: log10(c + 1), known tokens, log10 of pair counts, pairs by
-#: count 1 to 5, log10 of the counts of words after an unseen pair, those words
-#: by count 1 to 5, unknown words, log10(c + escape) of known words that a token
-#: follows, known words after an unseen pair.
-SUMS = 3 + HIGHEST + 1 + HIGHEST + 1 + 1 + 1
+FOUND = "kind int, flush long, owner int, doc_id long, learned int, n long, words binary, before binary, rest binary, counts binary, least array<long>"
+#: Numbers of tokens per document: known words, pairs by count 1 to 5, words after
+#: an unseen pair by count 1 to 5, unknown words and known words after an unseen pair.
+TALLIES = 1 + HIGHEST + HIGHEST + 2
 
 
-_LONGS, _DOUBLES = (pa.list_(pa.field("element", t)) for t in (pa.int64(), pa.float64()))
+_LONGS = pa.list_(pa.field("element", pa.int64()))
 _FOUND = pa.schema(
-    [("kind", pa.int32()), ("flush", pa.int64()), ("owner", pa.int32()), ("doc_id", pa.int64()), ("learned", pa.int32()), ("numbers", _DOUBLES),
-     ("word", pa.int64()), ("n", pa.int64()), ("before", pa.binary()), ("counts", pa.binary()), ("least", _LONGS)]
+    [("kind", pa.int32()), ("flush", pa.int64()), ("owner", pa.int32()), ("doc_id", pa.int64()), ("learned", pa.int32()),
+     ("n", pa.int64()), ("words", pa.binary()), ("before", pa.binary()), ("rest", pa.binary()), ("counts", pa.binary()), ("least", _LONGS)]
 )
 
 
-def _lists(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """The rows of a two-dimensional array as lists."""
-    starts = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.shape[1]))
-    return pa.ListArray.from_arrays(starts, pa.array(rows.ravel()), type=kind)
-
-
 def _runs(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
     """The bytes of the rows of ``data`` from each cut to the next, as binary values."""
     width = data.nbytes // len(data)
@@ -332,9 +352,9 @@ def _runs(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
 
 
 def _count(shared, bits: int):
-    """Counts of one bucket, as rows of several kinds: 0 a document, 1 sums of a
-    document, 2 tokens after a pair that was never seen, by what is before them,
-    3 a word of the tables, 4 numbers of counts."""
+    """Counts of one bucket, as rows of several kinds: 0 a document, 1 sums of the
+    documents of a flush, 2 its tokens in pairs that were never seen, as owners and
+    what is before them, 3 the tables of the bucket, 4 numbers of counts."""
 
     def count(group: pa.Table) -> pa.Table:
         dictionary, dictionary_counts, spread = shared.value
@@ -352,22 +372,23 @@ def _count(shared, bits: int):
                 ids = pa.array(names[:, 0], mask=names[:, 3] == 0)
                 put(
                     0, flush=np.full(len(names), flush), owner=np.arange(len(names), dtype=np.int32), doc_id=ids,
-                    learned=names[:, 1].astype(np.int32), numbers=_lists(names[:, 2:3].astype(float), _DOUBLES),
+                    learned=names[:, 1].astype(np.int32), n=names[:, 2],
                 )
             return pa.Table.from_batches(out, _FOUND)
         words, before, owners, learned = [], [], [], []
-        places, flushes, base = [], [], 0
+        places, flushes, firsts, base = [], [], [], 0
         for r in group.to_pylist():
-            codes = np.cumsum(np.frombuffer(r["words"], "<u2"), dtype=np.uint16)
+            codes = np.cumsum(_expanded(r["words"], "<u2"), dtype=np.uint16)
             words.append(_unpack_words(codes, r["word_rest"], 8, dictionary))
-            before.append(_unpack_words(np.frombuffer(r["before"], np.uint16), r["before_rest"], 6, dictionary))
-            owner = np.frombuffer(r["owners"], np.uint16).astype(np.int64)
+            before.append(_unpack_words(_expanded(r["before"], "<u2"), r["before_rest"], 6, dictionary))
+            owner = _expanded(r["owners"], "<u2").astype(np.int64)
             flags = np.unpackbits(np.frombuffer(r["docs"], np.uint8)).astype(bool)
             learned.append(flags[owner])
             used, owner = np.unique(owner, return_inverse=True)
             owners.append(owner + base)
             places.append(used)
-            flushes.append(np.full(len(used), r["flush"]))
+            flushes.append(r["flush"])
+            firsts.append(base)
             base += len(used)
         word, context, owner, train = map(np.concatenate, (words, before, owners, learned))
         del words, before, owners, learned
@@ -383,45 +404,55 @@ def _count(shared, bits: int):
         known, seen = c > 0, c_pair > 0
         unseen = ~seen
         log = np.log10(np.maximum(c, 1))
-        sums = np.zeros((base, SUMS))
 
-        def weights() -> Iterator[np.ndarray]:  # one at a time: each is as long as the group
-            yield np.log10(c + 1.0)
+        def tallies() -> Iterator[np.ndarray]:  # one at a time: each is as long as the group
             yield known
-            yield np.where(seen, np.log10(np.maximum(c_pair, 1)), 0.0)
             for r in range(1, HIGHEST + 1):
                 yield c_pair == r
-            yield np.where(unseen & known, log, 0.0)
             for r in range(1, HIGHEST + 1):
                 yield unseen & (c == r)
             yield unseen & ~known
-            yield np.where(known & (word != np.uint64(END)), np.log10(c + ESCAPE), 0.0)
             yield unseen & known
 
-        for k, w in enumerate(weights()):
-            sums[:, k] = np.bincount(owner, w, minlength=base)
-        place, flush = np.concatenate(places), np.concatenate(flushes)
-        place = place.astype(np.int32)
-        put(1, flush=flush, owner=place, numbers=_lists(sums, _DOUBLES))
-        del sums, log
-        # tokens after an unseen pair, by document
+        plain = np.bincount(owner, np.log10(c + 1.0), minlength=base)
+        # what no discount changes: pair counts, words after an unseen pair, c(h) + escape of the pair that follows
+        own = np.where(seen, np.log10(np.maximum(c_pair, 1)), np.where(known, log, 0.0))
+        own -= np.where(known & (word != np.uint64(END)), np.log10(c + ESCAPE), 0.0)
+        own = np.bincount(owner, own, minlength=base)
+        del log
+        tally = np.empty((TALLIES, base), "<u4")
+        for k, which in enumerate(tallies()):
+            tally[k] = np.bincount(owner[which], minlength=base)
+        place = np.concatenate(places).astype("<u2")
+        lasts = [*firsts[1:], base]
+        packed = [_bundle(plain[i:j], own[i:j], tally[:, i:j]) for i, j in zip(firsts, lasts)]
+        put(1, flush=flushes, before=[_squeezed(place[i:j]) for i, j in zip(firsts, lasts)], counts=packed)
+        del plain, own, tally, packed
+        # tokens in unseen pairs, by flush
         if unseen.any():
             who, what = owner[unseen], context[unseen]
             order = np.argsort(who, kind="stable")
             who, what = who[order], what[order]
-            cuts = np.flatnonzero(np.diff(who, prepend=-1))
-            put(2, flush=flush[who[cuts]], owner=place[who[cuts]], before=_runs(what, cuts))
-        # the tables: for each word what it follows and how often
+            code = _coded_upper(what, dictionary)
+            edges = np.searchsorted(who, [*firsts, base])
+            some = [(f, i, j) for f, i, j in zip(flushes, edges[:-1], edges[1:]) if i < j]
+            put(
+                2, flush=[f for f, _, _ in some], counts=[_squeezed(place[who[i:j]]) for _, i, j in some],
+                before=[_squeezed(code[i:j]) for _, i, j in some], rest=[_pack_words(what[i:j], code[i:j], 6) for _, i, j in some],
+            )
+        # the tables: for each word its count, what it follows and how often
         tabled = np.flatnonzero((pairs > 0) & ~counted)
         if len(tabled):
             first = where[tabled]
             of, what, often = kind[first], context[first], pairs[tabled].astype("<u4")
             order = np.argsort(of, kind="stable")
             of, what, often = of[order], what[order], often[order]
-            cuts = np.flatnonzero(np.diff(of, prepend=-1))
-            some = of[cuts]
-            upper = np.ascontiguousarray(what.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:])
-            put(3, word=kinds[some].view(np.int64), n=singles[some], before=_runs(upper, cuts), counts=_runs(often, cuts))
+            some, sizes = np.unique(of, return_counts=True)
+            code = _coded_upper(what, dictionary)
+            put(
+                3, words=[_bundle(kinds[some], singles[some].astype("<i8"), sizes.astype("<u4"))], before=[_squeezed(code)],
+                rest=[_pack_words(what, code, 6)], counts=[_squeezed(often)],
+            )
         # words, tokens and numbers of counts; the dictionary's words and heavy pairs are counted elsewhere
         own = singles[(codes == NONE) & (singles > 0)]
         ones = [int((own == r).sum()) for r in range(1, HIGHEST + 2)]
@@ -479,14 +510,14 @@ def _model(totals: list, dictionary: np.ndarray, counts: np.ndarray, pairs: Heav
     return KatzModel(tokens, words, documents, discounts(ones), discounts(twos), ones)
 
 
-def backoff_masses(table: DataFrame, model: KatzModel, pairs: HeavyPairs, singles: np.ndarray) -> DataFrame:
-    """``(context, total, kept, lower)`` from ``table (word, n, before, counts)``
+def backoff_masses(table: DataFrame, model: KatzModel, dictionary: np.ndarray, pairs: HeavyPairs, singles: np.ndarray) -> DataFrame:
+    """``(context, total, kept, lower)`` from ``table (words, before, rest, counts)``
     and the heavy pairs, whose words have the counts ``singles``: c(h), the sum
     of d c(h, w), and the sum of P(w), over the words seen after h."""
-    shared = table.sparkSession.sparkContext.broadcast(model)
+    shared = table.sparkSession.sparkContext.broadcast((model, dictionary))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m, dictionary = shared.value
 
         def merged(parts: list[tuple]) -> tuple:
             context, *values = (np.concatenate(c) for c in zip(*parts))
@@ -495,14 +526,13 @@ def backoff_masses(table: DataFrame, model: KatzModel, pairs: HeavyPairs, single
 
         parts, held = [], 0
         for batch in batches:
-            befores, counts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-            sizes = [len(c) // 4 for c in counts]
-            raw = np.zeros((sum(sizes), 8), np.uint8)
-            raw[:, 2:] = np.frombuffer(b"".join(befores), np.uint8).reshape(-1, 6)
-            often = np.frombuffer(b"".join(counts), "<u4").astype(np.int64)
-            lower = np.repeat(m.discounted(batch.column(0).to_numpy()) / (m.tokens + 1), sizes)
-            parts.append((raw.view("<i8").ravel(), often.astype(float), m.discounted_pair(often), lower))
-            held += len(often)
+            for words, before, rest, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                _, n, sizes = _unbundled(words, "<u8", "<i8", "<u4")
+                context = _unpack_words(_expanded(before, "<u2"), rest, 6, dictionary).view(np.int64)
+                often = _expanded(counts, "<u4").astype(np.int64)
+                lower = np.repeat(m.discounted(n) / (m.tokens + 1), sizes)
+                parts.append((context, often.astype(float), m.discounted_pair(often), lower))
+                held += len(often)
             if held > FLUSH:
                 parts = [merged(parts)]
                 held = len(parts[0][0])
@@ -516,7 +546,7 @@ def backoff_masses(table: DataFrame, model: KatzModel, pairs: HeavyPairs, single
         names = ["context", "total", "kept", "lower"]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in found], names)
 
-    found = table.select("n", "before", "counts").mapInArrow(add, "context long, total double, kept double, lower double")
+    found = table.select("words", "before", "rest", "counts").mapInArrow(add, "context long, total double, kept double, lower double")
     seen = pairs.counts > 0
     if seen.any():
         often, lower = pairs.counts[seen], model.discounted(singles[seen]) / (model.tokens + 1)
@@ -525,15 +555,77 @@ def backoff_masses(table: DataFrame, model: KatzModel, pairs: HeavyPairs, single
     return found.groupBy("context").agg(*[F.sum(c).alias(c) for c in ("total", "kept", "lower")])
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _requests(shared):
+    """The contexts that one flush asks for, each with the documents that ask."""
+
+    def requests(group: pa.Table) -> pa.Table:
+        dictionary, owners, contexts = shared.value[0], [], []
+        for before, rest, asking in zip(*(group[c].to_pylist() for c in ("before", "rest", "counts"))):
+            owners.append(_expanded(asking, "<u2"))
+            contexts.append(_unpack_words(_expanded(before, "<u2"), rest, 6, dictionary))
+        owner, context = np.concatenate(owners), np.concatenate(contexts)
+        order = np.argsort(context, kind="stable")
+        owner, context = owner[order], context[order]
+        cuts = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+        flush = np.full(len(cuts), group["flush"][0].as_py())
+        columns = [pa.array(flush), pa.array(context[cuts].view(np.int64)), _runs(owner, cuts)]
+        return pa.Table.from_arrays(columns, ["flush", "context", "owners"])
+
+    return requests
+
+
+def _replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of ``weight`` over the documents in ``owners``, by flush."""
+    parts: list[tuple] = []
+    held = 0
+
+    def packed() -> pa.RecordBatch:
+        flush, owner, weight = (np.concatenate(c) for c in zip(*parts))
+        flushes, of = np.unique(flush, return_inverse=True)
+        keys, at = np.unique((of << 16) | owner, return_inverse=True)
+        total, owner = np.bincount(at, weight), (keys & NONE).astype("<u2")
+        edges = np.searchsorted(keys >> 16, np.arange(len(flushes) + 1))
+        cuts = list(zip(edges[:-1], edges[1:]))
+        columns = [pa.array(flushes), pa.array([_squeezed(owner[i:j]) for i, j in cuts]), pa.array([_bundle(total[i:j]) for i, j in cuts])]
+        return pa.RecordBatch.from_arrays(columns, ["flush", "before", "counts"])
+
     for batch in batches:
-        lists = [np.frombuffer(b, "<i8") for b in batch.column(2).to_pylist()]
-        for low in range(0, len(lists), 512):
-            part = lists[low : low + 512]
-            rows = pa.array(np.repeat(np.arange(low, low + len(part)), [len(x) for x in part]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.concatenate(part))], ["flush", "owner", "context"]
-            )
+        if not batch.num_rows:
+            continue
+        flush, weight = (batch.column(i).to_numpy() for i in (0, 2))
+        asking = batch.column(1).to_pylist()
+        times = [len(x) // 2 for x in asking]
+        owner = np.frombuffer(b"".join(asking), "<u2").astype(np.int64)
+        parts.append((np.repeat(flush, times), owner, np.repeat(weight, times)))
+        held += len(owner)
+        if held > FLUSH:
+            yield packed()
+            parts, held = [], 0
+    if parts:
+        yield packed()
+
+
+SUMS = f"flush long, owner int, plain double, own double, {', '.join(f't{k} long' for k in range(TALLIES))}"
+
+
+def _document_sums(group: pa.Table) -> pa.Table:
+    """The sums of the documents of one flush from those of all buckets and replies."""
+    plain, own, tally = np.zeros(NONE), np.zeros(NONE), np.zeros((TALLIES, NONE), np.int64)
+    met = np.zeros(NONE, bool)
+    for kind, owners, packed in zip(*(group[c].to_pylist() for c in ("kind", "before", "counts"))):
+        owners = _expanded(owners, "<u2")  # each once
+        met[owners] = True
+        if kind == 2:
+            own[owners] += _unbundled(packed, "<f8")[0]
+            continue
+        more_plain, more_own, more = _unbundled(packed, "<f8", "<f8", "<u4")
+        plain[owners] += more_plain
+        own[owners] += more_own
+        tally[:, owners] += more.reshape(TALLIES, -1)
+    some = np.flatnonzero(met)
+    flush = np.full(len(some), group["flush"][0].as_py())
+    columns = [flush, some.astype(np.int32), plain[some], own[some], *tally[:, some]]
+    return pa.Table.from_arrays([pa.array(c) for c in columns], [f.split()[0] for f in SUMS.split(", ")])
 
 
 def katz_scores(docs: DataFrame) -> DataFrame:
@@ -558,26 +650,23 @@ def katz_scores(docs: DataFrame) -> DataFrame:
     totals = found.filter("kind = 4").select(*[F.sum(F.col("least")[k]) for k in range(2 + 2 * (HIGHEST + 1))]).first()
     model = _model([t or 0 for t in totals], dictionary, counts, pairs, size[1] or 0)
 
-    table = found.filter("kind = 3").select("word", "n", "before", "counts")
-    masses = backoff_masses(table, model, pairs, counts[_coded(pairs.words, dictionary)])
-    left = F.lit(1.0) - F.col("lower")
-    weight = F.log10((F.col("total") + ESCAPE - F.col("kept")) / left)
-    unseen = found.filter("kind = 2").select("flush", "owner", "before").mapInArrow(_contexts, "flush long, owner int, context long")
-    unseen = unseen.groupBy("flush", "owner", "context").agg(F.count("*").alias("times"))
-    backed = unseen.join(masses, "context").groupBy("flush", "owner").agg(F.sum(weight * F.col("times")).alias("backed"))
-
-    values = [F.sum(F.col("numbers")[k]).alias(f"s{k}") for k in range(SUMS)]
-    sums = found.filter("kind = 1").groupBy("flush", "owner").agg(*values)
-    names = found.filter("kind = 0").select("flush", "owner", "doc_id", "learned", F.col("numbers")[0].cast("long").alias("n_tokens"))
-    rows = names.join(sums, ["flush", "owner"]).join(backed, ["flush", "owner"], "left")
-    known_pairs = sum((F.col(f"s{2 + r}") * float(np.log10(model.pair[r - 1])) for r in range(1, HIGHEST + 1)), F.col("s2"))
-    words = sum((F.col(f"s{3 + HIGHEST + r}") * float(np.log10(model.single[r - 1])) for r in range(1, HIGHEST + 1)), F.col(f"s{3 + HIGHEST}"))
-    words = words - F.col(f"s{SUMS - 1}") * float(np.log10(model.tokens + 1)) + F.col(f"s{SUMS - 3}") * float(np.log10(model.unknown))
+    masses = backoff_masses(found.filter("kind = 3"), model, dictionary, pairs, counts[_coded(pairs.words, dictionary)])
+    weight = F.log10((F.col("total") + ESCAPE - F.col("kept")) / (F.lit(1.0) - F.col("lower")))
+    asked = found.filter("kind = 2").select("flush", "before", "rest", "counts").groupBy("flush")
+    asked = asked.applyInArrow(_requests(shared), "flush long, context long, owners binary")
+    replies = asked.join(masses, "context").select("flush", "owners", weight.alias("weight"))
+    replies = replies.mapInArrow(_replies, "flush long, before binary, counts binary").withColumn("kind", F.lit(2))
+    sums = found.filter("kind = 1").select("kind", "flush", "before", "counts").unionByName(replies)
+    sums = sums.groupBy("flush").applyInArrow(_document_sums, SUMS)
+    names = found.filter("kind = 0").select("flush", "owner", "doc_id", "learned", F.col("n").alias("n_tokens"))
+    rows = names.join(sums, ["flush", "owner"])
+    logs = np.log10([*model.pair, *model.single, model.unknown, 1 / (model.tokens + 1)])
+    discounted = sum((F.col(f"t{k}") * float(log) for k, log in enumerate(logs, 1)), F.col("own"))
     start = float(np.log10(model.documents + ESCAPE)) if model.documents else 0.0
-    score = known_pairs + words - F.col(f"s{SUMS - 2}") - start + F.coalesce("backed", F.lit(0.0))
-    base = F.col("s0") - F.col("n_tokens") * float(np.log10(model.tokens + model.words + 1))
+    score = discounted - start
+    base = F.col("plain") - F.col("n_tokens") * float(np.log10(model.tokens + model.words + 1))
     held_out = F.col("doc_id").isNotNull() & (F.col("learned") == 0)
     return rows.select(
-        "doc_id", held_out.alias("held_out"), "n_tokens", F.col("s1").cast("long").alias("n_known"),
+        "doc_id", held_out.alias("held_out"), "n_tokens", F.col("t0").alias("n_known"),
         F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), score.alias("score"),
     )
