@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import fold, save
+from basketry.llm.shared import fold, release, save
 from basketry.llm.words import hashed_texts, mix
 
 SAMPLE = 2_000  # documents whose words make the dictionary
@@ -647,6 +647,7 @@ def katz_scores(docs: DataFrame) -> DataFrame:
     bits = max(4, ((size[0] or 0) // 6 // BUCKET).bit_length())
     shared = spark.sparkContext.broadcast((dictionary, counts, pairs))
     found = save(_deal(docs, dictionary, pairs.pairs, bits).groupBy("bucket").applyInArrow(_count(shared, bits), FOUND), "ngrams")
+    release(spark)  # the dealt tokens: while ``save`` runs, its plan is still referenced
     totals = found.filter("kind = 4").select(*[F.sum(F.col("least")[k]) for k in range(2 + 2 * (HIGHEST + 1))]).first()
     model = _model([t or 0 for t in totals], dictionary, counts, pairs, size[1] or 0)
 
