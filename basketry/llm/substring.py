@@ -4,7 +4,7 @@ A window is 50 consecutive words; the words of a window that also starts in a
 document with a smaller doc_id go.  Suffix automata of reference shards find
 those windows:
 
-1. Every window has an anchor, the smallest hash among its ten-word sequences.
+1. Every window has an anchor, the smallest hash among its twenty-word sequences.
    Consecutive windows with one anchor are a run.  Equal windows have equal
    anchors, so only runs that share an anchor can share a window, whatever
    document they are in.
@@ -43,7 +43,7 @@ from basketry.llm.shared import save
 from basketry.llm.words import hashed_texts, mix, sequence_hashes
 from basketry.llm.worker import claim
 
-GRAM = 10  # words of an anchor
+GRAM = 20  # words of an anchor: fewer are common to many texts by chance
 NOBODY = (1 << 63) - 1
 SHARD_WORDS = 30_000  # of one automaton, about
 _STEP = np.uint64(0xD1342543DE82EF95)
