@@ -37,15 +37,16 @@ from pyspark.sql import functions as F
 from basketry.llm.components import connected_components
 from basketry.llm.shared import delete, save
 from basketry.llm.words import texts_shingles
-from basketry.llm.worker import claim
+from basketry.llm.worker import claim, give_back
 
-FLUSH = 3_000_000  # shingles held by a task before it sends them on
+FLUSH = 1_500_000  # shingles held by a task before it sends them on
 BUCKET = 3_000_000  # shingles of one reduce group, about
 ORDER_BITS = 20  # the table of counts has 2**20 entries: 4 MB, whatever the input
 SMALL = 256  # points of a region that are compared without more pivots
 CROWD_TURNS = 1  # rounds in which a region's largest parts give the pivots
 CROWD_PIVOTS = 8  # pivots of a region in these rounds
 PARITIES = 8  # 64-bit numbers with parities of a point's shingles
+NAME = 8  # bytes of a set's digest that name it while its shingles are dealt out
 LOCAL = 0xFFFF  # marks a shingle that several points of one task have
 
 
@@ -84,7 +85,8 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
-    """``(digest, n)``: how many shingles of each set also lie in another set.
+    """``(name, n)``: how many shingles of each set also lie in another set; the name
+    is the beginning of its digest.
     A few unique ones may count as repeated (38 bits and more are compared),
     never the other way round.  Sets without any such shingle are left out."""
     bits = min(16, max(4, (max(total, 1) // BUCKET).bit_length()))
@@ -134,7 +136,7 @@ def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
 
         for batch in batches:
             for _, s in texts_shingles(batch.column(0), width):
-                if not len(s) or (name := digest(s)) in seen:
+                if not len(s) or (name := digest(s)[:NAME]) in seen:
                     continue
                 parts.append((s & np.uint64(0xFFFFFFFFFFFF0000)) | np.uint64(len(seen)))
                 seen[name] = len(seen)
@@ -142,13 +144,16 @@ def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
                 if held >= FLUSH or len(seen) == LOCAL:
                     yield flush()
                     seen, parts, held = {}, [], 0
+                    give_back()
         if held:
             yield flush()
+            parts.clear()
+            give_back()
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:  # noqa: C901
         rows = list(pdf.itertuples(index=False))
-        names = np.frombuffer(b"".join(r.digests for r in rows), "V16")
-        ids, sizes = np.zeros(len(names), np.int64), [len(r.digests) // 16 for r in rows]
+        names = np.frombuffer(b"".join(r.digests for r in rows), f"V{NAME}")
+        ids, sizes = np.zeros(len(names), np.int64), [len(r.digests) // NAME for r in rows]
         code: dict[bytes, int] = {}
         for k, name in enumerate(names.tolist()):
             ids[k] = code.setdefault(name, len(code))
@@ -160,16 +165,21 @@ def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
                 np.add.at(total, mine, np.frombuffer(r.counts, "<i8"))
             elif r.rest:
                 place = np.frombuffer(r.owners, np.uint16)
-                table = np.full(65536, len(code), np.int64)
+                table = np.full(65536, len(code), np.uint32)
                 table[:size] = mine
                 hashes.append(_unpack(r.rest))
                 owners.append(table[place])
             base += size
         if hashes:
             # one number per (shingle, point); points of several tasks merge here
-            keys = np.concatenate(hashes).astype(np.uint64) << np.uint64(32) | np.concatenate(owners).astype(np.uint64)
-            keys = np.unique(keys)
+            keys = np.concatenate(hashes).astype(np.uint64)
+            keys <<= np.uint64(32)
+            keys |= np.concatenate(owners)
+            del hashes, owners, rows
+            keys.sort()
+            keys = keys[np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))]
             shingle, owner = keys >> np.uint64(32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            del keys
             first = np.flatnonzero(np.diff(shingle, prepend=shingle[0] ^ np.uint64(1)))
             counts = np.diff(first, append=len(shingle))
             marked = np.maximum.reduceat(owner, first) == len(code)
@@ -177,29 +187,30 @@ def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
             total += np.bincount(owner[repeated], minlength=len(code))
         some = np.flatnonzero(total)
         back = list(code)
-        packed = np.frombuffer(b"".join(back), "V16")[some]
-        goal = np.frombuffer(b"".join(back), "<u4")[::4][some] % goals
+        packed = np.frombuffer(b"".join(back), f"V{NAME}")[some]
+        goal = np.frombuffer(b"".join(back), "<u4")[:: NAME // 4][some] % goals
         out = {"goal": [], "digests": [], "n": []}
         for k in np.unique(goal).tolist():
             mine = goal == k
             out["goal"].append(k)
             out["digests"].append(packed[mine].tobytes())
             out["n"].append(total[some][mine].astype("<i8").tobytes())
+        give_back()
         return pd.DataFrame(out)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = np.frombuffer(b"".join(pdf["digests"]), "V16").tolist()
+        names = np.frombuffer(b"".join(pdf["digests"]), f"V{NAME}").tolist()
         counts: dict[bytes, int] = {}
         for name, n in zip(names, np.frombuffer(b"".join(pdf["n"]), "<i8").tolist()):
             counts[name] = counts.get(name, 0) + n
-        return pd.DataFrame({"digest": list(counts), "n": list(counts.values())})
+        return pd.DataFrame({"name": list(counts), "n": list(counts.values())})
 
     goals = 1 + total // (BUCKET * 4)
     dealt = docs.select("text").mapInArrow(
         deal, "bucket int, digests binary, rest binary, owners binary, counts binary"
     )
     counted = dealt.groupBy("bucket").applyInPandas(count, "goal long, digests binary, n binary")
-    return counted.groupBy("goal").applyInPandas(add, "digest binary, n long")
+    return counted.groupBy("goal").applyInPandas(add, "name binary, n long")
 
 
 def _parities(shingles: np.ndarray) -> list[int]:
@@ -365,18 +376,21 @@ def links_of_points(points: DataFrame, percent: int) -> DataFrame:
     # part: a name that only connected points share; far: the distance to the region's first pivot
     rarest = save(_regions(points, percent), "regions")
     entries = save(rarest.join(_first_pivots(rarest), "region").withColumn("part", F.col("doc")), "regions")
-    asked = entries.filter(F.col("doc") != F.col("pivot")).filter(fits).select("doc", "pivot").distinct()
+    parities = points.select("doc", *[F.col("parities")[k].alias(f"p{k}") for k in range(PARITIES)])
+    its_parities = parities.toDF("pivot", *[f"q{k}" for k in range(PARITIES)])
+    # classes with another parity: at least so many shingles are not common
+    apart = sum((F.bit_count(F.col(f"p{k}").bitwiseXOR(F.col(f"q{k}"))) for k in range(PARITIES)), F.lit(0))
+    alike = apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
+    asked = entries.filter(F.col("doc") != F.col("pivot")).filter(fits).select("doc", "pivot", "n", "m").distinct()
+    # points that meet by chance are told apart before any shingles are sent
+    asked = asked.join(parities, "doc").join(its_parities, "pivot").filter(alike).select("doc", "pivot")
     measured = save(_distances(asked, points).withColumns({"part": F.col("doc"), "its_part": F.col("pivot")}), "measured")
     links = measured.filter(_similar(percent)).select("doc", "pivot")
     far = measured.select("doc", "pivot", distance.alias("far"))
     rest = entries.filter(F.col("doc") != F.col("pivot")).drop("m", "its_room").join(far, ["doc", "pivot"], "left").drop("pivot")
     # the pivot has met every point of its region
-    parities = points.select("doc", *[F.col("parities")[k].alias(f"p{k}") for k in range(PARITIES)])
     rest = save(_several(_parted(rest, measured, percent)).join(parities, "doc"), "regions")
     delete(points.sparkSession, rarest, entries)
-    # classes with another parity: at least so many shingles are not common
-    apart = sum((F.bit_count(F.col(f"p{k}").bitwiseXOR(F.col(f"q{k}"))) for k in range(PARITIES)), F.lit(0))
-    alike = apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
     entries, turn, pivots = rest, 0, CROWD_PIVOTS
     while entries.limit(1).count():
         chosen = save(_more_pivots(entries, pivots, turn < CROWD_TURNS), "pivots")
@@ -413,7 +427,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     known = profiles.filter("n_shingles > 0 and doc_id is not null")
     sets = known.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("first"))
     repeated = repeated_shingles(docs, width, total)
-    wanted = sets.join(repeated, "digest").filter(F.col("n") * 100 >= F.col("n_shingles") * percent)
+    named = F.substring("digest", 1, NAME) == F.col("name")
+    wanted = sets.join(repeated, named).filter(F.col("n") * 100 >= F.col("n_shingles") * percent)
     wanted = save(wanted.select(F.col("first").alias("doc_id"), "digest"), "wanted")
     points = save(_points(docs, wanted, width), "points")
     copies = known.join(sets.select("digest", "first"), "digest").filter("doc_id != first")

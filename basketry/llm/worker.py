@@ -32,6 +32,12 @@ def claim(name: str) -> None:
         if other != name:
             clear()
     gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Give freed memory back to the system; a worker that waits for its next task
+    would hold it.  For after the large arrays of a task."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
