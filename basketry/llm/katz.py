@@ -43,11 +43,12 @@ from pyspark.sql import functions as F
 
 from basketry.llm.shared import fold, release, save
 from basketry.llm.words import hashed_texts, mix
+from basketry.llm.worker import claim, give_back
 
 SAMPLE = 2_000  # documents whose words make the dictionary
 CODES = 60_000  # words of the dictionary, at most
 NONE = 0xFFFF  # code of a word that is not in it
-FLUSH = 1_000_000  # tokens a task holds before it sends them on
+FLUSH = 750_000  # tokens a task holds before it sends them on
 BUCKET = 1_000_000  # tokens of one reduce group, about
 HEAVY = BUCKET // 4  # tokens from which a word or pair is heavy
 HIGHEST = 5  # counts up to this are discounted
@@ -188,6 +189,7 @@ def heavy(docs: DataFrame, least: int) -> tuple[np.ndarray, HeavyPairs]:
     most = max(1, 2 * ((size[0] or 0) // 2 + 2 * size[1]) // least)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("katz")
         kept: list[list[tuple]] = [[], []]
         new: list[tuple[np.ndarray, np.ndarray]] = []
         held = 0
@@ -207,6 +209,8 @@ def heavy(docs: DataFrame, least: int) -> tuple[np.ndarray, HeavyPairs]:
                     new, held = [], 0
         if new:
             merge()
+            new.clear()
+            give_back()
         for kind, parts in enumerate(kept):
             for key, word, before, n in parts:
                 columns = [pa.array(np.full(len(key), kind, np.int32)), *(pa.array(c.view(np.int64)) for c in (key, word, before)), pa.array(n)]
@@ -236,6 +240,7 @@ def exact_counts(docs: DataFrame, dictionary: np.ndarray, pairs: np.ndarray) ->
     shared = docs.sparkSession.sparkContext.broadcast((dictionary, pairs))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("katz")
         dictionary, pairs = shared.value
         total = np.zeros((1 << 16) + len(pairs), np.int64)
         for batch in batches:
@@ -246,6 +251,7 @@ def exact_counts(docs: DataFrame, dictionary: np.ndarray, pairs: np.ndarray) ->
                     total[1 << 16 :] += np.bincount(at[has], minlength=len(pairs))
         total[NONE] = 0
         some = np.flatnonzero(total)
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], ["code", "n"])
 
     found = docs.filter("learned").select("text").mapInArrow(count, "code int, n long")
@@ -266,6 +272,7 @@ def _deal(docs: DataFrame, dictionary: np.ndarray, pairs: np.ndarray, bits: int)
     shared = docs.sparkSession.sparkContext.broadcast((dictionary, pairs))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("katz")
         words, pairs = shared.value
         numbers: list[np.ndarray] = []
         sizes: list[int] = []
@@ -320,8 +327,11 @@ def _deal(docs: DataFrame, dictionary: np.ndarray, pairs: np.ndarray, bits: int)
                         yield flush()
                         numbers, sizes, names, held = [], [], [], 0
                         name += 1
+                        give_back()
         if names:
             yield flush()
+            numbers.clear()
+            give_back()
 
     return docs.select("doc_id", "text", "learned").mapInArrow(deal, DEALT)
 
@@ -458,6 +468,8 @@ def _count(shared, bits: int):
         ones = [int((own == r).sum()) for r in range(1, HIGHEST + 2)]
         twos = [int((pairs[~counted] == r).sum()) for r in range(1, HIGHEST + 2)]
         put(4, least=[[len(own), int(own.sum()), *ones, *twos]])
+        del word, context, owner, train, kind, distinct, where, at, c, c_pair, known, seen, unseen
+        give_back()
         return pa.Table.from_batches(out, _FOUND)
 
     return count
@@ -517,6 +529,7 @@ def backoff_masses(table: DataFrame, model: KatzModel, dictionary: np.ndarray, p
     shared = table.sparkSession.sparkContext.broadcast((model, dictionary))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("katz")
         m, dictionary = shared.value
 
         def merged(parts: list[tuple]) -> tuple:
