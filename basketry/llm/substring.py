@@ -4,7 +4,7 @@ A window is 50 consecutive words; the words of a window that also starts in a
 document with a smaller doc_id go.  Suffix automata of reference shards find
 those windows:
 
-1. Every window has an anchor, the smallest hash among its twenty-word sequences.
+1. Every window has an anchor, the smallest hash among its ten-word sequences.
    Consecutive windows with one anchor are a run.  Equal windows have equal
    anchors, so only runs that share an anchor can share a window, whatever
    document they are in.
@@ -43,7 +43,7 @@ from basketry.llm.shared import save
 from basketry.llm.words import hashed_texts, mix, sequence_hashes
 from basketry.llm.worker import claim
 
-GRAM = 20  # words of an anchor: fewer are common to many texts by chance
+GRAM = 10  # words of an anchor
 NOBODY = (1 << 63) - 1
 SHARD_WORDS = 30_000  # of one automaton, about
 _STEP = np.uint64(0xD1342543DE82EF95)
@@ -202,15 +202,15 @@ class SuffixAutomaton:
 
 
 def _contents_with_words(docs: DataFrame, contents: DataFrame, window: int) -> DataFrame:
-    """``(anchor, content, first_doc, words)`` of ``contents (anchor, content,
-    first_doc, first)``; ``words`` are joined by a blank."""
+    """``(anchor, content, first_doc, words, frequent)`` of ``contents (anchor, content,
+    first_doc, first, frequent)``; ``words`` are joined by a blank."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring")
         for batch in batches:
             wanted = batch.column(2).to_pylist()
-            asked = [{(w["content"], w["first"]) for w in some} for some in wanted]
-            out = {"anchor": [], "content": [], "first_doc": [], "words": []}
+            asked = [{(w["content"], w["first"]): w["frequent"] for w in some} for some in wanted]
+            out = {"anchor": [], "content": [], "first_doc": [], "words": [], "frequent": []}
             texts: dict[int, list[str]] = {}
             for rows, anchors, found, firsts, windows in text_runs(batch.column(1), window):
                 values = zip(rows.tolist(), anchors.view(np.int64).tolist(), found.view(np.int64).tolist(), firsts.tolist(), windows.tolist())
@@ -222,12 +222,14 @@ def _contents_with_words(docs: DataFrame, contents: DataFrame, window: int) -> D
                         out["content"].append(content)
                         out["first_doc"].append(batch.column(0)[row].as_py())
                         out["words"].append(b" ".join(texts[row][first : first + n + window - 1]).decode())
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
+                        out["frequent"].append(asked[row][content, first])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds)], list(out))
 
-    lists = contents.groupBy(F.col("first_doc").alias("doc_id")).agg(F.collect_list(F.struct("content", "first")).alias("wanted"))
+    wanted = F.collect_list(F.struct("content", "first", "frequent")).alias("wanted")
+    lists = contents.groupBy(F.col("first_doc").alias("doc_id")).agg(wanted)
     joined = docs.join(lists, "doc_id").select("doc_id", "text", "wanted")
-    return joined.mapInArrow(cut, "anchor long, content long, first_doc long, words string")
+    return joined.mapInArrow(cut, "anchor long, content long, first_doc long, words string, frequent boolean")
 
 
 def first_documents(contents: DataFrame, window: int) -> DataFrame:
@@ -259,12 +261,6 @@ def first_documents(contents: DataFrame, window: int) -> DataFrame:
     return dealt.groupBy("shard").applyInPandas(match, "content long, firsts array<long>")
 
 
-def frequent_anchors(contents: DataFrame) -> DataFrame:
-    """``(anchor)`` of the anchors whose contents have more words than a shard."""
-    size = contents.groupBy("anchor").agg(F.sum(F.length("words") / 6).alias("size"))
-    return size.filter(F.col("size") > SHARD_WORDS).select("anchor")
-
-
 def first_documents_by_window(contents: DataFrame, window: int) -> DataFrame:
     """What ``first_documents`` finds, from the digests of single windows."""
 
@@ -324,15 +320,15 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
         F.min(F.struct("doc_id", "first")).alias("at"), F.max("doc_id").alias("last"), F.max("windows").alias("windows")
     )
     contents = save(contents.select("anchor", "content", "at.doc_id", "at.first", "last", "windows"), "contents")
-    several = contents.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1")
-    mixed = contents.join(several.select("anchor"), "anchor", "left_semi")
-    mixed = mixed.select("anchor", "content", F.col("doc_id").alias("first_doc"), "first")
+    size = F.sum(F.col("windows") + (window - 1))  # words of all contents of an anchor
+    several = contents.groupBy("anchor").agg(F.count("*").alias("n"), (size > SHARD_WORDS).alias("frequent")).filter("n > 1")
+    mixed = contents.join(several.select("anchor", "frequent"), "anchor")
+    mixed = mixed.select("anchor", "content", F.col("doc_id").alias("first_doc"), "first", "frequent")
     words = save(_contents_with_words(docs, mixed, window), "contents")
     alone = contents.join(several.select("anchor"), "anchor", "left_anti").filter("doc_id < last")
     alone = alone.select("content", F.array_repeat("doc_id", F.col("windows")).alias("firsts"))
-    frequent = save(frequent_anchors(words), "frequent")
-    by_shard = first_documents(words.join(frequent, "anchor", "left_anti"), window)
-    by_window = first_documents_by_window(words.join(frequent, "anchor", "left_semi"), window)
+    by_shard = first_documents(words.filter("not frequent"), window)
+    by_window = first_documents_by_window(words.filter("frequent"), window)
     firsts = save(by_shard.unionByName(by_window).unionByName(alone), "firsts")
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -10,22 +10,24 @@ def _docs(spark, path, rows):
     return spark.read.parquet(str(path))
 
 
-def test_a_phrase_of_twelve_words_makes_no_contents(spark, tmp_path, monkeypatch):
-    phrase = " ".join(f"c{i}" for i in range(12))
+def test_contents_are_not_joined_with_the_frequent_anchors(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(substring, "SHARD_WORDS", 1000)
+    phrase = " ".join(f"c{i}" for i in range(40))
     rows = [(i, " ".join(f"l{i}x{j}" for j in range(45)) + f" {phrase} " + " ".join(f"r{i}x{j}" for j in range(45))) for i in range(60)]
     rows += [(100, rows[5][1] + " end"), (101, rows[7][1])]
-    cut, asked = substring._contents_with_words, []
+    find, plans, sizes = substring.first_documents_by_window, [], []
 
-    def watched(docs, contents, window):
-        asked.extend(r.first_doc for r in contents.collect())
-        return cut(docs, contents, window)
+    def watched(contents, window):
+        plans.append(contents._jdf.queryExecution().toString())
+        sizes.append(contents.count())
+        return find(contents, window)
 
-    monkeypatch.setattr(substring, "_contents_with_words", watched)
-    got = substring.without_repeats(_docs(spark, tmp_path / "d", rows)).select("doc_id", "n_words", "n_removed", "kept_text").collect()
-    assert set(asked) <= {5, 100}
+    monkeypatch.setattr(substring, "first_documents_by_window", watched)
+    got = substring.without_repeats(_docs(spark, tmp_path / "d", rows)).select("doc_id", "n_words", "n_removed").collect()
+    assert "Join" not in plans[0] and sizes[0] > 30
     want = {r[0]: r[1:3] for r in plain.without_repeats(rows)}
     assert {r.doc_id: (r.n_words, r.n_removed) for r in got} == want
-    assert want[100][1] == 102
+    assert want[100][1] == 130
 
 
 def test_points_that_meet_by_chance_are_not_measured(spark, tmp_path, monkeypatch):
