@@ -4,9 +4,9 @@
 
 1. Documents with the same set are one point (a group by the set's digest).
 2. A point can only have a partner if at least that share of its shingles also
-   lies in another point.  Shingles are dealt out by hash, as packed arrays,
-   and only the number of repeated ones per point comes back; this removes all
-   points that merely share a passage.
+   lies in another document.  Shingles are dealt out by hash, as packed arrays with
+   places in their flush, and only the number of repeated ones per place comes
+   back; this removes all points that merely share a passage.
 3. Regions: any two linked points share one of the rarest shingles of each
    (n - ceil(0.8 n) + 1 of them), so the points around a rare shingle form a
    region.  Every region elects pivots; distances to pivots are exact.
@@ -31,13 +31,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.llm.components import connected_components
-from basketry.llm.shared import delete, save
+from basketry.llm.shared import delete, possible, save
 from basketry.llm.words import texts_shingles
-from basketry.llm.worker import claim, give_back
+from basketry.llm.worker import claim, give_back, giving_back
 
 FLUSH = 1_500_000  # shingles held by a task before it sends them on
 BUCKET = 3_000_000  # shingles of one reduce group, about
@@ -46,8 +47,9 @@ SMALL = 256  # points of a region that are compared without more pivots
 CROWD_TURNS = 1  # rounds in which a region's largest parts give the pivots
 CROWD_PIVOTS = 8  # pivots of a region in these rounds
 PARITIES = 8  # 64-bit numbers with parities of a point's shingles
-NAME = 8  # bytes of a set's digest that name it while its shingles are dealt out
-LOCAL = 0xFFFF  # marks a shingle that several points of one task have
+NAME = 8  # bytes of a set's digest that name it in a flush
+LOCAL = 0xFFFF  # marks a shingle that several points of one flush have
+LOCAL_HERE = 0xFFFFFFFF  # the same in a bucket
 
 
 def digest(shingles: np.ndarray) -> bytes:
@@ -57,6 +59,7 @@ def digest(shingles: np.ndarray) -> bytes:
 def set_profiles(docs: DataFrame, width: int) -> DataFrame:
     """``(doc_id, n_shingles, digest)`` of every row."""
 
+    @giving_back
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard_join")
         for batch in batches:
@@ -84,11 +87,19 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
+DEALT = "bucket int, flush long, names binary, rest binary, places binary, counts binary"
+
+
 def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
-    """``(name, n)``: how many shingles of each set also lie in another set; the name
-    is the beginning of its digest.
-    A few unique ones may count as repeated (38 bits and more are compared),
-    never the other way round.  Sets without any such shingle are left out."""
+    """``(name, n)``: how many shingles of each set also lie in another document; the
+    name is the beginning of the set's digest.
+    A copy that another flush has counts as another document, and a few unique
+    shingles may count as repeated (36 bits and more are compared), never the other
+    way round.  Sets without any repeated shingle are left out.
+
+    A set's name travels once a flush; in the buckets it is a place of two bytes.  A
+    flush is named by its partition and its place there, so a task that runs again
+    gives the rows it gave before (``docs`` come from files)."""
     bits = min(16, max(4, (max(total, 1) // BUCKET).bit_length()))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,6 +107,7 @@ def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
         seen: dict[bytes, int] = {}
         parts: list[np.ndarray] = []
         held = 0
+        name = TaskContext.get().partitionId() << 32
 
         def flush() -> pa.RecordBatch:
             keys = np.concatenate(parts)
@@ -110,107 +122,82 @@ def repeated_shingles(docs: DataFrame, width: int, total: int) -> DataFrame:
             buckets = (hashes >> np.uint64(48 - bits)).astype(np.int32)
             rest = ((hashes >> np.uint64(16 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             cuts = np.flatnonzero(np.diff(buckets, prepend=-1))
-            names = list(seen)
-            out = {"bucket": [], "digests": [], "rest": [], "owners": [], "counts": []}
+            # what is counted here already goes with the names
+            rows = [[-1 - int(buckets[0]), name, b"".join(seen), b"", b"", local.astype("<u4").tobytes()]]
             for low, high in zip(cuts, [*cuts[1:], len(buckets)]):
-                mine = owners[low:high]
-                used = np.unique(mine[mine != LOCAL])
-                place = np.full(65536, LOCAL, np.uint16)
-                place[used] = np.arange(len(used), dtype=np.uint16)
-                out["bucket"].append(int(buckets[low]))
-                out["digests"].append(b"".join(names[k] for k in used))
-                out["rest"].append(_pack(rest[low:high]))
-                out["owners"].append(place[mine].tobytes())
-                out["counts"].append(b"")
-            some = np.flatnonzero(local)
-            if len(some):  # counted here already; any bucket may pass it on
-                out["bucket"].append(int(buckets[0]))
-                out["digests"].append(b"".join(names[k] for k in some))
-                out["rest"].append(b"")
-                out["owners"].append(b"")
-                out["counts"].append(local[some].astype("<i8").tobytes())
-            return pa.RecordBatch.from_arrays(
-                [pa.array(out["bucket"], pa.int32())] + [pa.array(out[c], pa.binary()) for c in ("digests", "rest", "owners", "counts")],
-                ["bucket", "digests", "rest", "owners", "counts"],
-            )
+                rows.append([int(buckets[low]), name, b"", _pack(rest[low:high]), owners[low:high].astype("<u2").tobytes(), b""])
+            kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 4]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], [f.split()[0] for f in DEALT.split(", ")])
 
         for batch in batches:
             for _, s in texts_shingles(batch.column(0), width):
-                if not len(s) or (name := digest(s)[:NAME]) in seen:
+                if not len(s) or (digested := digest(s)[:NAME]) in seen:
                     continue
                 parts.append((s & np.uint64(0xFFFFFFFFFFFF0000)) | np.uint64(len(seen)))
-                seen[name] = len(seen)
+                seen[digested] = len(seen)
                 held += len(s)
                 if held >= FLUSH or len(seen) == LOCAL:
                     yield flush()
                     seen, parts, held = {}, [], 0
+                    name += 1
                     give_back()
         if held:
             yield flush()
             parts.clear()
             give_back()
 
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:  # noqa: C901
-        rows = list(pdf.itertuples(index=False))
-        names = np.frombuffer(b"".join(r.digests for r in rows), f"V{NAME}")
-        ids, sizes = np.zeros(len(names), np.int64), [len(r.digests) // NAME for r in rows]
-        code: dict[bytes, int] = {}
-        for k, name in enumerate(names.tolist()):
-            ids[k] = code.setdefault(name, len(code))
-        total = np.zeros(len(code), np.int64)
-        hashes, owners, base = [], [], 0
-        for r, size in zip(rows, sizes):
-            mine = ids[base : base + size]
-            if r.counts:
-                np.add.at(total, mine, np.frombuffer(r.counts, "<i8"))
-            elif r.rest:
-                place = np.frombuffer(r.owners, np.uint16)
-                table = np.full(65536, len(code), np.uint32)
-                table[:size] = mine
-                hashes.append(_unpack(r.rest))
-                owners.append(table[place])
-            base += size
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = {"flush": [], "names": [], "places": [], "counts": []}
+        places, hashes, owners, base = [], [], [], 0
+        for r in pdf.itertuples(index=False):
+            if r.bucket < 0:
+                for column, value in zip(out.values(), (r.flush, r.names, b"", r.counts)):
+                    column.append(value)
+                continue
+            place = np.frombuffer(r.places, "<u2")
+            used, mine = np.unique(place, return_inverse=True)
+            mine = np.where(place == LOCAL, LOCAL_HERE, mine + base)
+            used = used[used != LOCAL]
+            hashes.append(_unpack(r.rest))
+            owners.append(mine.astype(np.uint32))
+            places.append((r.flush, base, used))
+            base += len(used)
         if hashes:
-            # one number per (shingle, point); points of several tasks merge here
+            # one number per (shingle, set of a flush)
             keys = np.concatenate(hashes).astype(np.uint64)
             keys <<= np.uint64(32)
             keys |= np.concatenate(owners)
-            del hashes, owners, rows
+            del hashes, owners
             keys.sort()
-            keys = keys[np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))]
             shingle, owner = keys >> np.uint64(32), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
             del keys
             first = np.flatnonzero(np.diff(shingle, prepend=shingle[0] ^ np.uint64(1)))
             counts = np.diff(first, append=len(shingle))
-            marked = np.maximum.reduceat(owner, first) == len(code)
-            repeated = np.repeat((counts > 1) | marked, counts) & (owner < len(code))
-            total += np.bincount(owner[repeated], minlength=len(code))
-        some = np.flatnonzero(total)
-        back = list(code)
-        packed = np.frombuffer(b"".join(back), f"V{NAME}")[some]
-        goal = np.frombuffer(b"".join(back), "<u4")[:: NAME // 4][some] % goals
-        out = {"goal": [], "digests": [], "n": []}
-        for k in np.unique(goal).tolist():
-            mine = goal == k
-            out["goal"].append(k)
-            out["digests"].append(packed[mine].tobytes())
-            out["n"].append(total[some][mine].astype("<i8").tobytes())
+            marked = np.maximum.reduceat(owner, first) == LOCAL_HERE
+            repeated = np.repeat((counts > 1) | marked, counts) & (owner != LOCAL_HERE)
+            total = np.bincount(owner[repeated], minlength=base)
+            for name, low, used in places:
+                here = total[low : low + len(used)]
+                if here.any():
+                    values = (name, b"", used[here > 0].tobytes(), here[here > 0].astype("<u4").tobytes())
+                    for column, value in zip(out.values(), values):
+                        column.append(value)
         give_back()
         return pd.DataFrame(out)
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        names = np.frombuffer(b"".join(pdf["digests"]), f"V{NAME}").tolist()
-        counts: dict[bytes, int] = {}
-        for name, n in zip(names, np.frombuffer(b"".join(pdf["n"]), "<i8").tolist()):
-            counts[name] = counts.get(name, 0) + n
-        return pd.DataFrame({"name": list(counts), "n": list(counts.values())})
-
-    goals = 1 + total // (BUCKET * 4)
-    dealt = docs.select("text").mapInArrow(
-        deal, "bucket int, digests binary, rest binary, owners binary, counts binary"
-    )
-    counted = dealt.groupBy("bucket").applyInPandas(count, "goal long, digests binary, n binary")
-    return counted.groupBy("goal").applyInPandas(add, "name binary, n long")
+        told = pdf[pdf["names"].str.len() > 0].iloc[0]
+        names, total = np.frombuffer(told["names"], f"V{NAME}"), np.frombuffer(told["counts"], "<u4").astype(np.int64)
+        for places, counts in zip(pdf["places"], pdf["counts"]):
+            if places:
+                total[np.frombuffer(places, "<u2")] += np.frombuffer(counts, "<u4")  # each place once
+        some = np.flatnonzero(total)
+        return pd.DataFrame({"name": names[some].tolist(), "n": total[some]})
+
+    dealt = docs.select("text").mapInArrow(deal, DEALT)
+    counted = dealt.groupBy("bucket").applyInPandas(count, "flush long, names binary, places binary, counts binary")
+    found = counted.groupBy("flush").applyInPandas(add, "name binary, n long")
+    return found.groupBy("name").agg(F.max("n").alias("n"))  # a set is in the flushes of all its copies
 
 
 def _parities(shingles: np.ndarray) -> list[int]:
@@ -222,6 +209,7 @@ def _parities(shingles: np.ndarray) -> list[int]:
 def _points(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``(doc, n, shingles, parities)`` of the documents whose digests are ``wanted``."""
 
+    @giving_back
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard_join")
         for batch in batches:
@@ -241,7 +229,8 @@ def _points(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 ["doc", "n", "shingles", "parities"],
             )
 
-    return docs.join(wanted, "doc_id").select("doc_id", "text", "digest").mapInArrow(
+    rows = possible(docs, "doc_id", wanted.select("doc_id"))
+    return rows.join(wanted, "doc_id").select("doc_id", "text", "digest").mapInArrow(
         gather, "doc long, n long, shingles binary, parities array<long>"
     )
 
@@ -249,6 +238,7 @@ def _points(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 def _order_table(points: DataFrame) -> np.ndarray:
     """How often shingles fall into each of 2**ORDER_BITS slots, over all points."""
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard_join")
         total = np.zeros(1 << ORDER_BITS, np.int64)
@@ -270,6 +260,7 @@ def _regions(points: DataFrame, percent: int) -> DataFrame:
     how many of its shingles are not rarer."""
     table = points.sparkSession.sparkContext.broadcast(_order_table(points))
 
+    @giving_back
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard_join")
         counts = table.value
@@ -298,6 +289,7 @@ def _regions(points: DataFrame, percent: int) -> DataFrame:
 def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """``(doc, pivot, common, n, m)`` for pairs ``(pivot, doc)``."""
 
+    @giving_back
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("jaccard_join")
         for batch in batches:
@@ -314,8 +306,9 @@ def _distances(pairs: DataFrame, points: DataFrame) -> DataFrame:
                 ["doc", "pivot", "common", "n", "m"],
             )
 
-    left = points.select("doc", F.col("shingles").alias("left"))
+    left = possible(points.select("doc", F.col("shingles").alias("left")), "doc", pairs.select("doc"))
     right = points.select(F.col("doc").alias("pivot"), F.col("shingles").alias("right"))
+    right = possible(right, "pivot", pairs.select("pivot"))
     joined = pairs.join(left, "doc").join(right, "pivot").select("doc", "pivot", "left", "right")
     return joined.mapInArrow(overlap, "doc long, pivot long, common long, n long, m long")
 
@@ -383,21 +376,21 @@ def links_of_points(points: DataFrame, percent: int) -> DataFrame:
     alike = apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)
     asked = entries.filter(F.col("doc") != F.col("pivot")).filter(fits).select("doc", "pivot", "n", "m").distinct()
     # points that meet by chance are told apart before any shingles are sent
-    asked = asked.join(parities, "doc").join(its_parities, "pivot").filter(alike).select("doc", "pivot")
+    asked = save(asked.join(parities, "doc").join(its_parities, "pivot").filter(alike).select("doc", "pivot"), "asked")
     measured = save(_distances(asked, points).withColumns({"part": F.col("doc"), "its_part": F.col("pivot")}), "measured")
     links = measured.filter(_similar(percent)).select("doc", "pivot")
     far = measured.select("doc", "pivot", distance.alias("far"))
     rest = entries.filter(F.col("doc") != F.col("pivot")).drop("m", "its_room").join(far, ["doc", "pivot"], "left").drop("pivot")
     # the pivot has met every point of its region
     rest = save(_several(_parted(rest, measured, percent)).join(parities, "doc"), "regions")
-    delete(points.sparkSession, rarest, entries)
+    delete(points.sparkSession, rarest, entries, asked)
     entries, turn, pivots = rest, 0, CROWD_PIVOTS
     while entries.limit(1).count():
         chosen = save(_more_pivots(entries, pivots, turn < CROWD_TURNS), "pivots")
         window = F.coalesce(F.abs(F.col("far") - F.col("its_far")) <= radius + 1e-9, F.lit(True))
         asked = entries.join(chosen, "region").filter((F.col("part") != F.col("its_part")) & fits & window & alike)
         asked = asked.filter(~F.col("last") | (F.col("doc") < F.col("pivot")))  # both are pivots there
-        asked = asked.groupBy("doc", "pivot").agg(F.min("part").alias("part"), F.min("its_part").alias("its_part"))
+        asked = save(asked.groupBy("doc", "pivot").agg(F.min("part").alias("part"), F.min("its_part").alias("its_part")), "asked")
         measured = save(_distances(asked.select("doc", "pivot"), points).join(asked, ["doc", "pivot"]), "measured")
         links = links.union(measured.filter(_similar(percent)).select("doc", "pivot"))
         met = chosen.select("region", F.col("pivot").alias("doc"))
@@ -405,7 +398,7 @@ def links_of_points(points: DataFrame, percent: int) -> DataFrame:
         if rest.limit(1).count():
             rest = _several(_parted(rest, measured, percent))
         before, entries = entries, save(rest, "regions")
-        delete(points.sparkSession, before, chosen)
+        delete(points.sparkSession, before, chosen, asked)
         turn += 1
         pivots = CROWD_PIVOTS if turn < CROWD_TURNS else 64 * 16 ** (turn - CROWD_TURNS)
     return links.toDF("a", "b")

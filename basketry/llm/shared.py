@@ -50,6 +50,23 @@ def fold(column: str, modulus: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
 
+SLOT_BITS = 24  # of the bitmap of ``possible``: at most 2**18 rows of 64, whatever the input
+
+
+def possible(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``column`` (long) may be in ``ids``, a table of one column
+    of longs: all that are, and of the others those whose hash meets one.  Before a
+    join with few ids: only these rows are shuffled for it."""
+
+    def slot(name: str) -> F.Column:
+        return F.shiftrightunsigned(F.xxhash64(name), 64 - SLOT_BITS)
+
+    bit = F.expr("shiftleft(1L, cast(_slot & 63 as int))")
+    held = ids.select(slot(ids.columns[0]).alias("_slot")).groupBy(F.shiftright("_slot", 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    there = (F.shiftright("_slot", 6) == F.col("_word")) & (F.col("_bits").bitwiseAND(bit) != 0)
+    return df.withColumn("_slot", slot(column)).join(F.broadcast(held), there, "left_semi").drop("_slot")
+
+
 _shipped: set[str] = set()
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 
@@ -43,3 +43,21 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):  # another C library
         pass
+
+
+def giving_back(function: Callable) -> Callable:
+    """``function`` for mapInArrow; what its task held goes back to the system after
+    its last batch.  The worker may wait through stages without Python beside a JVM
+    that needs the memory."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = None
+        for batch in function(batches):
+            kind = batch.schema
+            yield batch
+        batch = None
+        if kind is not None:
+            yield pa.RecordBatch.from_pylist([], kind)  # Spark lets go of the last batch
+        give_back()
+
+    return run

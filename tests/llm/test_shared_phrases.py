@@ -1,7 +1,11 @@
 """Texts that share less than would count are not compared."""
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 from basketry.llm import jaccard_join, substring
-from basketry.llm.worker import give_back
+from basketry.llm.shared import possible
+from basketry.llm.worker import give_back, giving_back
 from tests.llm import plain
 
 
@@ -62,3 +66,46 @@ def test_freed_memory_goes_back():
     del kept
     give_back()
     assert full - held() > 200_000_000 and len(last)
+
+
+def test_only_what_may_be_linked_is_sent(spark, tmp_path, monkeypatch):
+    rows = [(i, " ".join(f"u{i}x{j}" for j in range(40))) for i in range(80)]
+    rows += [(200 + i, rows[i][1] + " end") for i in range(3)] + [(None, rows[9][1])]
+    kept, choose = [], jaccard_join.possible
+
+    def watched(df, column, ids):
+        found = choose(df, column, ids)
+        kept.append((found.count(), df.count()))
+        return found
+
+    monkeypatch.setattr(jaccard_join, "possible", watched)
+    got = jaccard_join.jaccard_components(_docs(spark, tmp_path / "d", rows)).collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, plain.jaccard(rows)))
+    assert kept[0][0] <= 8 and kept[0][1] == 84  # of the texts
+
+
+def test_possible_keeps_all_that_are_there(spark):
+    ids = spark.range(0, 3000, 3).toDF("a").union(spark.createDataFrame([(None,), (3,)], "a long"))
+    rows = spark.range(20_000).withColumn("x", F.lit("y"))
+    kept = possible(rows, "id", ids)
+    assert kept.columns == ["id", "x"]
+    got = {r.id for r in kept.collect()}
+    assert set(range(0, 3000, 3)) <= got and len(got) < 1100 and kept.count() == len(got)
+
+
+def test_a_worker_gives_back_after_its_last_batch():
+    def held():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    full = []
+
+    @giving_back
+    def work(batches):
+        kept = [bytes(50_000) for _ in range(6000)]
+        yield from batches
+        full.append(held() + 0 * len(kept))
+
+    batches = list(work(iter([pa.RecordBatch.from_pylist([{"a": 1}])])))
+    assert [b.num_rows for b in batches] == [1, 0] and batches[0].schema == batches[1].schema
+    assert full[0] - held() > 200_000_000 and not list(work(iter([])))
