@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.shared import save
 from basketry.llm.words import hashed_texts, mix, sequence_hashes
-from basketry.llm.worker import claim
+from basketry.llm.worker import claim, giving_back
 
 GRAM = 10  # words of an anchor
 NOBODY = (1 << 63) - 1
@@ -98,6 +98,7 @@ def text_runs(column: pa.Array, window: int) -> Iterator[tuple[np.ndarray, ...]]
 def window_runs(docs: DataFrame, window: int) -> DataFrame:
     """``(doc_id, version, anchor, content, first, windows)`` of ``docs (doc_id, text, version)``."""
 
+    @giving_back
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring")
         for batch in batches:
@@ -205,6 +206,7 @@ def _contents_with_words(docs: DataFrame, contents: DataFrame, window: int) -> D
     """``(anchor, content, first_doc, words, frequent)`` of ``contents (anchor, content,
     first_doc, first, frequent)``; ``words`` are joined by a blank."""
 
+    @giving_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring")
         for batch in batches:
@@ -264,6 +266,7 @@ def first_documents(contents: DataFrame, window: int) -> DataFrame:
 def first_documents_by_window(contents: DataFrame, window: int) -> DataFrame:
     """What ``first_documents`` finds, from the digests of single windows."""
 
+    @giving_back
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring")
         names = ["content", "first_doc", "start", "digest"]
@@ -285,6 +288,7 @@ def first_documents_by_window(contents: DataFrame, window: int) -> DataFrame:
             if out[0]:
                 yield rows(*out)
 
+    @giving_back
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring")
         for batch in batches:
@@ -331,6 +335,7 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     by_window = first_documents_by_window(words.filter("frequent"), window)
     firsts = save(by_shard.unionByName(by_window).unionByName(alone), "firsts")
 
+    @giving_back
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring")
         for batch in batches:
@@ -372,6 +377,7 @@ def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     columns = [c for c in docs.columns if c not in added]
     spans = save(repeated_spans(docs, window), "spans").toDF("_doc", "_version", "_spans")
 
+    @giving_back
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("substring")
         for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.shared import fold, save
-from basketry.llm.worker import claim
+from basketry.llm.worker import claim, giving_back
 
 LABELLED = 20_000  # labelled documents that are learned from, at most (by hash of the id)
 ENTRIES = 5_000  # of the lexicon, at most: those with the most evidence
@@ -221,6 +221,7 @@ def term_counts(labelled: DataFrame, least: float) -> DataFrame:
     def words_of(text: str | None) -> list[str]:
         return [w for t in (text or "").lower().split() if (w := t.strip(EDGES))]
 
+    @giving_back
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
         for batch in batches:
@@ -242,6 +243,7 @@ def term_counts(labelled: DataFrame, least: float) -> DataFrame:
     # the sample is bounded, and so are the terms that several of its toxic documents have
     candidates = labelled.sparkSession.sparkContext.broadcast(frozenset(toxic.toArrow()["term"].to_pylist()))
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
         total, asked = Counter(), candidates.value
@@ -308,6 +310,7 @@ def context_weights(rows: DataFrame, entries: list[str]) -> dict[str, float]:
     suspect by the language or the entry it goes with); ``rows (text, toxic)`` is
     the bounded sample.  A word counts once a document and hit word."""
 
+    @giving_back
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
         matcher = Matcher(entries)
@@ -338,6 +341,7 @@ def context_weights(rows: DataFrame, entries: list[str]) -> dict[str, float]:
 
 
 def _features(rows: DataFrame, entries: list[str], context: dict[str, float]) -> DataFrame:
+    @giving_back
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
         matcher = Matcher(entries)
@@ -395,6 +399,7 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     place = columns.index("text")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    @giving_back
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("toxicity")
         model = shared.value
