@@ -23,8 +23,8 @@ too, and their tokens are dealt out by pair and flush, so a frequent pair is not
 one task's work either: a pair or word that is not heavy has fewer than ``HEAVY``
 tokens (beyond 60,000 heavy words, the rarer ones are dealt out like others), and
 a heavy pair's tokens of one flush go to one group, drawn anew for each flush.  The task of a pair knows its
-counts, writes its part of the n-gram tables, and returns for each document sums
-that do not depend on the discounts, which follow from the tables.  A token of a
+counts, writes its part of the n-gram tables, and returns its tokens by these
+counts; a document's sums follow from them and from the discounts.  A token of a
 document that no training document supports looks up ``a(h)`` in the tables by a
 join.
 """
@@ -361,9 +361,46 @@ def _runs(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(starts), pa.py_buffer(np.ascontiguousarray(data))])
 
 
+def _classes(c: np.ndarray, c_pair: np.ndarray, last: np.ndarray, at: np.ndarray, owner: np.ndarray, edges: np.ndarray) -> list[bytes]:
+    """The tokens of each flush, classed by all that decides what they add to their
+    document: ``c(w)``, ``c(h, w)`` and whether the word is the end.  ``at``: the
+    pair of each token, to which the first three belong.
+
+    Sums per document would be as many as buckets times documents; a token is
+    two bytes for its document and a share of its class, however many buckets
+    there are."""
+    _, of_c = np.unique(c, return_inverse=True)
+    often, of_pair = np.unique(c_pair, return_inverse=True)
+    _, first, kind = np.unique((of_c * len(often) + of_pair) * 2 + last, return_index=True, return_inverse=True)
+    c, c_pair, last = c[first], c_pair[first], last[first]
+    out = []
+    for low, high in zip(edges[:-1], edges[1:]):
+        key = kind[at[low:high]] << 16 | owner[low:high]
+        key.sort()
+        of = key >> 16
+        cuts = np.flatnonzero(np.diff(of, prepend=-1))
+        sizes = np.diff(cuts, append=len(of)).astype("<u4")
+        of = of[cuts]
+        parts = (np.diff(c[of], prepend=0).astype("<i8"), c_pair[of].astype("<i8"), sizes << 1 | last[of], (key & NONE).astype("<u2"))
+        planes = b"".join(np.ascontiguousarray(p.view(np.uint8).reshape(len(p), -1).T).tobytes() for p in parts)
+        out.append(len(of).to_bytes(4, "little") + zstandard.ZstdCompressor(level=1).compress(planes))
+    return out
+
+
+def _of_classes(data: bytes) -> list[np.ndarray]:
+    """``c``, ``c_pair``, ``2 * tokens + last`` of each class, and the tokens' documents."""
+    n = int.from_bytes(data[:4], "little")
+    planes, parts, low = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[4:]), np.uint8), [], 0
+    for kind, size in (("<i8", 8 * n), ("<i8", 8 * n), ("<u4", 4 * n), ("<u2", len(planes) - 20 * n)):
+        part = planes[low : low + size].reshape(np.dtype(kind).itemsize, -1)
+        parts.append(np.ascontiguousarray(part.T).view(kind).ravel())
+        low += size
+    return [np.cumsum(parts[0]), *parts[1:]]
+
+
 def _count(shared, bits: int):
-    """Counts of one bucket, as rows of several kinds: 0 a document, 1 sums of the
-    documents of a flush, 2 its tokens in pairs that were never seen, as owners and
+    """Counts of one bucket, as rows of several kinds: 0 a document, 1 the tokens
+    of a flush by their counts, 2 its tokens in pairs that were never seen, as owners and
     what is before them, 3 the tables of the bucket, 4 numbers of counts."""
 
     def count(group: pa.Table) -> pa.Table:
@@ -385,21 +422,17 @@ def _count(shared, bits: int):
                     learned=names[:, 1].astype(np.int32), n=names[:, 2],
                 )
             return pa.Table.from_batches(out, _FOUND)
-        words, before, owners, learned = [], [], [], []
-        places, flushes, firsts, base = [], [], [], 0
+        words, before, owners, learned, flushes = [], [], [], [], []
         for r in group.to_pylist():
             codes = np.cumsum(_expanded(r["words"], "<u2"), dtype=np.uint16)
             words.append(_unpack_words(codes, r["word_rest"], 8, dictionary))
             before.append(_unpack_words(_expanded(r["before"], "<u2"), r["before_rest"], 6, dictionary))
-            owner = _expanded(r["owners"], "<u2").astype(np.int64)
+            owner = _expanded(r["owners"], "<u2")
             flags = np.unpackbits(np.frombuffer(r["docs"], np.uint8)).astype(bool)
             learned.append(flags[owner])
-            used, owner = np.unique(owner, return_inverse=True)
-            owners.append(owner + base)
-            places.append(used)
+            owners.append(owner)
             flushes.append(r["flush"])
-            firsts.append(base)
-            base += len(used)
+        edges = np.cumsum([0, *map(len, owners)])  # the tokens of each flush
         word, context, owner, train = map(np.concatenate, (words, before, owners, learned))
         del words, before, owners, learned
         kinds, kind = np.unique(word, return_inverse=True)
@@ -410,44 +443,19 @@ def _count(shared, bits: int):
         singles = np.bincount(kind[train], minlength=len(kinds))
         codes = _coded(kinds, dictionary)
         singles = np.where(codes != NONE, dictionary_counts[codes], singles)
-        c, c_pair = singles[kind], pairs[at]
-        known, seen = c > 0, c_pair > 0
-        unseen = ~seen
-        log = np.log10(np.maximum(c, 1))
-
-        def tallies() -> Iterator[np.ndarray]:  # one at a time: each is as long as the group
-            yield known
-            for r in range(1, HIGHEST + 1):
-                yield c_pair == r
-            for r in range(1, HIGHEST + 1):
-                yield unseen & (c == r)
-            yield unseen & ~known
-            yield unseen & known
-
-        plain = np.bincount(owner, np.log10(c + 1.0), minlength=base)
-        # what no discount changes: pair counts, words after an unseen pair, c(h) + escape of the pair that follows
-        own = np.where(seen, np.log10(np.maximum(c_pair, 1)), np.where(known, log, 0.0))
-        own -= np.where(known & (word != np.uint64(END)), np.log10(c + ESCAPE), 0.0)
-        own = np.bincount(owner, own, minlength=base)
-        del log
-        tally = np.empty((TALLIES, base), "<u4")
-        for k, which in enumerate(tallies()):
-            tally[k] = np.bincount(owner[which], minlength=base)
-        place = np.concatenate(places).astype("<u2")
-        lasts = [*firsts[1:], base]
-        packed = [_bundle(plain[i:j], own[i:j], tally[:, i:j]) for i, j in zip(firsts, lasts)]
-        put(1, flush=flushes, before=[_squeezed(place[i:j]) for i, j in zip(firsts, lasts)], counts=packed)
-        del plain, own, tally, packed
+        put(1, flush=flushes, counts=_classes(singles[kind[where]], pairs, word[where] == np.uint64(END), at, owner, edges))
         # tokens in unseen pairs, by flush
+        unseen = pairs[at] == 0
         if unseen.any():
-            who, what = owner[unseen], context[unseen]
-            order = np.argsort(who, kind="stable")
-            who, what = who[order], what[order]
+            which = np.flatnonzero(unseen)
+            row = np.searchsorted(edges, which, "right") - 1
+            order = which[np.lexsort((owner[which], row))]
+            who, what = owner[order], context[order]
             code = _coded_upper(what, dictionary)
-            edges = np.searchsorted(who, [*firsts, base])
-            some = [(f, i, j) for f, i, j in zip(flushes, edges[:-1], edges[1:]) if i < j]
+            cuts = np.searchsorted(which, edges)
+            some = [(f, i, j) for f, i, j in zip(flushes, cuts[:-1], cuts[1:]) if i < j]
             put(
-                2, flush=[f for f, _, _ in some], counts=[_squeezed(place[who[i:j]]) for _, i, j in some],
+                2, flush=[f for f, _, _ in some], counts=[_squeezed(who[i:j]) for _, i, j in some],
                 before=[_squeezed(code[i:j]) for _, i, j in some], rest=[_pack_words(what[i:j], code[i:j], 6) for _, i, j in some],
             )
         # the tables: for each word its count, what it follows and how often
@@ -468,7 +476,7 @@ def _count(shared, bits: int):
         ones = [int((own == r).sum()) for r in range(1, HIGHEST + 2)]
         twos = [int((pairs[~counted] == r).sum()) for r in range(1, HIGHEST + 2)]
         put(4, least=[[len(own), int(own.sum()), *ones, *twos]])
-        del word, context, owner, train, kind, distinct, where, at, c, c_pair, known, seen, unseen
+        del word, context, owner, train, kind, distinct, where, at, unseen
         give_back()
         return pa.Table.from_batches(out, _FOUND)
 
@@ -622,22 +630,31 @@ SUMS = f"flush long, owner int, plain double, own double, {', '.join(f't{k} long
 
 
 def _document_sums(group: pa.Table) -> pa.Table:
-    """The sums of the documents of one flush from those of all buckets and replies."""
-    plain, own, tally = np.zeros(NONE), np.zeros(NONE), np.zeros((TALLIES, NONE), np.int64)
-    met = np.zeros(NONE, bool)
+    """The sums of the documents of one flush from the tokens of all buckets and the replies."""
+    replied, parts = np.zeros(NONE), []
     for kind, owners, packed in zip(*(group[c].to_pylist() for c in ("kind", "before", "counts"))):
-        owners = _expanded(owners, "<u2")  # each once
-        met[owners] = True
         if kind == 2:
-            own[owners] += _unbundled(packed, "<f8")[0]
-            continue
-        more_plain, more_own, more = _unbundled(packed, "<f8", "<f8", "<u4")
-        plain[owners] += more_plain
-        own[owners] += more_own
-        tally[:, owners] += more.reshape(TALLIES, -1)
-    some = np.flatnonzero(met)
+            replied[_expanded(owners, "<u2")] += _unbundled(packed, "<f8")[0]  # each once
+        else:
+            parts.append(_of_classes(packed))
+    c, c_pair, marks, owner = (np.concatenate(p) for p in zip(*parts))
+    n, last = marks >> 1, (marks & 1).astype(bool)
+    known, seen = c > 0, c_pair > 0
+    # what no discount changes: pair counts, words after an unseen pair, c(h) + escape of the pair that follows
+    own = np.where(seen, np.log10(np.maximum(c_pair, 1)), np.log10(np.maximum(c, 1)))
+    own -= np.where(known & ~last, np.log10(c + ESCAPE), 0.0)
+    # the tally of each class; 0 has none, TALLIES - 2 is the unknown words and TALLIES - 1 the frequent words after an unseen pair
+    alone = np.where(known, np.where(c <= HIGHEST, HIGHEST + c, TALLIES - 1), TALLIES - 2)
+    tally = np.where(seen, np.where(c_pair <= HIGHEST, c_pair, 0), alone)
+    tokens = np.bincount(owner.astype(np.int64) * TALLIES + np.repeat(tally, n), minlength=NONE * TALLIES).reshape(NONE, TALLIES).T
+    total = tokens.sum(0)
+    some = np.flatnonzero(total)
+    tokens[-1] += tokens[HIGHEST + 1 : 2 * HIGHEST + 1].sum(0)
+    tokens[0] = total - tokens[-2]
+    plain = np.bincount(owner, np.repeat(np.log10(c + 1.0), n), minlength=NONE)
+    own = np.bincount(owner, np.repeat(own, n), minlength=NONE) + replied
     flush = np.full(len(some), group["flush"][0].as_py())
-    columns = [flush, some.astype(np.int32), plain[some], own[some], *tally[:, some]]
+    columns = [flush, some.astype(np.int32), plain[some], own[some], *tokens[:, some]]
     return pa.Table.from_arrays([pa.array(c) for c in columns], [f.split()[0] for f in SUMS.split(", ")])
 
 

@@ -53,3 +53,14 @@ def test_heavy_words_and_pairs_are_not_one_groups_work(spark, tmp_path, monkeypa
     want, *_ = plain.katz(HOT, katz.discounts, katz.ESCAPE)
     got = [(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5), round(r.score, 5)) for r in rows]
     assert _sort(got) == _sort((*w[:5], round(w[5], 5), round(w[6], 5)) for w in want)
+
+
+def test_what_groups_return_does_not_grow_with_their_number(spark):
+    texts = [(i, " ".join(f"w{(i * 7919 + j * j * 31 + i * j) % 4001}" for j in range(300))) for i in range(200)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    docs = docs.withColumn("learned", katz.learned_from(docs))
+    dictionary, none = katz.frequent_words(docs), katz.HeavyPairs(*[np.zeros(0, np.uint64)] * 3, np.zeros(0, np.int64))
+    shared = spark.sparkContext.broadcast((dictionary, np.random.default_rng(1).integers(1, 900, 1 << 16), none))
+    found = katz._deal(docs, dictionary, none.pairs, 8).groupBy("bucket").applyInArrow(katz._count(shared, 8), katz.FOUND)
+    rows = found.filter("kind = 1").collect()
+    assert sum(len(r.counts) + len(r.before or b"") for r in rows) < 4 * 200 * 301  # a few bytes of each token
