@@ -3,15 +3,11 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import basketry
-from basketry.session import scratch_path, stage
+from basketry.session import scratch_path, ship_package, stage  # noqa: F401
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,20 +61,3 @@ def possible(df: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     held = ids.select(slot(ids.columns[0]).alias("_slot")).groupBy(F.shiftright("_slot", 6).alias("_word")).agg(F.bit_or(bit).alias("_bits"))
     there = (F.shiftright("_slot", 6) == F.col("_word")) & (F.col("_bits").bitwiseAND(bit) != 0)
     return df.withColumn("_slot", slot(column)).join(F.broadcast(held), there, "left_semi").drop("_slot")
-
-
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, as ``--py-files`` does, once an application."""
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    root = Path(basketry.__file__).parent
-    target = Path(tempfile.mkdtemp(prefix="basketry-")) / "basketry.zip"
-    with zipfile.ZipFile(target, "w") as out:
-        for source in sorted(root.rglob("*.py")):
-            out.write(source, source.relative_to(root.parent))
-    spark.sparkContext.addPyFile(str(target))
-    _shipped.add(app)
